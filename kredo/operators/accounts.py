@@ -25,11 +25,19 @@ def with_keys(filings: DataFrame) -> DataFrame:
             .withColumn("clean_enterprise_number", clean_number("EnterpriseNumber")))
 
 
+def model_rank_col():
+    return model_rank("ModelType")
+
+
+def language_rank_col():
+    return language_rank("Language")
+
+
 def preference_order() -> list:
     """Model rank, language rank, latest improvement, most rubrics; reference number breaks ties."""
     return [
-        model_rank("ModelType").asc(),
-        language_rank("Language").asc(),
+        model_rank_col().asc(),
+        language_rank_col().asc(),
         F.col("ImprovementDate").desc_nulls_last(),
         F.coalesce(F.size("Rubrics"), F.lit(0)).desc(),
         F.col("ReferenceNumber").asc_nulls_first(),

@@ -10,7 +10,7 @@ the threshold) or shuffled on the same key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kredo.functions.scalars import company_segment, failed_flag, model_category, safe_divide, zero_if_null
@@ -42,6 +42,34 @@ def accounts_with_financials(preferred: DataFrame, fold: bool = True) -> DataFra
     return f.select("*", *financials.derived_columns())
 
 
+def preferred_with_financials(filings: DataFrame) -> DataFrame:
+    """Preferred filing per (enterprise, year) with its 70 sums: aggregate first, then deduplicate.
+
+    The sums of a filing depend on that filing alone, so they may be computed
+    before the choice of the preferred filing.  Doing so lets the map-side
+    partial aggregate shrink each filing's ~100 rubrics to one row of sums
+    before anything is shuffled: both exchanges (per filing, then per
+    enterprise and year with a partial top-1) carry narrow rows, never the
+    rubric arrays.  A per-row id keeps identical duplicate filings apart, as
+    the reference's window does.
+    """
+    f = accounts.with_keys(accounts.scan_years(filings).where(~F.col("ModelType").like("%p")))
+    keys = ACCOUNT_COLUMNS + ["ImprovementDate", "_n_rubrics", "_row"]
+    # The row id is fixed before the unnest (one id per filing, not per rubric).
+    f = f.select(*ACCOUNT_COLUMNS, "ImprovementDate", "Rubrics",
+                 F.coalesce(F.size("Rubrics"), F.lit(0)).alias("_n_rubrics"),
+                 F.monotonically_increasing_id().alias("_row"))
+    x = f.select(*keys, F.explode_outer("Rubrics").alias("r"))
+    x = x.select(*keys, *financials.slotted(F.col("r")))
+    per_filing = x.groupBy(*keys).agg(*financials.sums())
+    order = [accounts.model_rank_col().asc(), accounts.language_rank_col().asc(),
+             F.col("ImprovementDate").desc_nulls_last(), F.col("_n_rubrics").desc(),
+             F.col("ReferenceNumber").asc_nulls_first(), F.col("_row").asc()]
+    w = Window.partitionBy("EnterpriseNumber", "accounting_year").orderBy(*order)
+    best = per_filing.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+    return best.drop("_rn", "ImprovementDate", "_n_rubrics", "_row").select("*", *financials.derived_columns())
+
+
 def _sd(a: Column | str, b: Column | str) -> Column:
     return safe_divide(a, b)
 
@@ -106,9 +134,17 @@ def master_columns() -> list[Column]:
 
 
 def staging_with_key(filings: DataFrame, dim_enterprise: DataFrame, dim_address: DataFrame,
-                     dim_activity: DataFrame, fold: bool = True) -> DataFrame:
-    """Staging table plus ``clean_enterprise_number`` (kept for later co-partitioned steps)."""
-    acc = accounts_with_financials(accounts.preferred_accounts(filings), fold=fold)
+                     dim_activity: DataFrame, mode: str = "early") -> DataFrame:
+    """Staging table plus ``clean_enterprise_number`` (kept for later co-partitioned steps).
+
+    ``mode``: 'early' sums before deduplicating (narrow shuffles, default);
+    'fold' deduplicates first and sums in the same partitioning; 'join' is the
+    literal reference plan (sums joined back on ReferenceNumber).
+    """
+    if mode == "early":
+        acc = preferred_with_financials(filings)
+    else:
+        acc = accounts_with_financials(accounts.preferred_accounts(filings), fold=(mode == "fold"))
     key = "clean_enterprise_number"
     ent = dimensions.clean_enterprise(dim_enterprise).select(key, "JuridicalSituation", "Status")
     act = dimensions.pivoted_activities(dim_activity).select(
@@ -119,6 +155,6 @@ def staging_with_key(filings: DataFrame, dim_enterprise: DataFrame, dim_address:
 
 
 def staging_master(filings: DataFrame, dim_enterprise: DataFrame, dim_address: DataFrame,
-                   dim_activity: DataFrame, fold: bool = True) -> DataFrame:
+                   dim_activity: DataFrame, mode: str = "early") -> DataFrame:
     """The 60-column staging table."""
-    return staging_with_key(filings, dim_enterprise, dim_address, dim_activity, fold).drop("clean_enterprise_number")
+    return staging_with_key(filings, dim_enterprise, dim_address, dim_activity, mode).drop("clean_enterprise_number")

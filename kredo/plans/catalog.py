@@ -54,8 +54,9 @@ class Inputs:
     def preferred(self) -> DataFrame:
         return accounts.preferred_accounts(self.filings())
 
-    def staging(self, keep_key: bool = False) -> DataFrame:
-        s = staging.staging_with_key(self.filings(), self.dim_enterprise(), self.dim_address(), self.dim_activity())
+    def staging(self, keep_key: bool = False, mode: str = "early") -> DataFrame:
+        s = staging.staging_with_key(self.filings(), self.dim_enterprise(), self.dim_address(), self.dim_activity(),
+                                     mode=mode)
         return s if keep_key else s.drop("clean_enterprise_number")
 
     def training(self) -> DataFrame:
@@ -264,3 +265,15 @@ FROM (SELECT is_high_risk, count(*) AS n_class FROM labelled WHERE has_target AN
       GROUP BY is_high_risk)"""))
 def q_class_weights(spark, d):
     return label.class_weights(label.training_set(Inputs(spark, d).training()))
+
+
+@register("staging_master_fold", W("SELECT * FROM staging", training=False))
+def q_staging_master_fold(spark, d):
+    """Same table, deduplicating before the sums (rubric arrays shuffled)."""
+    return Inputs(spark, d).staging(mode="fold")
+
+
+@register("staging_master_join", W("SELECT * FROM staging", training=False))
+def q_staging_master_join(spark, d):
+    """Same table, literal reference plan: sums joined back on ReferenceNumber."""
+    return Inputs(spark, d).staging(mode="join")
