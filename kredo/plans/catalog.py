@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from kredo.functions import codes
 from kredo.functions.scalars import failed_flag, language_rank, model_category, model_rank
-from kredo.operators import accounts, dimensions, features, financials, label, staging
+from kredo.operators import accounts, benchmark, dimensions, features, financials, label, metrics, segments, staging
 from kredo.plans import oracle
 from kredo.sources import fixtures as fx
 
@@ -62,6 +62,21 @@ class Inputs:
     def training(self) -> DataFrame:
         return features.training_dataset(self.staging(keep_key=True))
 
+    def nace_map(self) -> DataFrame:
+        return fx.dim_nace_mapping(self.spark)
+
+    def macro(self) -> DataFrame:
+        return fx.macro(self.spark)
+
+    def labelled(self) -> DataFrame:
+        """Labelled windows with a target, their sector, rule cluster and score."""
+        lab = label.labelled(self.training())
+        lab = lab.withColumn("nace_primary_division", F.substring(F.replace("nace_primary_code", F.lit("."), F.lit("")), 1, 2))
+        lab = segments.with_sector(lab, self.nace_map())
+        cu = "CAST(replace(enterprise_number, '.', '') AS BIGINT)"
+        return (lab.withColumn("rule_cluster", F.expr(fx.rule_cluster_sql(cu)))
+                   .withColumn("score", F.expr(fx.score_sql(cu, "target_year_y3", "is_high_risk"))))
+
 
 W = oracle.with_ctes
 
@@ -277,3 +292,172 @@ def q_staging_master_fold(spark, d):
 def q_staging_master_join(spark, d):
     """Same table, literal reference plan: sums joined back on ReferenceNumber."""
     return Inputs(spark, d).staging(mode="join")
+
+
+# ------------------------------------------------------------------ segments and benchmarks
+
+_CU = "CAST(replace(enterprise_number, '.', '') AS BIGINT)"
+_LAB = f"""
+lab AS (
+  SELECT l.*, m.Sector AS sector,
+         {fx.rule_cluster_sql(_CU)} AS rule_cluster,
+         {fx.score_sql(_CU, 'target_year_y3', 'is_high_risk')} AS score
+  FROM labelled l
+  LEFT JOIN (SELECT Code, Sector FROM nace_map WHERE Level = '2') m
+    ON substr(replace(l.nace_primary_code, '.', ''), 1, 2) = m.Code
+  WHERE has_target
+)"""
+
+
+def WL(body: str) -> str:
+    return W(body).replace("\nSELECT", "," + _LAB + "\nSELECT", 1) if False else _with_lab(body)
+
+
+def _with_lab(body: str) -> str:
+    full = W(body)
+    head, _, tail = full.rpartition("\n" + body.lstrip("\n").split("\n")[0])
+    return head + "," + _LAB + "\n" + body.lstrip("\n")
+
+
+@register("sector_lookup", W("""
+SELECT s.reference_number, s.nace_primary_division, m.Sector AS sector
+FROM staging s LEFT JOIN (SELECT Code, Sector FROM nace_map WHERE Level = '2') m
+  ON s.nace_primary_division = m.Code""", training=False))
+def q_sector_lookup(spark, d):
+    i = Inputs(spark, d)
+    s = segments.with_sector(i.staging(), i.nace_map())
+    return s.select("reference_number", "nace_primary_division", "sector")
+
+
+@register("macro_join", W("""
+SELECT s.reference_number, s.accounting_year, m.interest_rate, m.inflation
+FROM staging s LEFT JOIN macro m ON s.accounting_year = m.year""", training=False))
+def q_macro_join(spark, d):
+    i = Inputs(spark, d)
+    s = segments.with_macro(i.staging(), i.macro())
+    return s.select("reference_number", "accounting_year", "interest_rate", "inflation")
+
+
+@register("segment_census", W("""
+SELECT nace_primary_division, company_segment, model_category, count(*) AS n
+FROM staging GROUP BY nace_primary_division, company_segment, model_category""", training=False))
+def q_segment_census(spark, d):
+    return segments.segment_census(Inputs(spark, d).staging())
+
+
+@register("top_segments", _with_lab("""
+SELECT sector, company_segment, count(*) AS n FROM lab
+GROUP BY sector, company_segment
+ORDER BY n DESC, sector ASC NULLS FIRST, company_segment ASC NULLS FIRST LIMIT 3"""))
+def q_top_segments(spark, d):
+    lab = Inputs(spark, d).labelled()
+    counts = lab.groupBy("sector", "company_segment").agg(F.count(F.lit(1)).alias("n"))
+    return segments.top_k(counts, ["sector", "company_segment"], 3)
+
+
+_SECTORED = """
+sect AS (
+  SELECT s.*, m.Sector AS sector FROM staging s
+  LEFT JOIN (SELECT Code, Sector FROM nace_map WHERE Level = '2') m ON s.nace_primary_division = m.Code
+)"""
+
+
+def _with_sect(body: str) -> str:
+    full = W(body, training=False)
+    head, _, _ = full.rpartition("\n" + body.lstrip("\n").split("\n")[0])
+    return head + "," + _SECTORED + "\n" + body.lstrip("\n")
+
+
+@register("sector_benchmark", _with_sect("""
+SELECT l.sector, l.MunicipalityNL, l.n, l.region_mean, nat.national_mean, l.region_mean - nat.national_mean AS gap
+FROM (SELECT sector, MunicipalityNL, count(*) AS n, round(avg(solvency_pct_n), 9) AS region_mean
+      FROM sect GROUP BY sector, MunicipalityNL) l
+LEFT JOIN (SELECT sector, round(avg(solvency_pct_n), 9) AS national_mean FROM sect GROUP BY sector) nat
+  ON l.sector IS NOT DISTINCT FROM nat.sector"""))
+def q_sector_benchmark(spark, d):
+    i = Inputs(spark, d)
+    return benchmark.sector_benchmark(segments.with_sector(i.staging(), i.nace_map()))
+
+
+@register("sector_trend", _with_sect("""
+SELECT sector, accounting_year, n, avg_roa_n, avg_solvency_pct_n,
+       avg_roa_n - LAG(avg_roa_n, 1) OVER w AS change_roa_n,
+       avg_solvency_pct_n - LAG(avg_solvency_pct_n, 1) OVER w AS change_solvency_pct_n
+FROM (SELECT sector, accounting_year, count(*) AS n, round(avg(roa_n), 9) AS avg_roa_n,
+             round(avg(solvency_pct_n), 9) AS avg_solvency_pct_n
+      FROM sect GROUP BY sector, accounting_year)
+WINDOW w AS (PARTITION BY sector ORDER BY accounting_year ASC NULLS FIRST)"""))
+def q_sector_trend(spark, d):
+    i = Inputs(spark, d)
+    return benchmark.sector_trend(segments.with_sector(i.staging(), i.nace_map()))
+
+
+_WINSOR_FEATURES = ["roa_y2", "solvency_y2", "liquidity_custom_y2", "debt_to_equity_y2", "ccf_revenue_y2"]
+
+
+def _winsor_sql() -> str:
+    union = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM training WHERE {c} IS NOT NULL"
+                               for c in _WINSOR_FEATURES)
+    return W(f"""
+, v AS ({union}),
+r AS (SELECT feature, x, row_number() OVER (PARTITION BY feature ORDER BY x) - 1 AS rk,
+             count(*) OVER (PARTITION BY feature) AS n FROM v),
+p AS (SELECT DISTINCT feature, n, CAST(0.99 AS DOUBLE) * (n - 1) AS pos FROM r)
+SELECT p.feature, p.n, lo.x + (hi.x - lo.x) * (p.pos - floor(p.pos)) AS p99
+FROM p JOIN r lo ON lo.feature = p.feature AND lo.rk = CAST(floor(p.pos) AS BIGINT)
+       JOIN r hi ON hi.feature = p.feature AND hi.rk = CAST(ceil(p.pos) AS BIGINT)""").replace("\n\n, v AS", ", v AS")
+
+
+@register("winsorize_p99", _winsor_sql())
+def q_winsorize_p99(spark, d):
+    return segments.percentile_table(Inputs(spark, d).training(), _WINSOR_FEATURES, 0.99)
+
+
+_PROFILE_FEATURES = ["roa_y2", "solvency_y2", "liquidity_custom_y2", "ccf_revenue_y2", "trend_delta_ccf_revenue"]
+# Reference: clusters with more than 5000 members of ~277k rows; scaled to the fixture sizes.
+PROFILE_MIN_MEMBERS = 40
+
+
+@register("cluster_profile", _with_lab(f"""
+SELECT rule_cluster, count(*) AS n, {", ".join(f"round(avg({c}), 9) AS avg_{c}" for c in _PROFILE_FEATURES)}
+FROM lab GROUP BY rule_cluster HAVING count(*) > {PROFILE_MIN_MEMBERS}"""))
+def q_cluster_profile(spark, d):
+    return segments.cluster_profile(Inputs(spark, d).labelled(), "rule_cluster", _PROFILE_FEATURES,
+                                    PROFILE_MIN_MEMBERS)
+
+
+@register("cluster_mix", _with_lab("""
+SELECT rule_cluster, company_segment, count(*) AS n,
+       CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY rule_cluster) AS share
+FROM lab GROUP BY rule_cluster, company_segment"""))
+def q_cluster_mix(spark, d):
+    return segments.category_mix(Inputs(spark, d).labelled(), "rule_cluster", "company_segment")
+
+
+@register("metrics_from_scores", _with_lab("""
+SELECT c.*, a.roc_auc FROM (
+  SELECT split, n, tp, fp, tn, fn,
+         CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0) AS precision,
+         CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0) AS recall,
+         CAST(tp + tn AS DOUBLE) / n AS accuracy,
+         2 * (CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0)) * (CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0))
+           / NULLIF(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0) + CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0) AS f1,
+         log_loss
+  FROM (SELECT split, count(*) AS n,
+          sum(CASE WHEN score >= 0.5 AND is_high_risk = 1 THEN 1 ELSE 0 END) AS tp,
+          sum(CASE WHEN score >= 0.5 AND is_high_risk = 0 THEN 1 ELSE 0 END) AS fp,
+          sum(CASE WHEN score < 0.5 AND is_high_risk = 0 THEN 1 ELSE 0 END) AS tn,
+          sum(CASE WHEN score < 0.5 AND is_high_risk = 1 THEN 1 ELSE 0 END) AS fn,
+          round(-avg(is_high_risk * ln(least(greatest(score, 1e-15), 1 - 1e-15))
+                     + (1 - is_high_risk) * ln(1 - least(greatest(score, 1e-15), 1 - 1e-15))), 10) AS log_loss
+        FROM lab GROUP BY split)) c
+JOIN (
+  SELECT split, sum(pos * (below + neg * 0.5)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)) AS roc_auc
+  FROM (SELECT *, COALESCE(sum(neg) OVER (PARTITION BY split ORDER BY score
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+        FROM (SELECT split, score, sum(is_high_risk) AS pos, sum(1 - is_high_risk) AS neg
+              FROM lab GROUP BY split, score))
+  GROUP BY split) a ON a.split = c.split"""))
+def q_metrics_from_scores(spark, d):
+    lab = Inputs(spark, d).labelled()
+    return metrics.classification_report(lab, ["split"], label="is_high_risk", score="score")

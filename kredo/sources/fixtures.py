@@ -242,7 +242,7 @@ def dim_nace_mapping(spark: SparkSession) -> DataFrame:
 def macro(spark: SparkSession) -> DataFrame:
     """Yearly macro indicators 2020-2026 (names ours)."""
     return spark.range(2020, 2027).selectExpr(
-        "id AS year", "(id - 2020) * 0.5 - 0.5 AS interest_rate",
+        "id AS year", "CAST(id - 2020 AS DOUBLE) * CAST(0.5 AS DOUBLE) - CAST(0.5 AS DOUBLE) AS interest_rate",
         "CAST((id * 7) % 10 AS DOUBLE) AS inflation")
 
 
@@ -272,7 +272,7 @@ def enterprise_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_sql(cu: str, y: str, label: str) -> str:
     """Deterministic model score of a labelled window (for metric operators)."""
-    return f"((({cu} * 37 + {y} * 11) % 100) + 40 * {label}) / 140.0"
+    return f"CAST((({cu} * 37 + {y} * 11) % 100) + 40 * {label} AS DOUBLE) / CAST(140 AS DOUBLE)"
 
 
 def rule_cluster_sql(cu: str) -> str:
