@@ -461,3 +461,120 @@ JOIN (
 def q_metrics_from_scores(spark, d):
     lab = Inputs(spark, d).labelled()
     return metrics.classification_report(lab, ["split"], label="is_high_risk", score="score")
+
+
+# ------------------------------------------------------------------ sources, ledger, ingest
+
+from kredo.sources import loaders  # noqa: E402
+from kredo.streaming import ingest  # noqa: E402
+
+_SCALARS = [c for c in fx.schemas.FILING_FIELDS]
+_FLAT_SQL = W(f"""
+SELECT {", ".join("f." + c for c in _SCALARS)}, f.filing_year, COALESCE(rc.n, 0) AS n_rubrics
+FROM filings f LEFT JOIN (SELECT ReferenceNumber, count(*) AS n FROM rubrics GROUP BY ReferenceNumber) rc
+  ON rc.ReferenceNumber = f.ReferenceNumber""", staging=False, training=False)
+
+
+def _flat_out(df: DataFrame) -> DataFrame:
+    return df.select(*_SCALARS, F.col("filing_year").cast("bigint").alias("filing_year"),
+                     F.coalesce(F.size("Rubrics"), F.lit(0)).cast("bigint").alias("n_rubrics"))
+
+
+@register("filing_flatten", _FLAT_SQL)
+def q_filing_flatten(spark, d):
+    """Filings serialised to the landed two-document JSON shape, parsed back and flattened."""
+    nested = loaders.nest_filings(Inputs(spark, d).filings())
+    text = nested.select(F.to_json(F.struct("EnterpriseNumber", "data", "reference")).alias("j"), "filing_year")
+    parsed = text.select(F.from_json("j", fx.schemas.RAW_FILING).alias("p"), "filing_year").select("p.*", "filing_year")
+    return _flat_out(loaders.flatten_filings(parsed))
+
+
+@register("ingest_stream", _FLAT_SQL)
+def q_ingest_stream(spark, d):
+    """Stream = batch: land filings in two arrivals, ingest each with availableNow, rerun once, read the sink."""
+    import uuid
+    from kredo.session import shared_path
+    root = shared_path(spark, "kredo-ingest", uuid.uuid4().hex)
+    landing, sink, ledger, ckpt = (f"{root}/{x}" for x in ("landing", "sink", "ledger", "checkpoint"))
+    nested = loaders.nest_filings(Inputs(spark, d).filings()).drop("filing_year")
+    years = F.col("reference.ExerciseDates.endDate").substr(1, 4).cast("int")
+    for arrival in (years <= 2022, years > 2022):
+        nested.where(arrival).write.mode("append").json(landing)
+        ingest.run_ingest(spark, landing, sink, ledger, ckpt)
+    ingest.run_ingest(spark, landing, sink, ledger, ckpt)      # nothing new: must add no rows
+    return _flat_out(ingest.read_sink(spark, sink))
+
+
+_DOTTED_ORDERS = fx.dotted("o_custkey")
+
+
+@register("distinct_enterprises", W(f"SELECT DISTINCT {_DOTTED_ORDERS} AS EnterpriseNumber FROM orders",
+                                    staging=False, training=False))
+def q_distinct_enterprises(spark, d):
+    return loaders.distinct_enterprises(fx.enterprise_list(spark, d))
+
+
+@register("resume_anti_join", W(f"""
+SELECT DISTINCT {_DOTTED_ORDERS} AS EnterpriseNumber FROM orders
+WHERE {_DOTTED_ORDERS} NOT IN (SELECT EnterpriseNumber FROM filings WHERE filing_year = 2020)""",
+                               staging=False, training=False))
+def q_resume_anti_join(spark, d):
+    i = Inputs(spark, d)
+    ledger = i.filings().where(F.col("filing_year") == 2020).select(
+        "EnterpriseNumber", F.col("filing_year").cast("bigint"))
+    return loaders.pending(fx.enterprise_list(spark, d), ledger, 2020)
+
+
+@register("ledger_update", W(f"""
+, done AS (SELECT DISTINCT EnterpriseNumber FROM filings WHERE filing_year = 2021)
+SELECT EnterpriseNumber, CAST(2021 AS BIGINT) AS filing_year, true AS has_filings FROM done
+UNION ALL
+SELECT DISTINCT {_DOTTED_ORDERS} AS EnterpriseNumber, CAST(2021 AS BIGINT) AS filing_year, false AS has_filings
+FROM orders WHERE {_DOTTED_ORDERS} NOT IN (SELECT EnterpriseNumber FROM done)""", staging=False, training=False))
+def q_ledger_update(spark, d):
+    return loaders.ledger_rows(fx.enterprise_list(spark, d), Inputs(spark, d).filings(), 2021)
+
+
+@register("date_normalise", W("""
+SELECT 'dim_enterprise' AS source, t.EnterpriseNumber AS entity, t.StartDate AS raw_date, e.StartDate AS parsed_date
+FROM dim_enterprise_text t JOIN dim_enterprise e USING (EnterpriseNumber)
+UNION ALL
+SELECT 'dim_address', EntityNumber, DateStrikingOff_raw, DateStrikingOff FROM (
+  SELECT a.*, t.DateStrikingOff AS DateStrikingOff_raw FROM dim_address a
+  JOIN dim_address_text t USING (EntityNumber, TypeOfAddress))""", staging=False, training=False))
+def q_date_normalise(spark, d):
+    from kredo.sources import schemas as sch
+    e = fx.dim_enterprise_text(spark, d)
+    e = e.select(F.lit("dim_enterprise").alias("source"), F.col("EnterpriseNumber").alias("entity"),
+                 F.col("StartDate").alias("raw_date"), F.col("StartDate").alias("_d"))
+    a = fx.dim_address_text(spark, d)
+    a = a.select(F.lit("dim_address").alias("source"), F.col("EntityNumber").alias("entity"),
+                 F.col("DateStrikingOff").alias("raw_date"), F.col("DateStrikingOff").alias("_d"))
+    both = e.unionByName(a)
+    return loaders.normalise_dates(both.withColumnRenamed("_d", "parsed_date"),
+                                   sch.T.StructType([sch.T.StructField("parsed_date", sch.T.DateType())]))
+
+
+@register("year_scan_pruned", W(f"""
+SELECT filing_year, count(*) AS n FROM filings
+WHERE filing_year BETWEEN {codes.SCAN_YEAR_MIN} AND {codes.SCAN_YEAR_MAX} GROUP BY filing_year""",
+                                staging=False, training=False))
+def q_year_scan_pruned(spark, d):
+    f = accounts.scan_years(Inputs(spark, d).filings())
+    return f.groupBy("filing_year").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("row_count", W("""
+SELECT 'dim_enterprise' AS table_name, count(*) AS n FROM dim_enterprise
+UNION ALL SELECT 'dim_address', count(*) FROM dim_address
+UNION ALL SELECT 'dim_activity', count(*) FROM dim_activity
+UNION ALL SELECT 'dim_nace_mapping', count(*) FROM nace_map""", staging=False, training=False))
+def q_row_count(spark, d):
+    i = Inputs(spark, d)
+    parts = [(name, df) for name, df in (("dim_enterprise", i.dim_enterprise()), ("dim_address", i.dim_address()),
+                                         ("dim_activity", i.dim_activity()), ("dim_nace_mapping", i.nace_map()))]
+    out = None
+    for name, df in parts:
+        c = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+        out = c if out is None else out.unionByName(c)
+    return out
