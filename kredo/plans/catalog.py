@@ -578,3 +578,90 @@ def q_row_count(spark, d):
         c = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+# ------------------------------------------------------------------ models (rows-only checks)
+
+from kredo.operators import models  # noqa: E402
+
+
+def _model_data(spark, d):
+    i = Inputs(spark, d)
+    t = i.training().withColumn(
+        "nace_primary_division", F.substring(F.replace("nace_primary_code", F.lit("."), F.lit("")), 1, 2))
+    t = segments.with_sector(t, i.nace_map()).drop("nace_primary_division")
+    return models.splits(t)
+
+
+@register("gbt_metrics")
+def q_gbt_metrics(spark, d):
+    """Boosted trees, no segmentation: six hold-out metrics (out-of-time split)."""
+    train, test = _model_data(spark, d)
+    return models.evaluate(models.fit(train, models.gbt(models.GbtParams())), test, "gbt_all")
+
+
+@register("gbt_importance")
+def q_gbt_importance(spark, d):
+    """Split count and mean gain per feature of the unsegmented model, largest gain first."""
+    train, _ = _model_data(spark, d)
+    m = models.fit(train, models.gbt(models.GbtParams()))
+    return models.importance(m, m.kredo_features).orderBy(F.col("gain").desc(), F.col("feature"))
+
+
+@register("hyperparam_search")
+def q_hyperparam_search(spark, d):
+    """Ten seeded random draws over the reference's ranges, ranked by validation ROC AUC."""
+    train, _ = _model_data(spark, d)
+    best, table = models.search(train, models.draw_params(10, seed=42))
+    return table.withColumn("best", (F.col("max_depth") == best.max_depth) & (F.col("step_size") == best.step_size)
+                            & (F.col("subsample") == best.subsample) & (F.col("colsample") == best.colsample))
+
+
+@register("gbt_per_segment")
+def q_gbt_per_segment(spark, d):
+    """Stratified modelling: one model for each of the three largest (sector, size) segments."""
+    train, test = _model_data(spark, d)
+    keys = ["sector", "company_segment"]
+    return models.per_group_metrics(train, test, keys, models.top_groups(train, keys, 3),
+                                    models.GbtParams(), "gbt_segment_")
+
+
+@register("kmeans_segments")
+def q_kmeans_segments(spark, d):
+    """k-means (k=32) on winsorised, standardised key ratios: members per cluster."""
+    train, test = _model_data(spark, d)
+    c = models.kmeans_clusters(train.unionByName(test, allowMissingColumns=True))
+    return c.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("gbt_per_cluster")
+def q_gbt_per_cluster(spark, d):
+    """One model for each of the three largest k-means clusters."""
+    train, test = _model_data(spark, d)
+    c = models.kmeans_clusters(train.unionByName(test, allowMissingColumns=True)).checkpoint()
+    tr, te = c.where(F.col("split") == "train"), c.where(F.col("split") == "eval")
+    return models.per_group_metrics(tr.drop(models.WEIGHT), te, ["cluster"], models.top_groups(tr, ["cluster"], 3),
+                                    models.GbtParams(), "gbt_cluster_")
+
+
+@register("logreg_metrics")
+def q_logreg_metrics(spark, d):
+    train, test = _model_data(spark, d)
+    return models.evaluate(models.fit(train, models.logreg()), test, "logreg")
+
+
+@register("rf_metrics")
+def q_rf_metrics(spark, d):
+    train, test = _model_data(spark, d)
+    return models.evaluate(models.fit(train, models.forest()), test, "random_forest")
+
+
+@register("model_comparison")
+def q_model_comparison(spark, d):
+    """Unsegmented vs sector segments vs clusters vs baselines, one metrics row per model."""
+    parts = [q_gbt_metrics(spark, d), q_gbt_per_segment(spark, d), q_gbt_per_cluster(spark, d),
+             q_logreg_metrics(spark, d), q_rf_metrics(spark, d)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
