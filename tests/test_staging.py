@@ -1,0 +1,99 @@
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import empty_dims, filing, filings_df, healthy
+from kredo.operators import accounts, financials, staging
+
+
+def _staging(spark, rows, mode="early"):
+    e, a, act = empty_dims(spark)
+    return staging.staging_master(filings_df(spark, rows), e, a, act, mode=mode)
+
+
+def test_model_filter_and_rank(spark):
+    rows = [
+        filing("A", "0001.000.001", "2022-12-31", model=None),        # dropped (NULL model)
+        filing("B", "0001.000.001", "2022-12-31", model="m02-p"),     # dropped (ends in p)
+        filing("C", "0001.000.001", "2022-12-31", model="m07-f"),     # rank 3
+        filing("D", "0001.000.001", "2022-12-31", model="m02"),       # rank 1, no dash
+    ]
+    got = accounts.preferred_accounts(filings_df(spark, rows)).select("ReferenceNumber").collect()
+    assert [r[0] for r in got] == ["D"]
+
+
+def test_tie_breaks(spark):
+    rows = [
+        filing("R2", "0001.000.002", "2022-12-31"),
+        filing("R1", "0001.000.002", "2022-12-31"),                   # equal on all keys: lower ref wins
+        filing("S1", "0001.000.003", "2022-12-31", improved=None),
+        filing("S2", "0001.000.003", "2022-12-31", improved="2023-05-01"),   # a date beats NULL
+        filing("T1", "0001.000.004", "2022-12-31", lang="FR"),
+        filing("T2", "0001.000.004", "2022-12-31", lang="NL"),        # NL before FR
+        filing("U1", "0001.000.005", "2022-12-31", rubrics=[("70", "N", "1")]),
+        filing("U2", "0001.000.005", "2022-12-31", rubrics=[("70", "N", "1"), ("9087", "N", "1")]),  # more rubrics
+    ]
+    got = sorted(r[0] for r in accounts.preferred_accounts(filings_df(spark, rows)).select("ReferenceNumber").collect())
+    assert got == ["R1", "S2", "T2", "U2"]
+
+
+def test_dotted_and_undotted_are_separate_dedup_groups(spark):
+    rows = [filing("A", "0001.000.006", "2022-12-31"), filing("B", "0001000006", "2022-12-31")]
+    p = accounts.preferred_accounts(filings_df(spark, rows))
+    assert p.count() == 2
+    assert {r[0] for r in p.select("clean_enterprise_number").collect()} == {"0001000006"}
+
+
+def test_scan_years_and_unparsable_end_date(spark):
+    rows = [filing("A", "1", "2019-12-31"), filing("B", "2", "2026-12-31"), filing("C", "3", "2023", year=2023),
+            filing("D", "4", "2021-12-31")]
+    p = accounts.preferred_accounts(filings_df(spark, rows))
+    got = {r["ReferenceNumber"]: r["accounting_year"] for r in p.collect()}
+    assert got == {"C": None, "D": 2021}
+
+
+@pytest.mark.parametrize("rubrics", [None, [], [("70", "X", "5")]])
+def test_filing_without_kept_rubrics_survives(spark, rubrics):
+    s = _staging(spark, [filing("A", "1", "2022-12-31", rubrics=rubrics)]).first()
+    assert s["revenue_n"] is None and s["total_assets_n"] is None
+    assert s["current_cashflow_pre_tax_n"] == 0.0 and s["company_segment"] == "Inactive/Empty"
+
+
+def test_code_twice_is_summed_and_spellings(spark):
+    r = [("70", "N", "10"), ("70", "N", "5"), ("2058", "N", "7"), ("20/58", "N", "3"), ("17/49", "N", "1"),
+         ("1749", "N", "100"), ("70", "NM1", "n/a"), ("70", "NM1", "4")]
+    s = _staging(spark, [filing("A", "1", "2022-12-31", rubrics=r)]).first()
+    assert s["revenue_n"] == 15.0 and s["total_assets_n"] == 10.0 and s["revenue_nm1"] == 4.0
+    b = financials.financials_base(accounts.preferred_accounts(filings_df(spark, [filing("A", "1", "2022-12-31",
+                                                                                         rubrics=r)]))).first()
+    assert b["c_17_49_n"] == 1.0      # "1749" is not an accepted spelling
+
+
+def test_ratios_and_null_denominators(spark):
+    r = healthy() + [("60", "N", "0"), ("175", "N", "5")]
+    s = _staging(spark, [filing("A", "1", "2022-12-31", rubrics=r)]).first()
+    assert s["roa_n"] == pytest.approx(1000.0 / 100000.0)
+    assert s["solvency_pct_n"] == pytest.approx(0.5)
+    assert s["current_ratio_custom_n"] == pytest.approx(1.5)
+    assert s["supplier_credit_days_n"] is None            # c_60 + c_61 = 0
+    assert s["roa_nm1"] is None                           # no previous-period rubrics
+    assert s["company_segment"] == "Micro"
+
+
+def test_plan_modes_agree(spark):
+    rows = [filing(f"R{i}", f"000{i % 3}.000.00{i % 2}", f"{2020 + i % 4}-12-31",
+                   model=["m02-f", "m01-f", "m07-f"][i % 3], improved=None if i % 2 else "2024-01-0" + str(1 + i % 9),
+                   rubrics=healthy(total=1000.0 * (i + 1)) + [("9905", "N", str(i)), ("70", "NM1", str(i * 3))])
+            for i in range(24)]
+    outs = [_staging(spark, rows, mode=m) for m in ("early", "fold", "join")]
+    a, b, c = [sorted(map(tuple, o.collect()), key=str) for o in outs]
+    assert a == b == c and len(a) > 0
+
+
+def test_one_row_per_enterprise_and_year(spark, sf_dir):
+    from kredo.plans.catalog import Inputs
+    s = Inputs(spark, sf_dir).staging()
+    dup = s.groupBy("enterprise_number", "accounting_year").count().where(F.col("count") > 1).count()
+    assert dup == 0
+    pref = Inputs(spark, sf_dir).preferred()
+    assert s.count() == pref.count()                      # the four left joins add or drop no rows
+    assert pref.groupBy("ReferenceNumber").count().where(F.col("count") > 1).count() == 0
