@@ -17,18 +17,25 @@ from pyspark.sql import functions as F
 EPS = 1e-15
 
 
-def confusion_metrics(df: DataFrame, group: list[str], label: str = "label", score: str = "score",
-                      threshold: float = 0.5, digits: int = 10) -> DataFrame:
-    y = F.col(label).cast("double")
+def score_counts(df: DataFrame, group: list[str], label: str = "label", score: str = "score") -> DataFrame:
+    """Positives and negatives per (group, distinct score): every metric below needs only this."""
+    return df.groupBy(*group, score).agg(
+        F.sum(F.col(label).cast("long")).alias("pos"),
+        F.sum((1 - F.col(label)).cast("long")).alias("neg"))
+
+
+def confusion_from_counts(s: DataFrame, group: list[str], score: str = "score", threshold: float = 0.5,
+                          digits: int = 10) -> DataFrame:
+    """Confusion counts, precision, recall, accuracy, F1 and log loss from per-score counts."""
+    hit = F.col(score) >= threshold
     p = F.least(F.greatest(F.col(score), F.lit(EPS)), F.lit(1 - EPS))
-    pred = (F.col(score) >= threshold).cast("int")
-    g = df.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(((pred == 1) & (F.col(label) == 1)).cast("long")).alias("tp"),
-        F.sum(((pred == 1) & (F.col(label) == 0)).cast("long")).alias("fp"),
-        F.sum(((pred == 0) & (F.col(label) == 0)).cast("long")).alias("tn"),
-        F.sum(((pred == 0) & (F.col(label) == 1)).cast("long")).alias("fn"),
-        F.round(-F.avg(y * F.log(p) + (1 - y) * F.log(1 - p)), digits).alias("log_loss"))
+    g = s.groupBy(*group).agg(
+        (F.sum("pos") + F.sum("neg")).alias("n"),
+        F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
+        F.sum(F.when(~hit, F.col("neg")).otherwise(0)).alias("tn"),
+        F.sum(F.when(~hit, F.col("pos")).otherwise(0)).alias("fn"),
+        F.sum(F.col("pos") * F.log(p) + F.col("neg") * F.log(1 - p)).alias("_ll"))
     prec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
     rec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))
     return g.select(
@@ -36,15 +43,16 @@ def confusion_metrics(df: DataFrame, group: list[str], label: str = "label", sco
         prec.alias("precision"), rec.alias("recall"),
         ((F.col("tp") + F.col("tn")) / F.col("n")).alias("accuracy"),
         F.try_divide(2 * prec * rec, prec + rec).alias("f1"),
-        "log_loss")
+        F.round(-F.col("_ll") / F.col("n"), digits).alias("log_loss"))
 
 
-def roc_auc(df: DataFrame, group: list[str], label: str = "label", score: str = "score",
-            buckets: int = 256) -> DataFrame:
-    """Exact ROC AUC per group (Mann-Whitney with half credit for ties)."""
-    s = df.groupBy(*group, score).agg(
-        F.sum(F.col(label).cast("long")).alias("pos"),
-        F.sum((1 - F.col(label)).cast("long")).alias("neg"))
+def confusion_metrics(df: DataFrame, group: list[str], label: str = "label", score: str = "score",
+                      threshold: float = 0.5, digits: int = 10) -> DataFrame:
+    return confusion_from_counts(score_counts(df, group, label, score), group, score, threshold, digits)
+
+
+def auc_from_counts(s: DataFrame, group: list[str], score: str = "score", buckets: int = 256) -> DataFrame:
+    """Exact ROC AUC per group from per-score counts (Mann-Whitney, ties count one half)."""
     # Bucket edges from approximate quantiles: a bounded list, used only to spread the work.
     qs = s.approxQuantile(score, [i / buckets for i in range(1, buckets)], 0.001)
     edges = sorted(set(q for q in qs if q is not None))
@@ -62,12 +70,22 @@ def roc_auc(df: DataFrame, group: list[str], label: str = "label", score: str =
     return g.select(*group, F.try_divide(F.col("_num"), F.col("_p") * F.col("_n")).alias("roc_auc"))
 
 
+def roc_auc(df: DataFrame, group: list[str], label: str = "label", score: str = "score",
+            buckets: int = 256) -> DataFrame:
+    """Exact ROC AUC per group (Mann-Whitney with half credit for ties)."""
+    return auc_from_counts(score_counts(df, group, label, score), group, score, buckets)
+
+
 def classification_report(df: DataFrame, group: list[str], label: str = "label", score: str = "score",
                           threshold: float = 0.5) -> DataFrame:
-    """Six metrics per group: precision, recall, accuracy, F1, log loss, ROC AUC (+ counts)."""
+    """Six metrics per group: precision, recall, accuracy, F1, log loss, ROC AUC (+ counts).
+
+    The scored rows are reduced once to per-score counts, which are written
+    to the shared checkpoint folder; every metric then reads that small table
+    instead of re-running the upstream plan.
+    """
     if not group:
         df, group = df.withColumn("_all", F.lit(1)), ["_all"]
-    c = confusion_metrics(df, group, label, score, threshold)
-    a = roc_auc(df, group, label, score)
-    out = c.join(a, group, "left")
+    s = score_counts(df, group, label, score).checkpoint()
+    out = confusion_from_counts(s, group, score, threshold).join(auc_from_counts(s, group, score), group, "left")
     return out.drop("_all") if group == ["_all"] else out

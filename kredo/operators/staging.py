@@ -33,8 +33,7 @@ def accounts_with_financials(preferred: DataFrame, fold: bool = True) -> DataFra
     ``fold=False`` runs the literal join.
     """
     if fold:
-        x = preferred.select(*ACCOUNT_COLUMNS, F.explode_outer("Rubrics").alias("r"))
-        x = x.select(*ACCOUNT_COLUMNS, *financials.slotted(F.col("r")))
+        x = financials.unnest_summed(preferred, ACCOUNT_COLUMNS)
         f = x.groupBy(*ACCOUNT_COLUMNS).agg(*financials.sums())
     else:
         fb = financials.financials_base(preferred).drop("EnterpriseNumber", "balance_sheet_date")
@@ -59,8 +58,7 @@ def preferred_with_financials(filings: DataFrame) -> DataFrame:
     f = f.select(*ACCOUNT_COLUMNS, "ImprovementDate", "Rubrics",
                  F.coalesce(F.size("Rubrics"), F.lit(0)).alias("_n_rubrics"),
                  F.monotonically_increasing_id().alias("_row"))
-    x = f.select(*keys, F.explode_outer("Rubrics").alias("r"))
-    x = x.select(*keys, *financials.slotted(F.col("r")))
+    x = financials.unnest_summed(f, keys)
     per_filing = x.groupBy(*keys).agg(*financials.sums())
     order = [accounts.model_rank_col().asc(), accounts.language_rank_col().asc(),
              F.col("ImprovementDate").desc_nulls_last(), F.col("_n_rubrics").desc(),

@@ -40,7 +40,8 @@ class Inputs:
     sf_dir: str
 
     def filings(self) -> DataFrame:
-        return fx.filings(self.spark, self.sf_dir)
+        """Filings as stored per-year tables (derived once from the driver tables, then read)."""
+        return fx.stored_filings(self.spark, self.sf_dir)
 
     def dim_enterprise(self) -> DataFrame:
         return fx.dim_enterprise(self.spark, self.sf_dir)
@@ -665,3 +666,15 @@ def q_model_comparison(spark, d):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@register("derive_filings", W("""
+SELECT filing_year, count(*) AS n_filings, sum(COALESCE(rc.n, 0)) AS n_rubrics
+FROM filings f LEFT JOIN (SELECT ReferenceNumber, count(*) AS n FROM rubrics GROUP BY ReferenceNumber) rc
+  ON rc.ReferenceNumber = f.ReferenceNumber
+GROUP BY filing_year""", staging=False, training=False))
+def q_derive_filings(spark, d):
+    """The derivation of the nested filings itself (orders x customer -> ~90 rubrics per filing), not stored."""
+    f = fx.filings(spark, d)
+    return f.groupBy(F.col("filing_year").cast("bigint").alias("filing_year")).agg(
+        F.count(F.lit(1)).alias("n_filings"), F.sum(F.size("Rubrics")).cast("bigint").alias("n_rubrics"))

@@ -139,14 +139,18 @@ def rubric_value(i: int, d: int, dialect: str = "spark") -> str:
 
 
 def rubrics_array_sql() -> str:
-    """Spark SQL: the filtered array<struct<Code,Period,Value>> of one filing."""
+    """Spark SQL: the array<struct<Code,Period,Value>> of one filing.
+
+    A concatenation of one-element (kept) or empty (dropped) arrays: all
+    codegen'd expressions, no lambda over the elements.
+    """
     elems = []
     for period, d in FIXTURE_PERIODS:
         for i in range(len(codes.RUBRICS)):
             elems.append(
-                f"CASE WHEN {rubric_keep(str(i))} THEN named_struct('Code', {rubric_code(i)}, "
-                f"'Period', '{period}', 'Value', {rubric_value(i, d)}) END")
-    return f"array_compact(array({', '.join(elems)}))"
+                f"CASE WHEN {rubric_keep(str(i))} THEN array(named_struct('Code', {rubric_code(i)}, "
+                f"'Period', '{period}', 'Value', {rubric_value(i, d)})) ELSE array() END")
+    return f"concat({', '.join(elems)})"
 
 
 # ---------------------------------------------------------------- Spark frames
@@ -165,8 +169,8 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``filing_year`` plays the role of the per-year table suffix (2020-2026).
     """
     base = _orders_with_names(spark, sf_dir)
-    out = base.selectExpr(*filing_cols(), f"{rubrics_array_sql()} AS Rubrics", "y AS filing_year")
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in schemas.FILING.fields], "filing_year")
+    # Every expression already has the declared type (text, array of text structs): no cast pass.
+    return base.selectExpr(*filing_cols(), f"{rubrics_array_sql()} AS Rubrics", "y AS filing_year")
 
 
 def rubric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,3 +282,52 @@ def score_sql(cu: str, y: str, label: str) -> str:
 def rule_cluster_sql(cu: str) -> str:
     """Deterministic cluster id standing in for k-means labels (exact profiles)."""
     return f"(({cu} * 13) % 32)"
+
+
+# ---------------------------------------------------------------- stored derived tables
+
+def _input_signature(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> str:
+    """Sizes and modification times of the driver tables a derived table is built from."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    parts = []
+    for n in names:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{n}.parquet")
+        st = p.getFileSystem(conf).getFileStatus(p)
+        parts.append(f"{n}:{st.getLen()}:{st.getModificationTime()}")
+    return ";".join(parts)
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build, inputs: tuple[str, ...],
+           partition_by: str | None = None) -> DataFrame:
+    """A derived table written once to the shared checkpoint folder, then read like any stored table.
+
+    The folder name is a hash of the derivation rules and the input files, so
+    a changed rule or input gives a new table.  The write goes to a private
+    temporary folder first and is renamed into place, so concurrent callers
+    and failed writes never expose a partial table.
+    """
+    import hashlib
+    import uuid
+
+    from kredo.session import shared_path
+    rules = rubrics_array_sql() + "|".join(filing_cols()) + "|".join(order_cols())
+    key = hashlib.sha1(f"{name}|{sf_dir}|{_input_signature(spark, sf_dir, inputs)}|{rules}".encode()).hexdigest()[:16]
+    final = shared_path(spark, "kredo-derived", f"{name}-{key}")
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    fpath = jvm.org.apache.hadoop.fs.Path(final)
+    fs = fpath.getFileSystem(conf)
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{final}/_SUCCESS")):
+        tmp = f"{final}.tmp-{uuid.uuid4().hex}"
+        w = build().write.mode("overwrite")
+        (w.partitionBy(partition_by) if partition_by else w).parquet(tmp)
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), fpath):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)      # another writer won: use its table
+    return spark.read.parquet(final)
+
+
+def stored_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived filings as a stored table partitioned by ``filing_year`` (the per-year tables)."""
+    df = stored(spark, sf_dir, "filings", lambda: filings(spark, sf_dir), ("orders", "customer"), "filing_year")
+    return df.select(*schemas.FILING.fieldNames(), F.col("filing_year").cast("bigint").alias("filing_year"))
