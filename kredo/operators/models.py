@@ -147,22 +147,29 @@ def splits(training: DataFrame) -> tuple[DataFrame, DataFrame]:
     return train, df.where(F.col("split") == "eval")
 
 
-def search(train: DataFrame, draws: list[GbtParams]) -> tuple[GbtParams, DataFrame]:
-    """Fit one model per draw on the training rows; pick the best validation ROC AUC.
+def search(train: DataFrame, draws: list[GbtParams], parallelism: int = 4) -> tuple[GbtParams, DataFrame]:
+    """Fit one model per draw; pick the best ROC AUC on the validation rows.
 
-    Returns the best draw and a frame of (trial, params, roc_auc) rows.
+    Trials run as concurrent Spark jobs (``parallelism`` at a time), as
+    TrainValidationSplit does, so small fits share the cluster instead of
+    queueing.  Returns the best draw and a (trial, params, roc_auc) frame.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     val_rows = train.where(F.col(VALID))
-    results = []
-    for i, p in enumerate(draws):
+
+    def trial(i_p):
+        i, p = i_p
         m = fit(train, gbt(p))          # early stopping uses the validation flag inside
         auc = metrics.roc_auc(scored(m, val_rows).withColumn("_g", F.lit(1)), ["_g"], LABEL, "score").first()
-        results.append((i, p.max_depth, p.step_size, p.subsample, p.colsample,
-                        None if auc is None else auc["roc_auc"]))
+        return (i, p.max_depth, p.step_size, p.subsample, p.colsample, None if auc is None else auc["roc_auc"])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        results = sorted(pool.map(trial, enumerate(draws)))
     spark = train.sparkSession
     table = spark.createDataFrame(results, "trial int, max_depth int, step_size double, subsample double, "
                                            "colsample double, roc_auc double")
-    best = max(range(len(draws)), key=lambda i: -1.0 if results[i][5] is None else results[i][5])
+    best = max(range(len(draws)), key=lambda i: (-1.0 if results[i][5] is None else results[i][5], -i))
     return draws[best], table
 
 

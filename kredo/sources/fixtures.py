@@ -41,10 +41,12 @@ def spread(df: DataFrame) -> DataFrame:
     (building ~100 rubrics per row) would then run on one core.  Large inputs
     arrive as many splits and are left untouched (no shuffle).
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the plan as is
         return df
-    return df.repartition(target)
+    return df if have >= target else df.repartition(target)
 
 
 # ---------------------------------------------------------------- snippets
@@ -328,6 +330,14 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, inputs: tuple[str
 
 
 def stored_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived filings as a stored table partitioned by ``filing_year`` (the per-year tables)."""
+    """The derived filings as a stored table partitioned by ``filing_year`` (the per-year tables).
+
+    Without a JVM handle (e.g. a Connect session) the filings are derived
+    lazily instead; results are the same.
+    """
+    try:
+        spark._jvm.org.apache.hadoop.fs.Path  # noqa: B018 - probe for a classic session
+    except Exception:  # noqa: BLE001
+        return filings(spark, sf_dir)
     df = stored(spark, sf_dir, "filings", lambda: filings(spark, sf_dir), ("orders", "customer"), "filing_year")
     return df.select(*schemas.FILING.fieldNames(), F.col("filing_year").cast("bigint").alias("filing_year"))
