@@ -10,14 +10,18 @@ def sector_benchmark(df: DataFrame, ratio: str = "solvency_pct_n", sector: str =
                      region: str = "MunicipalityNL", digits: int = 9) -> DataFrame:
     """Mean ratio per (sector, region) next to the sector's national mean.
 
-    Both sides are aggregates of the same rows; the national side has one row
-    per sector (bounded by the sector list), so it is broadcast into the join.
+    One pass over the rows: the national mean is rebuilt from the regional
+    sums and counts (sectors x regions rows), so the upstream plan is not run
+    a second time; the national side has one row per sector and is broadcast.
     """
     local = df.groupBy(sector, region).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg(ratio), digits).alias("region_mean"))
-    national = df.groupBy(sector).agg(F.round(F.avg(ratio), digits).alias("national_mean"))
+        F.count(F.lit(1)).alias("n"), F.sum(ratio).alias("_s"), F.count(ratio).alias("_c"))
+    national = local.groupBy(sector).agg(
+        F.round(F.try_divide(F.sum("_s"), F.sum("_c")), digits).alias("national_mean"))
+    local = local.withColumn("region_mean", F.round(F.try_divide(F.col("_s"), F.col("_c")), digits))
     out = local.join(F.broadcast(national), local[sector].eqNullSafe(national[sector]), "left").drop(national[sector])
-    return out.withColumn("gap", F.col("region_mean") - F.col("national_mean"))
+    return out.select(sector, region, "n", "region_mean", "national_mean",
+                      (F.col("region_mean") - F.col("national_mean")).alias("gap"))
 
 
 def sector_trend(df: DataFrame, sector: str = "sector", year: str = "accounting_year",

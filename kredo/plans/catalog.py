@@ -445,10 +445,10 @@ SELECT c.*, a.roc_auc FROM (
            / NULLIF(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0) + CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0) AS f1,
          log_loss
   FROM (SELECT split, count(*) AS n,
-          sum(CASE WHEN score >= 0.5 AND is_high_risk = 1 THEN 1 ELSE 0 END) AS tp,
-          sum(CASE WHEN score >= 0.5 AND is_high_risk = 0 THEN 1 ELSE 0 END) AS fp,
-          sum(CASE WHEN score < 0.5 AND is_high_risk = 0 THEN 1 ELSE 0 END) AS tn,
-          sum(CASE WHEN score < 0.5 AND is_high_risk = 1 THEN 1 ELSE 0 END) AS fn,
+          CAST(sum(CASE WHEN score >= 0.5 AND is_high_risk = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+          CAST(sum(CASE WHEN score >= 0.5 AND is_high_risk = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+          CAST(sum(CASE WHEN score < 0.5 AND is_high_risk = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+          CAST(sum(CASE WHEN score < 0.5 AND is_high_risk = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
           round(-avg(is_high_risk * ln(least(greatest(score, 1e-15), 1 - 1e-15))
                      + (1 - is_high_risk) * ln(1 - least(greatest(score, 1e-15), 1 - 1e-15))), 10) AS log_loss
         FROM lab GROUP BY split)) c
@@ -669,7 +669,7 @@ def q_model_comparison(spark, d):
 
 
 @register("derive_filings", W("""
-SELECT filing_year, count(*) AS n_filings, sum(COALESCE(rc.n, 0)) AS n_rubrics
+SELECT filing_year, count(*) AS n_filings, CAST(sum(COALESCE(rc.n, 0)) AS BIGINT) AS n_rubrics
 FROM filings f LEFT JOIN (SELECT ReferenceNumber, count(*) AS n FROM rubrics GROUP BY ReferenceNumber) rc
   ON rc.ReferenceNumber = f.ReferenceNumber
 GROUP BY filing_year""", staging=False, training=False))
