@@ -36,20 +36,37 @@ WEIGHT = "class_weight"
 VALID = "is_validation"
 
 NUMERIC = ["year_y2", "year_y1"] + [f"{stem}_{t}" for t in ("y2", "y1") for _, stem in feat.LAGGED] \
-    + [f"trend_delta_{s}" for s in feat.DELTAS] + [f"trend_growth_{s}" for s in feat.GROWTHS]
-CATEGORICAL = ["company_segment", "nace_division"]
+    + [f"trend_delta_{s}" for s in feat.DELTAS] + [f"trend_growth_{s}" for s in feat.GROWTHS] \
+    + ["interest_rate_y2", "inflation_y2"]
+# Model-type prefix of year 2 and sector appear among the reference's model features.
+CATEGORICAL = ["company_segment", "nace_division", "model_prefix_y2", "sector"]
+EXTRA_LAGS = ["raw_model_type"]
 KMEANS_FEATURES = ["roa_y2", "solvency_y2", "liquidity_custom_y2", "debt_to_equity_y2", "ccf_revenue_y2",
                    "trend_delta_ccf_revenue"]
 
 
-def model_input(training: DataFrame, drop_leak: bool = True) -> DataFrame:
+def model_input(training: DataFrame, drop_leak: bool = True, macro: DataFrame | None = None) -> DataFrame:
     """Labelled windows with a target, plus the split, a validation flag and model columns.
 
     The validation flag (for early stopping) is a hash of the window's key:
     deterministic under retries and repartitioning, unlike ``rand()``.
+    Macro indicators of year 2 come from a one-row-per-year table (broadcast).
+    Missing optional inputs (no lagged model type, no sector, no macro) give
+    NULL features, which the feature stages treat as missing.
     """
     df = lab.labelled(training)
     df = df.withColumn("nace_division", F.substring(F.replace("nace_primary_code", F.lit("."), F.lit("")), 1, 2))
+    df = df.withColumn("model_prefix_y2", F.substring_index(F.col("raw_model_type_y2"), "-", 1)
+                       if "raw_model_type_y2" in df.columns else F.lit(None).cast("string"))
+    if "sector" not in df.columns:
+        df = df.withColumn("sector", F.lit(None).cast("string"))
+    if macro is not None:
+        m = macro.select(F.col("year").alias("_my"), F.col("interest_rate").alias("interest_rate_y2"),
+                         F.col("inflation").alias("inflation_y2"))
+        df = df.join(F.broadcast(m), df["year_y2"] == F.col("_my"), "left").drop("_my")
+    else:
+        df = (df.withColumn("interest_rate_y2", F.lit(None).cast("double"))
+                .withColumn("inflation_y2", F.lit(None).cast("double")))
     df = df.withColumn(VALID, (F.pmod(F.xxhash64("enterprise_number", "target_year_y3"), F.lit(5)) == 0))
     if drop_leak:
         df = df.drop(*lab.LEAKY)
@@ -103,6 +120,12 @@ def gbt(p: GbtParams, seed: int = 7) -> GBTClassifier:
         validationIndicatorCol=VALID, validationTol=0.01, maxBins=128, seed=seed)
 
 
+def usable_categorical(train: DataFrame, categorical: list[str] = CATEGORICAL) -> list[str]:
+    """Categorical features with at least one value (an index needs one label to learn)."""
+    counts = train.agg(*[F.count(c).alias(c) for c in categorical]).first()
+    return [c for c in categorical if counts[c] > 0]
+
+
 def usable_numeric(train: DataFrame, numeric: list[str] = NUMERIC) -> list[str]:
     """Numeric features with at least one value in these rows (one aggregate, one result row).
 
@@ -116,7 +139,7 @@ def usable_numeric(train: DataFrame, numeric: list[str] = NUMERIC) -> list[str]:
 def fit(train: DataFrame, classifier) -> PipelineModel:
     """Fit features + classifier; the model remembers its feature names (``kredo_features``)."""
     numeric = usable_numeric(train)
-    stages, names = feature_stages(numeric)
+    stages, names = feature_stages(numeric, usable_categorical(train))
     # Missing indicators of dropped columns are kept as features too.
     extra = [f"{c}_missing" for c in NUMERIC if c not in numeric]
     stages[-1].setInputCols(names + extra)
@@ -136,13 +159,13 @@ def evaluate(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
     return metrics.classification_report(s, ["model"], label=LABEL, score="score")
 
 
-def splits(training: DataFrame) -> tuple[DataFrame, DataFrame]:
+def splits(training: DataFrame, macro: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Out-of-time split (train: target year <= 2023) with class weights from the training rows.
 
     The prepared rows are checkpointed (shared checkpoint folder) once, so
     every fit reads the same rows and not the whole upstream lineage.
     """
-    df = prepare(model_input(training)).checkpoint()
+    df = prepare(model_input(training, macro=macro)).checkpoint()
     train = lab.with_weights(df.where(F.col("split") == "train"), LABEL)
     return train, df.where(F.col("split") == "eval")
 

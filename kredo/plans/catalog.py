@@ -587,11 +587,12 @@ from kredo.operators import models  # noqa: E402
 
 
 def _model_data(spark, d):
+    """Training windows with the optional model inputs: lagged model type, sector, macro of year 2."""
     i = Inputs(spark, d)
-    t = i.training().withColumn(
+    t = features.training_dataset(i.staging(keep_key=True), extra=models.EXTRA_LAGS).withColumn(
         "nace_primary_division", F.substring(F.replace("nace_primary_code", F.lit("."), F.lit("")), 1, 2))
     t = segments.with_sector(t, i.nace_map()).drop("nace_primary_division")
-    return models.splits(t)
+    return models.splits(t, macro=i.macro())
 
 
 @register("gbt_metrics")

@@ -43,15 +43,17 @@ def staging_job(spark: SparkSession, tables: str, out: str, lo: int = codes.SCAN
 
 
 def training_job(spark: SparkSession, staging_path: str, out: str) -> None:
-    sinks.write_table(features.training_dataset(spark.read.parquet(staging_path)), out)
+    """The 62-column training table plus the lagged model type (an optional model input)."""
+    sinks.write_table(features.training_dataset(spark.read.parquet(staging_path), extra=models.EXTRA_LAGS), out)
 
 
-def models_job(spark: SparkSession, training_path: str, nace_path: str, out: str) -> DataFrame:
+def models_job(spark: SparkSession, training_path: str, nace_path: str, out: str,
+               macro_path: str | None = None) -> DataFrame:
     """Unsegmented, per-segment and per-cluster boosted trees plus baselines; metrics table."""
     t = spark.read.parquet(training_path).withColumn(
         "nace_primary_division", F.substring(F.replace("nace_primary_code", F.lit("."), F.lit("")), 1, 2))
     t = segments.with_sector(t, spark.read.parquet(nace_path)).drop("nace_primary_division")
-    train, test = models.splits(t)
+    train, test = models.splits(t, macro=spark.read.parquet(macro_path) if macro_path else None)
     best, _ = models.search(train, models.draw_params(10))
     parts = [models.evaluate(models.fit(train, models.gbt(best)), test, "gbt_all")]
     keys = ["sector", "company_segment"]
@@ -77,6 +79,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--staging")
     ap.add_argument("--training")
     ap.add_argument("--nace")
+    ap.add_argument("--macro")
     ap.add_argument("--out", required=True)
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"kredo-{a.job}").getOrCreate()
@@ -88,7 +91,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "training":
         training_job(spark, a.staging, a.out)
     else:
-        models_job(spark, a.training, a.nace, a.out)
+        models_job(spark, a.training, a.nace, a.out, a.macro)
 
 
 if __name__ == "__main__":
