@@ -20,9 +20,10 @@ def scan_years(filings: DataFrame, lo: int = codes.SCAN_YEAR_MIN, hi: int = code
 
 def with_keys(filings: DataFrame) -> DataFrame:
     """Add accounting_year (year of the safely cast end date) and the clean number."""
-    return (filings
-            .withColumn("accounting_year", F.year(safe_date("EndDate")).cast("bigint"))
-            .withColumn("clean_enterprise_number", clean_number("EnterpriseNumber")))
+    out = filings.withColumn("accounting_year", F.year(safe_date("EndDate")).cast("bigint"))
+    if "clean_enterprise_number" in filings.columns:     # stored with the filings (bucket key): keep it
+        return out
+    return out.withColumn("clean_enterprise_number", clean_number("EnterpriseNumber"))
 
 
 def model_rank_col():
@@ -33,6 +34,12 @@ def language_rank_col():
     return language_rank("Language")
 
 
+# The clean number is a function of the raw one, so it leaves the groups of
+# (raw number, year) unchanged; listing it lets a table bucketed (or a plan
+# partitioned) by the clean number satisfy the window without a shuffle.
+DEDUP_KEYS = ["clean_enterprise_number", "EnterpriseNumber", "accounting_year"]
+
+
 def preference_order() -> list:
     """Model rank, language rank, latest improvement, most rubrics; reference number breaks ties."""
     return [
@@ -54,5 +61,5 @@ def preferred_accounts(filings: DataFrame, lo: int = codes.SCAN_YEAR_MIN,
     """
     f = scan_years(filings, lo, hi).where(~F.col("ModelType").like("%p"))   # NULL model is dropped too
     f = with_keys(f)
-    w = Window.partitionBy("EnterpriseNumber", "accounting_year").orderBy(*preference_order())
+    w = Window.partitionBy(*DEDUP_KEYS).orderBy(*preference_order())
     return f.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

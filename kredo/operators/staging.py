@@ -63,7 +63,7 @@ def preferred_with_financials(filings: DataFrame) -> DataFrame:
     order = [accounts.model_rank_col().asc(), accounts.language_rank_col().asc(),
              F.col("ImprovementDate").desc_nulls_last(), F.col("_n_rubrics").desc(),
              F.col("ReferenceNumber").asc_nulls_first(), F.col("_row").asc()]
-    w = Window.partitionBy("EnterpriseNumber", "accounting_year").orderBy(*order)
+    w = Window.partitionBy(*accounts.DEDUP_KEYS).orderBy(*order)
     best = per_filing.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     return best.drop("_rn", "ImprovementDate", "_n_rubrics", "_row").select("*", *financials.derived_columns())
 

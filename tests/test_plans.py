@@ -69,3 +69,25 @@ def test_features_window_is_keyed_by_clean_number(spark, sf_dir):
     s = Inputs(spark, sf_dir).staging(keep_key=True)
     assert "clean_enterprise_number" in s.columns
     assert "clean_enterprise_number" not in features.training_dataset(s).columns
+
+
+def test_bucketed_filings_are_never_shuffled(spark, sf_dir, no_aqe_no_broadcast):
+    from kredo.plans.catalog import Inputs
+    from kredo.operators import staging
+    from kredo.sources import sinks
+    path = os.path.join(tempfile.mkdtemp(prefix="kredo-test-bucket-"), "filings")
+    sinks.save_filings_bucketed(fixtures.stored_filings(spark, sf_dir), "kredo_test_filings", path, 8)
+    i = Inputs(spark, sf_dir)
+    f = spark.table("kredo_test_filings")
+    s = staging.staging_with_key(f, i.dim_enterprise(), i.dim_address(), i.dim_activity())
+    plan = _plan(features.training_dataset(s), "simple")
+    exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    # Only the dimensions move (to the buckets of the clean number); no exchange on the fact keys.
+    fact = [ln for ln in exchanges if "ReferenceNumber" in ln or "accounting_year" in ln
+            or re.search(r"hashpartitioning\((enterprise_number|EnterpriseNumber)#\d+, (clean|accounting)", ln)]
+    assert fact == []
+    assert 0 < len(exchanges) <= 5
+    # Same rows as the unbucketed plan.
+    a = features.training_dataset(s).drop("clean_enterprise_number")
+    b = i.training()
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
