@@ -25,7 +25,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kredo.functions import codes
 from kredo.operators import features as feat
 from kredo.operators import label as lab
 from kredo.operators import metrics
@@ -261,5 +260,3 @@ def forest(seed: int = 7) -> RandomForestClassifier:
     return RandomForestClassifier(labelCol=LABEL, featuresCol="features", weightCol=WEIGHT, numTrees=100,
                                   maxDepth=8, maxBins=128, seed=seed)
 
-
-TRAIN_MAX_YEAR = codes.TRAIN_MAX_YEAR

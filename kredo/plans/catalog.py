@@ -310,14 +310,8 @@ lab AS (
 )"""
 
 
-def WL(body: str) -> str:
-    return W(body).replace("\nSELECT", "," + _LAB + "\nSELECT", 1) if False else _with_lab(body)
-
-
 def _with_lab(body: str) -> str:
-    full = W(body)
-    head, _, tail = full.rpartition("\n" + body.lstrip("\n").split("\n")[0])
-    return head + "," + _LAB + "\n" + body.lstrip("\n")
+    return W(body, extra=_LAB)
 
 
 @register("sector_lookup", W("""
@@ -364,9 +358,7 @@ sect AS (
 
 
 def _with_sect(body: str) -> str:
-    full = W(body, training=False)
-    head, _, _ = full.rpartition("\n" + body.lstrip("\n").split("\n")[0])
-    return head + "," + _SECTORED + "\n" + body.lstrip("\n")
+    return W(body, training=False, extra=_SECTORED)
 
 
 @register("sector_benchmark", _with_sect("""
@@ -400,13 +392,13 @@ def _winsor_sql() -> str:
     union = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM training WHERE {c} IS NOT NULL"
                                for c in _WINSOR_FEATURES)
     return W(f"""
-, v AS ({union}),
-r AS (SELECT feature, x, row_number() OVER (PARTITION BY feature ORDER BY x) - 1 AS rk,
-             count(*) OVER (PARTITION BY feature) AS n FROM v),
-p AS (SELECT DISTINCT feature, n, CAST(0.99 AS DOUBLE) * (n - 1) AS pos FROM r)
 SELECT p.feature, p.n, lo.x + (hi.x - lo.x) * (p.pos - floor(p.pos)) AS p99
 FROM p JOIN r lo ON lo.feature = p.feature AND lo.rk = CAST(floor(p.pos) AS BIGINT)
-       JOIN r hi ON hi.feature = p.feature AND hi.rk = CAST(ceil(p.pos) AS BIGINT)""").replace("\n\n, v AS", ", v AS")
+       JOIN r hi ON hi.feature = p.feature AND hi.rk = CAST(ceil(p.pos) AS BIGINT)""", extra=f"""
+v AS ({union}),
+r AS (SELECT feature, x, row_number() OVER (PARTITION BY feature ORDER BY x) - 1 AS rk,
+             count(*) OVER (PARTITION BY feature) AS n FROM v),
+p AS (SELECT DISTINCT feature, n, CAST(0.99 AS DOUBLE) * (n - 1) AS pos FROM r)""")
 
 
 @register("winsorize_p99", _winsor_sql())
@@ -527,11 +519,11 @@ def q_resume_anti_join(spark, d):
 
 
 @register("ledger_update", W(f"""
-, done AS (SELECT DISTINCT EnterpriseNumber FROM filings WHERE filing_year = 2021)
 SELECT EnterpriseNumber, CAST(2021 AS BIGINT) AS filing_year, true AS has_filings FROM done
 UNION ALL
 SELECT DISTINCT {_DOTTED_ORDERS} AS EnterpriseNumber, CAST(2021 AS BIGINT) AS filing_year, false AS has_filings
-FROM orders WHERE {_DOTTED_ORDERS} NOT IN (SELECT EnterpriseNumber FROM done)""", staging=False, training=False))
+FROM orders WHERE {_DOTTED_ORDERS} NOT IN (SELECT EnterpriseNumber FROM done)""", staging=False, training=False,
+                              extra="done AS (SELECT DISTINCT EnterpriseNumber FROM filings WHERE filing_year = 2021)"))
 def q_ledger_update(spark, d):
     return loaders.ledger_rows(fx.enterprise_list(spark, d), Inputs(spark, d).filings(), 2021)
 
