@@ -51,3 +51,29 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written intermediate tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def cluster_settings(input_bytes: int, executor_cores_total: int,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Suggested settings for a cluster run over ``input_bytes`` of filings.
+
+    * The heaviest shuffle carries one narrow row per filing (sums, not
+      rubrics), roughly 1/3 of the input; start with enough partitions for
+      ~256 MB each and let AQE coalesce small ones.
+    * Scan splits of 512 MB keep tasks few but well under executor memory:
+      the rubric arrays shrink ~100x in the map-side aggregate.
+    * Broadcasts stay under Spark's size check; nothing that grows with the
+      data is forced to broadcast.
+    """
+    shuffle_bytes = max(input_bytes // 3, 1)
+    partitions = max(executor_cores_total * 2, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.sources.bucketing.enabled": "true",
+    }
