@@ -59,6 +59,10 @@ def _kth(df: DataFrame, col: str, k: int, buckets: int = 1024, local_rows: int =
             vals = sorted(r[0] for r in cur.select(x).collect())
             return float(vals[k - below])
         width = (hi - lo) / buckets
+        if width == 0.0:
+            # lo and hi are adjacent doubles: only these two values remain.
+            n_lo = cur.where(x == F.lit(lo)).count()
+            return float(lo if k - below < n_lo else hi)
         b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
         counts = sorted((r["b"], r["c"]) for r in cur.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
         acc = below
