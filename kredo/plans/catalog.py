@@ -587,11 +587,39 @@ def _model_data(spark, d):
     return models.splits(t, macro=i.macro())
 
 
+def _gbt_all(train, test):
+    return models.evaluate(models.fit(train, models.gbt(models.GbtParams())), test, "gbt_all")
+
+
+def _gbt_segments(train, test):
+    keys = ["sector", "company_segment"]
+    return models.per_group_metrics(train, test, keys, models.top_groups(train, keys, 3),
+                                    models.GbtParams(), "gbt_segment_")
+
+
+def _clusters(train, test):
+    return models.kmeans_clusters(train.unionByName(test, allowMissingColumns=True))
+
+
+def _gbt_clusters(train, test):
+    c = _clusters(train, test).checkpoint()
+    tr, te = c.where(F.col("split") == "train"), c.where(F.col("split") == "eval")
+    return models.per_group_metrics(tr.drop(models.WEIGHT), te, ["cluster"], models.top_groups(tr, ["cluster"], 3),
+                                    models.GbtParams(), "gbt_cluster_")
+
+
+def _logreg(train, test):
+    return models.evaluate(models.fit(train, models.logreg()), test, "logreg")
+
+
+def _forest(train, test):
+    return models.evaluate(models.fit(train, models.forest()), test, "random_forest")
+
+
 @register("gbt_metrics")
 def q_gbt_metrics(spark, d):
     """Boosted trees, no segmentation: six hold-out metrics (out-of-time split)."""
-    train, test = _model_data(spark, d)
-    return models.evaluate(models.fit(train, models.gbt(models.GbtParams())), test, "gbt_all")
+    return _gbt_all(*_model_data(spark, d))
 
 
 @register("gbt_importance")
@@ -614,47 +642,39 @@ def q_hyperparam_search(spark, d):
 @register("gbt_per_segment")
 def q_gbt_per_segment(spark, d):
     """Stratified modelling: one model for each of the three largest (sector, size) segments."""
-    train, test = _model_data(spark, d)
-    keys = ["sector", "company_segment"]
-    return models.per_group_metrics(train, test, keys, models.top_groups(train, keys, 3),
-                                    models.GbtParams(), "gbt_segment_")
+    return _gbt_segments(*_model_data(spark, d))
 
 
 @register("kmeans_segments")
 def q_kmeans_segments(spark, d):
     """k-means (k=32) on winsorised, standardised key ratios: members per cluster."""
-    train, test = _model_data(spark, d)
-    c = models.kmeans_clusters(train.unionByName(test, allowMissingColumns=True))
-    return c.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    return _clusters(*_model_data(spark, d)).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("gbt_per_cluster")
 def q_gbt_per_cluster(spark, d):
     """One model for each of the three largest k-means clusters."""
-    train, test = _model_data(spark, d)
-    c = models.kmeans_clusters(train.unionByName(test, allowMissingColumns=True)).checkpoint()
-    tr, te = c.where(F.col("split") == "train"), c.where(F.col("split") == "eval")
-    return models.per_group_metrics(tr.drop(models.WEIGHT), te, ["cluster"], models.top_groups(tr, ["cluster"], 3),
-                                    models.GbtParams(), "gbt_cluster_")
+    return _gbt_clusters(*_model_data(spark, d))
 
 
 @register("logreg_metrics")
 def q_logreg_metrics(spark, d):
-    train, test = _model_data(spark, d)
-    return models.evaluate(models.fit(train, models.logreg()), test, "logreg")
+    return _logreg(*_model_data(spark, d))
 
 
 @register("rf_metrics")
 def q_rf_metrics(spark, d):
-    train, test = _model_data(spark, d)
-    return models.evaluate(models.fit(train, models.forest()), test, "random_forest")
+    return _forest(*_model_data(spark, d))
 
 
 @register("model_comparison")
 def q_model_comparison(spark, d):
-    """Unsegmented vs sector segments vs clusters vs baselines, one metrics row per model."""
-    parts = [q_gbt_metrics(spark, d), q_gbt_per_segment(spark, d), q_gbt_per_cluster(spark, d),
-             q_logreg_metrics(spark, d), q_rf_metrics(spark, d)]
+    """Unsegmented vs sector segments vs clusters vs baselines, one metrics row per model.
+
+    The training data is prepared (and checkpointed) once and shared by all fits.
+    """
+    train, test = _model_data(spark, d)
+    parts = [f(train, test) for f in (_gbt_all, _gbt_segments, _gbt_clusters, _logreg, _forest)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
