@@ -24,7 +24,7 @@ def get_session(master: str | None = None, partitions: int = 8, app: str = "kred
         b = b.master(master)
     b = (b.config("spark.ui.enabled", "false")
           .config("spark.sql.shuffle.partitions", str(partitions))
-          .config("spark.driver.memory", os.environ.get("KREDO_DRIVER_MEMORY", "8g")))
+          .config("spark.driver.memory", os.environ.get("KREDO_DRIVER_MEMORY", "4g")))
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
