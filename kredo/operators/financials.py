@@ -80,12 +80,13 @@ def financials_base(preferred: DataFrame) -> DataFrame:
 
     Unwanted rubrics (period X, unused codes) get a NULL slot and add nothing,
     which equals filtering the array first while keeping one row per filing.
-    ``accounting_year`` (a function of the same end date) joins the grouping
-    keys so that the aggregate reuses the deduplication's partitioning.
+    ``accounting_year`` (a function of the same end date) and the clean
+    number (a function of the raw one) join the grouping keys so that the
+    aggregate reuses the deduplication's partitioning (no second shuffle).
     """
-    keys = ["EnterpriseNumber", "accounting_year", "ReferenceNumber", "balance_sheet_date"]
+    keys = ["clean_enterprise_number", "EnterpriseNumber", "accounting_year", "ReferenceNumber", "balance_sheet_date"]
     x = unnest_summed(preferred.withColumn("balance_sheet_date", safe_date("EndDate")), keys)
-    g = x.groupBy("EnterpriseNumber", "accounting_year", "ReferenceNumber", "balance_sheet_date").agg(*sums())
+    g = x.groupBy(*keys).agg(*sums())
     return g.select("ReferenceNumber", "EnterpriseNumber", "balance_sheet_date", *sum_columns())
 
 

@@ -91,3 +91,9 @@ def test_bucketed_filings_are_never_shuffled(spark, sf_dir, no_aqe_no_broadcast)
     a = features.training_dataset(s).drop("clean_enterprise_number")
     b = i.training()
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_financials_base_adds_no_shuffle_after_dedup(spark, sf_dir, no_aqe_no_broadcast):
+    from kredo.operators import financials
+    plan = _plan(financials.financials_base(accounts.preferred_accounts(Inputs(spark, sf_dir).filings())), "simple")
+    assert len([ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]) == 1
