@@ -53,6 +53,8 @@ def preferred_with_financials(filings: DataFrame) -> DataFrame:
     the reference's window does.
     """
     f = accounts.with_keys(accounts.scan_years(filings).where(~F.col("ModelType").like("%p")))
+    if "_filing_id" in f.columns:
+        return _preferred_with_financials_by_id(f)
     keys = ACCOUNT_COLUMNS + ["ImprovementDate", "_n_rubrics", "_row"]
     # The row id is fixed before the unnest (one id per filing, not per rubric).
     f = f.select(*ACCOUNT_COLUMNS, "ImprovementDate", "Rubrics",
@@ -68,6 +70,30 @@ def preferred_with_financials(filings: DataFrame) -> DataFrame:
     return best.drop("_rn", "ImprovementDate", "_n_rubrics", "_row").select("*", *financials.derived_columns())
 
 
+def _dedup(per_filing: DataFrame) -> DataFrame:
+    order = [accounts.model_rank_col().asc(), accounts.language_rank_col().asc(),
+             F.col("ImprovementDate").desc_nulls_last(), F.col("_n_rubrics").desc(),
+             F.col("ReferenceNumber").asc_nulls_first(), F.col("_tie").asc()]
+    w = Window.partitionBy(*accounts.DEDUP_KEYS).orderBy(*order)
+    best = per_filing.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+    return best.drop("_rn", "ImprovementDate", "_n_rubrics", "_tie").select("*", *financials.derived_columns())
+
+
+def _preferred_with_financials_by_id(f: DataFrame) -> DataFrame:
+    """The same result when filings carry a stable per-row id (``_filing_id``, see fixtures.file_row_id).
+
+    Only the id rides through the unnest and the sums are keyed by it alone
+    (a fixed-width key), so the rubric rows stay narrow; the filing's own
+    columns (one row per filing) are joined back on the id before the
+    deduplication.  Exchanges still carry one narrow row per filing.
+    """
+    sums = financials.unnest_summed(f, ["_filing_id"]).groupBy("_filing_id").agg(*financials.sums())
+    attrs = f.select(*ACCOUNT_COLUMNS, "ImprovementDate", F.coalesce(F.size("Rubrics"), F.lit(0)).alias("_n_rubrics"),
+                     "_filing_id")
+    per_filing = attrs.join(sums, "_filing_id").withColumnRenamed("_filing_id", "_tie")
+    return _dedup(per_filing)
+
+
 def _sd(a: Column | str, b: Column | str) -> Column:
     return safe_divide(a, b)
 

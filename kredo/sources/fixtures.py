@@ -340,4 +340,16 @@ def stored_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     except Exception:  # noqa: BLE001
         return filings(spark, sf_dir)
     df = stored(spark, sf_dir, "filings", lambda: filings(spark, sf_dir), ("orders", "customer"), "filing_year")
-    return df.select(*schemas.FILING.fieldNames(), F.col("filing_year").cast("bigint").alias("filing_year"))
+    return df.select(*schemas.FILING.fieldNames(), F.col("filing_year").cast("bigint").alias("filing_year"),
+                     file_row_id())
+
+
+def file_row_id() -> "F.Column":
+    """A stable id of a stored row: (hash of its file, its position in the file).
+
+    Read straight from the file's metadata, it is the same in every scan of
+    the table and on every task retry (unlike an id assigned at run time).
+    Use on a DataFrame fresh from a file read.
+    """
+    return F.struct(F.xxhash64(F.col("_metadata.file_path")).alias("file"),
+                    F.col("_metadata.row_index").alias("row")).alias("_filing_id")
