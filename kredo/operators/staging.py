@@ -182,3 +182,21 @@ def staging_master(filings: DataFrame, dim_enterprise: DataFrame, dim_address: D
                    dim_activity: DataFrame, mode: str = "early") -> DataFrame:
     """The 60-column staging table."""
     return staging_with_key(filings, dim_enterprise, dim_address, dim_activity, mode).drop("clean_enterprise_number")
+
+
+def financials_from_filings(filings: DataFrame, derived: bool = False) -> DataFrame:
+    """``financials_base`` (or ``financials``) of the preferred filings, on the narrow-shuffle plan.
+
+    The reference groups the preferred filings by (reference, enterprise, end
+    date); there is one preferred filing per (enterprise, year) and the key
+    fixes both, so its groups are exactly the preferred filings and the sums
+    computed before deduplication are the same rows.
+    """
+    from kredo.functions.scalars import safe_date
+    p = preferred_with_financials(filings)
+    cols = ["ReferenceNumber", "EnterpriseNumber", safe_date("EndDate").alias("balance_sheet_date"),
+            *financials.sum_columns()]
+    if derived:
+        cols += ["personnel_fte_n", "current_cashflow_pre_tax_n", "current_cashflow_pre_tax_nm1",
+                 "adjusted_equity_n", "adjusted_equity_nm1", "current_value_added_n", "current_value_added_nm1"]
+    return p.select(*cols)
