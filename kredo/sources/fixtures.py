@@ -321,11 +321,18 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, inputs: tuple[str
     fpath = jvm.org.apache.hadoop.fs.Path(final)
     fs = fpath.getFileSystem(conf)
     if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{final}/_SUCCESS")):
-        tmp = f"{final}.tmp-{uuid.uuid4().hex}"
+        # A hidden name ('.'): should a concurrent writer's rename land it inside
+        # the finished table, Spark's file listing still skips it.
+        parent, base = final.rsplit("/", 1)
+        tmp_name = f".{base}.tmp-{uuid.uuid4().hex}"
+        tmp = jvm.org.apache.hadoop.fs.Path(f"{parent}/{tmp_name}")
         w = build().write.mode("overwrite")
-        (w.partitionBy(partition_by) if partition_by else w).parquet(tmp)
-        if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), fpath):
-            fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)      # another writer won: use its table
+        (w.partitionBy(partition_by) if partition_by else w).parquet(tmp.toString())
+        if fs.exists(fpath) or not fs.rename(tmp, fpath):
+            fs.delete(tmp, True)                          # another writer won: use its table
+        nested = jvm.org.apache.hadoop.fs.Path(f"{final}/{tmp_name}")
+        if fs.exists(nested):
+            fs.delete(nested, True)
     return spark.read.parquet(final)
 
 
