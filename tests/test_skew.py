@@ -50,3 +50,19 @@ def test_hot_key_staging_equals_reference_plan(spark):
     join = staging.staging_master(f, e, a, act, mode="join")
     assert early.count() == join.count() == 3002
     assert early.exceptAll(join).count() == 0
+
+
+def test_hot_key_on_the_file_id_plan(spark, tmp_path):
+    """Same hot keys, read back from files so the sums are keyed by the stable file-row id."""
+    from kredo.sources import fixtures
+    path = str(tmp_path / "filings")
+    _filings(spark, 9000).write.parquet(path)
+    f = spark.read.parquet(path).select("*", fixtures.file_row_id())
+    assert "_filing_id" in f.columns
+    e, a, act = empty_dims(spark)
+    by_id = staging.staging_master(f, e, a, act, mode="early")
+    literal = staging.staging_master(f.drop("_filing_id"), e, a, act, mode="join")
+    assert by_id.count() == literal.count() == 3002
+    assert by_id.exceptAll(literal).count() == 0
+    text = by_id._sc._jvm.PythonSQLUtils.explainString(by_id._jdf.queryExecution(), "simple")
+    assert "WindowGroupLimit" in text
