@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kredo.functions import codes
@@ -64,14 +64,10 @@ def training_set(training: DataFrame, drop_leak: bool = True, split: str = "trai
 def class_weights(df: DataFrame, label: str = "is_high_risk") -> DataFrame:
     """Balanced class weights n / (k * n_c), computed by one aggregate."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
+    every = Window.partitionBy()       # over the per-class counts only: one row per class
     return counts.select(
         label, "n_class",
-        (F.sum("n_class").over(_all()) / (F.count(F.lit(1)).over(_all()) * F.col("n_class"))).alias("class_weight"))
-
-
-def _all():
-    from pyspark.sql import Window
-    return Window.partitionBy()
+        (F.sum("n_class").over(every) / (F.count(F.lit(1)).over(every) * F.col("n_class"))).alias("class_weight"))
 
 
 def with_weights(df: DataFrame, label: str = "is_high_risk") -> DataFrame:

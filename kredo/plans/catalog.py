@@ -467,7 +467,7 @@ def q_metrics_from_scores(spark, d):
 from kredo.sources import loaders  # noqa: E402
 from kredo.streaming import ingest  # noqa: E402
 
-_SCALARS = [c for c in fx.schemas.FILING_FIELDS]
+_SCALARS = list(fx.schemas.FILING_FIELDS)
 _FLAT_SQL = W(f"""
 SELECT {", ".join("f." + c for c in _SCALARS)}, f.filing_year, COALESCE(rc.n, 0) AS n_rubrics
 FROM filings f LEFT JOIN (SELECT ReferenceNumber, count(*) AS n FROM rubrics GROUP BY ReferenceNumber) rc
@@ -542,7 +542,7 @@ SELECT 'dim_address', EntityNumber, DateStrikingOff_raw, DateStrikingOff FROM (
   SELECT a.*, t.DateStrikingOff AS DateStrikingOff_raw FROM dim_address a
   JOIN dim_address_text t USING (EntityNumber, TypeOfAddress))""", staging=False, training=False))
 def q_date_normalise(spark, d):
-    from kredo.sources import schemas as sch
+    from pyspark.sql import types as T
     e = fx.dim_enterprise_text(spark, d)
     e = e.select(F.lit("dim_enterprise").alias("source"), F.col("EnterpriseNumber").alias("entity"),
                  F.col("StartDate").alias("raw_date"), F.col("StartDate").alias("_d"))
@@ -551,7 +551,7 @@ def q_date_normalise(spark, d):
                  F.col("DateStrikingOff").alias("raw_date"), F.col("DateStrikingOff").alias("_d"))
     both = e.unionByName(a)
     return loaders.normalise_dates(both.withColumnRenamed("_d", "parsed_date"),
-                                   sch.T.StructType([sch.T.StructField("parsed_date", sch.T.DateType())]))
+                                   T.StructType([T.StructField("parsed_date", T.DateType())]))
 
 
 @register("year_scan_pruned", W(f"""
