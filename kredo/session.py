@@ -34,16 +34,19 @@ def get_session(master: str | None = None, partitions: int = 8, app: str = "kred
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting is always used.  Only when it is unset (local tests)
-    do we choose one ourselves.
+    is a folder chosen, once per session (remembered in the session conf, so
+    every later call returns the same folder).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("kredo.checkpoint.base", None)
     if not d:
-        # Only in local tests: no cluster folder was named.
         d = tempfile.mkdtemp(prefix="kredo-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
+        spark.conf.set("kredo.checkpoint.base", d)
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
