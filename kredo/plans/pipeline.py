@@ -4,6 +4,7 @@
     python -m kredo.plans.pipeline staging  --tables <shared>/tables --out <shared>/staging
     python -m kredo.plans.pipeline training --staging <shared>/staging --out <shared>/training
     python -m kredo.plans.pipeline models   --training <shared>/training --nace <shared>/tables/dim_nace_mapping --out <shared>/metrics
+    python -m kredo.plans.pipeline ingest   --landing <shared>/landing --out <shared>/filings_stream
 
 Each job reads written tables and writes one table, so a lost executor costs
 at most a stage retry and a failed job restarts from the last written table.
@@ -73,7 +74,8 @@ def models_job(spark: SparkSession, training_path: str, nace_path: str, out: str
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="kredo")
-    ap.add_argument("job", choices=["fixtures", "staging", "training", "models"])
+    ap.add_argument("job", choices=["fixtures", "staging", "training", "models", "ingest"])
+    ap.add_argument("--landing")
     ap.add_argument("--sf-dir")
     ap.add_argument("--tables")
     ap.add_argument("--staging")
@@ -90,6 +92,10 @@ def main(argv: list[str] | None = None) -> None:
         staging_job(spark, a.tables, a.out)
     elif a.job == "training":
         training_job(spark, a.staging, a.out)
+    elif a.job == "ingest":
+        # Landed filings -> year-partitioned filings + ledger; checkpoint next to the output.
+        from kredo.streaming import ingest
+        ingest.run_ingest(spark, a.landing, f"{a.out}/filings", f"{a.out}/ledger", f"{a.out}/_checkpoint")
     else:
         models_job(spark, a.training, a.nace, a.out, a.macro)
 

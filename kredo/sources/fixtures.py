@@ -327,7 +327,16 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, inputs: tuple[str
         tmp_name = f".{base}.tmp-{uuid.uuid4().hex}"
         tmp = jvm.org.apache.hadoop.fs.Path(f"{parent}/{tmp_name}")
         w = build().write.mode("overwrite")
-        (w.partitionBy(partition_by) if partition_by else w).parquet(tmp.toString())
+        # The rubric arrays are one very wide projection (~100 structs per row): its
+        # whole-stage method is too large to compile, and Spark would only fall back
+        # after trying.  Write this one table with expression-level codegen instead.
+        key_wscg = "spark.sql.codegen.wholeStage"
+        before = spark.conf.get(key_wscg, "true")
+        spark.conf.set(key_wscg, "false")
+        try:
+            (w.partitionBy(partition_by) if partition_by else w).parquet(tmp.toString())
+        finally:
+            spark.conf.set(key_wscg, before)
         if fs.exists(fpath) or not fs.rename(tmp, fpath):
             fs.delete(tmp, True)                          # another writer won: use its table
         nested = jvm.org.apache.hadoop.fs.Path(f"{final}/{tmp_name}")
