@@ -93,21 +93,37 @@ def exact_percentile(df: DataFrame, col: str, q: float) -> tuple[int, float | No
     return n, lo + (hi - lo) * (pos - i)
 
 
-def percentile_table(df: DataFrame, cols: list[str], q: float = 0.99) -> DataFrame:
-    """One row per column: n non-null values and the exact q-quantile."""
+def approx_percentiles(df: DataFrame, cols: list[str], q: float = 0.99, accuracy: int = 10000) -> dict:
+    """q-quantile of each column in ONE aggregate pass (bounded sketches; rank error about 1/accuracy)."""
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), q, accuracy).alias(c) for c in cols]).first()
+    return {c: row[c] for c in cols}
+
+
+def percentile_table(df: DataFrame, cols: list[str], q: float = 0.99, exact: bool = True) -> DataFrame:
+    """One row per column: n non-null values and the q-quantile (exact by default).
+
+    ``exact=False`` is the single-pass alternative for very large inputs.
+    """
+    spark = df.sparkSession
+    if not exact:
+        counts = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+        vals = approx_percentiles(df, cols, q)
+        return spark.createDataFrame([(c, counts[c], vals[c]) for c in cols], "feature string, n bigint, p99 double")
     base = df.select(*cols).checkpoint()      # the passes re-read a written copy, not the whole lineage
     rows = []
     for c in cols:
         n, v = exact_percentile(base, c, q)
         rows.append((c, n, v))
-    spark = df.sparkSession
     return spark.createDataFrame(rows, "feature string, n bigint, p99 double")
 
 
-def winsorize(df: DataFrame, cols: list[str], q: float = 0.99) -> DataFrame:
-    """Cap each column at its exact upper q-quantile (the reference caps at p99)."""
-    base = df.select(*cols).checkpoint()
-    caps = {c: exact_percentile(base, c, q)[1] for c in cols}
+def winsorize(df: DataFrame, cols: list[str], q: float = 0.99, exact: bool = True) -> DataFrame:
+    """Cap each column at its upper q-quantile (the reference caps at p99); exact by default."""
+    if exact:
+        base = df.select(*cols).checkpoint()
+        caps = {c: exact_percentile(base, c, q)[1] for c in cols}
+    else:
+        caps = approx_percentiles(df, cols, q)
     return df.select(*[
         (F.least(F.col(c), F.lit(caps[c])).alias(c) if c in caps and caps[c] is not None else F.col(c))
         for c in df.columns])

@@ -48,3 +48,15 @@ def test_exact_percentile_multi_pass(spark):
         finally:
             segments._kth.__defaults__ = (1024, 100_000)
         assert got == expect
+
+
+def test_approx_percentile_is_close(spark):
+    rnd = np.random.default_rng(9)
+    vals = rnd.normal(size=20000)
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    approx = segments.approx_percentiles(df, ["x"], 0.99)["x"]
+    s = np.sort(vals)
+    rank = np.searchsorted(s, approx)
+    assert abs(rank - 0.99 * (len(vals) - 1)) <= len(vals) / 10000 + 2
+    t = segments.percentile_table(df, ["x"], 0.99, exact=False).first()
+    assert t["n"] == 20000 and t["p99"] == approx
