@@ -1,11 +1,14 @@
 """The staging ("master") table: one row per enterprise and accounting year.
 
-Plan shape (see README "Plans"): filings are shuffled once on
-(enterprise, year) for the deduplication; the rubric unnest and the 70 sums
-run inside that partitioning (no second exchange); the three dimension joins
-share one key, so the fact rows are re-partitioned once on the clean number
-and the dimensions are either broadcast (when Spark's size estimate is under
-the threshold) or shuffled on the same key.
+Plan shape (README "Plans and scale", PLANS.md): the 70 sums of each filing
+are computed first (map-side partial aggregate, keyed by a stable file-row id
+when the filings come from files), so that every exchange carries one narrow
+row per filing and the rubric arrays are never shuffled; the preferred filing
+per (enterprise, year) is then chosen with a partial top-1 before its shuffle;
+the three dimension joins share one key, so the fact rows are re-partitioned
+once on the clean number and each dimension is broadcast (Spark's size check)
+or shuffled on the same key.  ``mode="fold"`` and ``mode="join"`` give the
+same table with the reference's order of steps.
 """
 
 from __future__ import annotations
