@@ -5,6 +5,7 @@
     python -m kredo.plans.pipeline training --staging <shared>/staging --out <shared>/training
     python -m kredo.plans.pipeline models   --training <shared>/training --nace <shared>/tables/dim_nace_mapping --out <shared>/metrics
     python -m kredo.plans.pipeline ingest   --landing <shared>/landing --out <shared>/filings_stream
+    python -m kredo.plans.pipeline compact  --stream <shared>/filings_stream --out <shared>/filings_bucketed
 
 Each job reads written tables and writes one table, so a lost executor costs
 at most a stage retry and a failed job restarts from the last written table.
@@ -74,8 +75,10 @@ def models_job(spark: SparkSession, training_path: str, nace_path: str, out: str
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="kredo")
-    ap.add_argument("job", choices=["fixtures", "staging", "training", "models", "ingest"])
+    ap.add_argument("job", choices=["fixtures", "staging", "training", "models", "ingest", "compact"])
     ap.add_argument("--landing")
+    ap.add_argument("--stream")
+    ap.add_argument("--buckets", type=int, default=1024)
     ap.add_argument("--sf-dir")
     ap.add_argument("--tables")
     ap.add_argument("--staging")
@@ -92,6 +95,9 @@ def main(argv: list[str] | None = None) -> None:
         staging_job(spark, a.tables, a.out)
     elif a.job == "training":
         training_job(spark, a.staging, a.out)
+    elif a.job == "compact":
+        from kredo.streaming import ingest
+        ingest.compact(spark, f"{a.stream}/filings", "filings", a.out, a.buckets)
     elif a.job == "ingest":
         # Landed filings -> year-partitioned filings + ledger; checkpoint next to the output.
         from kredo.streaming import ingest

@@ -96,3 +96,13 @@ def test_stored_filings_equal_derived(spark, sf_dir):
     assert a.select(*key).exceptAll(b.select(*key)).count() == 0
     assert a.count() == b.count()
     assert fixtures.stored_filings(spark, sf_dir).inputFiles() == a.inputFiles()      # written once, reused
+
+
+def test_compact_stream_into_bucketed_table(spark):
+    root = tempfile.mkdtemp(prefix="kredo-test-compact-")
+    landing, sink, ledger, ckpt = (os.path.join(root, x) for x in ("landing", "sink", "ledger", "ckpt"))
+    rows = [filing(f"R{i}", str(i % 4), f"{2020 + i % 3}-12-31", rubrics=healthy()) for i in range(12)]
+    loaders.nest_filings(filings_df(spark, rows)).drop("filing_year").write.json(landing)
+    ingest.run_ingest(spark, landing, sink, ledger, ckpt)
+    t = ingest.compact(spark, sink, "kredo_test_compacted", os.path.join(root, "bucketed"), 4)
+    assert t.count() == 12 and "clean_enterprise_number" in t.columns and "batch" not in t.columns
