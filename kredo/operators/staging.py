@@ -83,7 +83,7 @@ def _dedup(per_filing: DataFrame) -> DataFrame:
 
 
 def _preferred_with_financials_by_id(f: DataFrame) -> DataFrame:
-    """The same result when filings carry a stable per-row id (``_filing_id``, see fixtures.file_row_id).
+    """The same result when filings carry a stable, unique per-row id (``_filing_id``, see fixtures.file_row_id).
 
     Only the id rides through the unnest and the sums are keyed by it alone
     (a fixed-width key), so the rubric rows stay narrow; the filing's own

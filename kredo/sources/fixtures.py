@@ -365,7 +365,8 @@ def file_row_id() -> "F.Column":
 
     Read straight from the file's metadata, it is the same in every scan of
     the table and on every task retry (unlike an id assigned at run time).
-    Use on a DataFrame fresh from a file read.
+    Use on a DataFrame fresh from one file read: it is unique within one scan
+    of a table (a union of two reads of the same files would repeat ids).
     """
     return F.struct(F.xxhash64(F.col("_metadata.file_path")).alias("file"),
                     F.col("_metadata.row_index").alias("row")).alias("_filing_id")
