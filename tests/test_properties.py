@@ -51,3 +51,39 @@ def test_safe_divide_matches_model(spark, pairs):
             q = a / b if abs(b) > 0 else None
             want = q if q is not None and math.isfinite(q) else None
         assert got[i] == want, (a, b, got[i])
+
+
+def model_register_date(s):
+    import datetime as dt
+    if s is None:
+        return None
+    t = s.strip(" ")
+    m = re.fullmatch(r"([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})", t)
+    if m:
+        d, mo, y = map(int, m.groups())
+    else:
+        m = re.fullmatch(r"([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})", t)
+        if not m:
+            return None
+        y, mo, d = map(int, m.groups())
+    try:
+        return dt.date(y, mo, d)
+    except ValueError:
+        return None
+
+
+date_like = st.one_of(
+    st.builds(lambda d, m, y: f"{d}-{m}-{y}", st.integers(0, 40), st.integers(0, 14), st.integers(1000, 2999)),
+    st.builds(lambda d, m, y: f"{d:02d}-{m:02d}-{y}", st.integers(1, 31), st.integers(1, 12), st.integers(1900, 2100)),
+    st.builds(lambda d, m, y: f"{y}-{m:02d}-{d:02d}", st.integers(1, 31), st.integers(1, 12), st.integers(1900, 2100)),
+    st.sampled_from(["bad", "", "2023", "31/12/2020", "1-1-20", " 09-08-1960 "]),
+)
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(date_like, min_size=300, max_size=300))
+def test_register_dates_match_model(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+    got = {r["i"]: r["v"] for r in df.select("i", S.dmy_to_date(F.col("s")).alias("v")).collect()}
+    for i, v in enumerate(values):
+        assert got[i] == model_register_date(v), (v, got[i])
