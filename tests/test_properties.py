@@ -87,3 +87,32 @@ def test_register_dates_match_model(spark, values):
     got = {r["i"]: r["v"] for r in df.select("i", S.dmy_to_date(F.col("s")).alias("v")).collect()}
     for i, v in enumerate(values):
         assert got[i] == model_register_date(v), (v, got[i])
+
+
+def model_segment(a, r, f):
+    from kredo.functions import codes
+    a, r, f = a or 0.0, r or 0.0, f or 0.0
+    if a < codes.INACTIVE_MAX and r < codes.INACTIVE_MAX:
+        return "Inactive/Empty"
+    if f == 0 and a > codes.HOLDING_MIN_ASSETS:
+        return "Holding"
+    if (a > codes.MICRO_LIMITS[0]) + (r > codes.MICRO_LIMITS[1]) + (f > codes.MICRO_LIMITS[2]) <= 1:
+        return "Micro"
+    if (a > codes.SME_LIMITS[0]) + (r > codes.SME_LIMITS[1]) + (f > codes.SME_LIMITS[2]) <= 1:
+        return "SME"
+    return "Large"
+
+
+edges = [0.0, 999.0, 1000.0, 1001.0, 350000.0, 350001.0, 500000.0, 500001.0, 700000.0, 700001.0,
+         4500000.0, 4500001.0, 9000000.0, 9000001.0]
+money = st.one_of(st.none(), st.sampled_from(edges), st.floats(-1e7, 2e7, allow_nan=False))
+fte = st.one_of(st.none(), st.sampled_from([0.0, 1.0, 10.0, 11.0, 50.0, 51.0]), st.floats(0, 100, allow_nan=False))
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(money, money, fte), min_size=400, max_size=400))
+def test_company_segment_matches_model(spark, rows):
+    df = spark.createDataFrame([(i, a, r, f) for i, (a, r, f) in enumerate(rows)], "i int, a double, r double, f double")
+    got = {x["i"]: x["s"] for x in df.select("i", S.company_segment("a", "r", "f").alias("s")).collect()}
+    for i, (a, r, f) in enumerate(rows):
+        assert got[i] == model_segment(a, r, f), (a, r, f, got[i])
