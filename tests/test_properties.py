@@ -116,3 +116,31 @@ def test_company_segment_matches_model(spark, rows):
     got = {x["i"]: x["s"] for x in df.select("i", S.company_segment("a", "r", "f").alias("s")).collect()}
     for i, (a, r, f) in enumerate(rows):
         assert got[i] == model_segment(a, r, f), (a, r, f, got[i])
+
+
+def model_label(solv, roa, liq):
+    s = 1.0 if solv is None else solv
+    r = 0.0 if roa is None else roa
+    q = 1.0 if liq is None else liq
+    if s < 0.0:
+        return 1
+    if s < 0.05 and r < 0.0:
+        return 1
+    if q < 1.0 and r < 0.0:
+        return 1
+    return 0
+
+
+ratio = st.one_of(st.none(), st.sampled_from([-0.0, 0.0, 0.05, 0.0499, 1.0, 0.9999, -1e-9]),
+                  st.floats(-3, 3, allow_nan=False))
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(ratio, ratio, ratio), min_size=400, max_size=400))
+def test_risk_label_matches_model(spark, rows):
+    from kredo.operators import label
+    df = spark.createDataFrame([(i, a, b, c) for i, (a, b, c) in enumerate(rows)],
+                               "i int, target_solvency_y3 double, target_roa_y3 double, target_liquidity_y3 double")
+    got = {x["i"]: x["y"] for x in df.select("i", label.is_high_risk().alias("y")).collect()}
+    for i, (a, b, c) in enumerate(rows):
+        assert got[i] == model_label(a, b, c), (a, b, c, got[i])
