@@ -97,3 +97,14 @@ def test_financials_base_adds_no_shuffle_after_dedup(spark, sf_dir, no_aqe_no_br
     from kredo.operators import financials
     plan = _plan(financials.financials_base(accounts.preferred_accounts(Inputs(spark, sf_dir).filings())), "simple")
     assert len([ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]) == 1
+
+
+def test_activity_filter_reaches_the_parquet_scan(spark, sf_dir):
+    from kredo.operators import dimensions
+    path = os.path.join(tempfile.mkdtemp(prefix="kredo-test-dim-"), "dim_activity")
+    fixtures.dim_activity(spark, sf_dir).write.parquet(path)
+    plan = _plan(dimensions.pivoted_activities(spark.read.parquet(path)), "formatted")
+    pushed = re.search(r"PushedFilters: \[(.*)\]", plan).group(1)
+    assert "NaceVersion" in pushed and "Classification" in pushed and "ActivityGroup" in pushed
+    assert re.search(r"ReadSchema: struct<EnterpriseNumber:string,ActivityGroup:string,NaceVersion:string,"
+                     r"NaceCode:string,Classification:string>", plan)
