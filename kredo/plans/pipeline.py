@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from kredo.functions import codes
 from kredo.operators import accounts, features, models, segments, staging
 from kredo.session import ensure_checkpoint_dir
-from kredo.sources import fixtures, sinks
+from kredo.sources import fixtures, loaders, sinks
 
 
 def write_fixture_tables(spark: SparkSession, sf_dir: str, out: str) -> None:
@@ -37,7 +37,7 @@ def write_fixture_tables(spark: SparkSession, sf_dir: str, out: str) -> None:
 def staging_job(spark: SparkSession, tables: str, out: str, lo: int = codes.SCAN_YEAR_MIN,
                 hi: int = codes.SCAN_YEAR_MAX) -> None:
     """Filings (year-partitioned; only lo..hi folders are read) + dimensions -> staging table."""
-    filings = accounts.scan_years(spark.read.parquet(f"{tables}/filings"), lo, hi)
+    filings = accounts.scan_years(loaders.read_filings(spark, f"{tables}/filings"), lo, hi)
     s = staging.staging_master(filings, spark.read.parquet(f"{tables}/dim_enterprise"),
                                spark.read.parquet(f"{tables}/dim_address"),
                                spark.read.parquet(f"{tables}/dim_activity"))
