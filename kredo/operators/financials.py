@@ -16,15 +16,26 @@ def kept_rubrics(rubrics: Column | str = "Rubrics") -> Column:
 
 
 def unnest_rubrics(accounts: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Lateral left join with the filtered rubric array.
+    """Lateral left join with the period-filtered rubric array (LEFT JOIN UNNEST).
 
-    NULL, empty and fully filtered arrays each keep one row with a NULL rubric,
-    so every filing survives (LEFT JOIN UNNEST).
+    NULL, empty and fully filtered arrays each keep one row with a NULL
+    rubric, so every filing survives.  Built from codegen'd pieces: whether a
+    filing has any kept rubric is ``array_contains`` on the extracted
+    periods, and the unnest keeps the kept rubrics, or else only position 0
+    (or the NULL row) with its fields set to NULL.
     """
     keep = keep or ["ReferenceNumber", "EnterpriseNumber"]
-    return accounts.select(*keep, F.explode_outer(kept_rubrics()).alias("r")).select(
-        *keep, F.col("r.Code").alias("Code"), F.col("r.Period").alias("Period"),
-        F.col("r.Value").alias("Value"))
+    periods = [p for p, _ in codes.PERIODS]
+    has_kept = None
+    for p in periods:
+        c = F.array_contains(F.col("Rubrics.Period"), p)
+        has_kept = c if has_kept is None else (has_kept | c)
+    x = accounts.select(*keep, F.coalesce(has_kept, F.lit(False)).alias("_has"),
+                        F.posexplode_outer("Rubrics").alias("_pos", "r"))
+    kept = F.col("r.Period").isin(*periods)
+    placeholder = ~F.col("_has") & (F.col("_pos").isNull() | (F.col("_pos") == 0))
+    x = x.where(F.coalesce(kept, F.lit(False)) | placeholder)
+    return x.select(*keep, *[F.when(F.col("_has"), F.col(f"r.{c}")).alias(c) for c in ("Code", "Period", "Value")])
 
 
 def _slot(code: Column, period: Column) -> Column:

@@ -97,3 +97,12 @@ def test_one_row_per_enterprise_and_year(spark, sf_dir):
     pref = Inputs(spark, sf_dir).preferred()
     assert s.count() == pref.count()                      # the four left joins add or drop no rows
     assert pref.groupBy("ReferenceNumber").count().where(F.col("count") > 1).count() == 0
+
+
+def test_unnest_keeps_one_null_row_per_filing_without_kept_rubrics(spark):
+    rows = [filing("A", "1", "2022-12-31", rubrics=None), filing("B", "2", "2022-12-31", rubrics=[]),
+            filing("C", "3", "2022-12-31", rubrics=[("70", "X", "1"), ("10", "X", "2")]),
+            filing("D", "4", "2022-12-31", rubrics=[("70", "X", "1"), ("70", "N", "5"), ("10", "NM1", "2")])]
+    got = sorted((r[0], r[2], r[3], r[4]) for r in financials.unnest_rubrics(filings_df(spark, rows)).collect())
+    assert got == [("A", None, None, None), ("B", None, None, None), ("C", None, None, None),
+                   ("D", "10", "NM1", "2"), ("D", "70", "N", "5")]
