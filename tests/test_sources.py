@@ -106,3 +106,15 @@ def test_compact_stream_into_bucketed_table(spark):
     ingest.run_ingest(spark, landing, sink, ledger, ckpt)
     t = ingest.compact(spark, sink, "kredo_test_compacted", os.path.join(root, "bucketed"), 4)
     assert t.count() == 12 and "clean_enterprise_number" in t.columns and "batch" not in t.columns
+
+
+def test_read_filings_adds_a_unique_row_id(spark):
+    root = tempfile.mkdtemp(prefix="kredo-test-readf-")
+    rows = [filing(f"R{i}", str(i % 3), f"{2020 + i % 2}-12-31", rubrics=healthy()) for i in range(10)]
+    filings_df(spark, rows).withColumn("batch", F.lit(1)).write.partitionBy("filing_year").parquet(root + "/f")
+    f = loaders.read_filings(spark, root + "/f")
+    assert "batch" not in f.columns and "_filing_id" in f.columns
+    assert f.select("_filing_id").distinct().count() == 10
+    again = loaders.read_filings(spark, root + "/f")
+    key = lambda df: sorted((r[0], r[1]) for r in df.select("ReferenceNumber", "_filing_id").collect())
+    assert key(f) == key(again)                  # the same id in every scan
