@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
-from tools.compare import TABLES, digest
+from tools.compare import TABLES, digest, type_mismatches
 
 SKIP_SLOW = {"ingest_stream"}      # covered by test_sources (stream = batch on literal filings)
 
@@ -19,9 +19,11 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(set(oracle_sql()) - SKIP_SLOW))
 def test_query_matches_oracle(spark, sf_dir, con, name):
-    got = queries()[name](spark, sf_dir).toPandas()
+    frame = queries()[name](spark, sf_dir)
+    got = frame.toPandas()
     want = con.execute(oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
+    assert type_mismatches(frame.schema, con.sql(oracle_sql()[name])) == {}
     assert len(got) == len(want)
     assert digest(got) == digest(want)
 
