@@ -1,4 +1,4 @@
-"""The library stays JVM-side: no Python UDFs, pandas UDFs or RDD per-row code anywhere in kredo/."""
+"""The analytics library stays JVM-side: no Python UDFs, pandas UDFs or RDD per-row code in kredo/ (llm/ apart)."""
 
 import pathlib
 import re
@@ -10,6 +10,8 @@ def test_no_python_row_code_in_the_library():
     root = pathlib.Path(__file__).resolve().parent.parent / "kredo"
     hits = []
     for p in root.rglob("*.py"):
+        if "llm" in p.relative_to(root).parts:
+            continue
         for n, line in enumerate(p.read_text().splitlines(), 1):
             code = line.split("#", 1)[0]
             if FORBIDDEN.search(code):
