@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kredo.llm import packing, token_store
+from kredo.llm import packing, sharding, token_store
 from kredo.llm.common import fresh_path, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,14 @@ def query(f):
     return f
 
 
+@query
+def op1_kdtree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes."""
+    placed = sharding.kd_shards(read(spark, sf_dir, "documents"), shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 4096 ids, with the crc32 of each piece's ids."""
