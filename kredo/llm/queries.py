@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kredo.llm import packing, sharding, token_store
-from kredo.llm.common import fresh_path, read
+from kredo.llm import packing, quality_rules, sharding, token_store
+from kredo.llm.common import fresh_path, id_and_text, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,6 +35,14 @@ def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of all documents, by the model of ``labels.quality``."""
+    docs = read(spark, sf_dir, "documents")
+    model = quality_rules.fit(id_and_text(docs), quality_rules.quality_labels(read(spark, sf_dir, "labels")))
+    return quality_rules.score(docs, model)
+
+
 @query
 def op9_zstd_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the store of all documents and returns what its files hold."""
