@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kredo.llm import packing, quality_rules, sharding, token_store
-from kredo.llm.common import fresh_path, id_and_text, read
+from kredo.llm import langid, packing, quality_pu, quality_rules, sharding, token_store
+from kredo.llm.common import fold, fresh_path, id_and_text, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,6 +35,15 @@ def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+@query
+def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents, learnt from positives outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents")
+    seen = fold("doc_id", quality_pu.FOLDS) != quality_pu.HELD_OUT
+    labels = quality_rules.quality_labels(read(spark, sf_dir, "labels")).where(seen)
+    return quality_pu.score(docs, quality_pu.fit(id_and_text(docs).where(seen), labels))
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of all documents, by the model of ``labels.quality``."""
@@ -49,3 +58,10 @@ def op9_zstd_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-store")
     token_store.write_store(read(spark, sf_dir, "documents"), path)
     return token_store.read_store(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op10_byte_cnn_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt from those outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
