@@ -1,4 +1,4 @@
-"""Positive-unlabelled quality classifier: non-negative unbiased risk over hashed n-grams.
+"""Positive-unlabelled quality classifier with the non-negative unbiased risk.
 
 Trusted positives are rows labelled good; the other side is unlabelled web text, whose labels (if
 any) are never looked at.  With class prior p the risk is
@@ -9,9 +9,13 @@ and where the second term turns negative its gradient is reversed, which keeps t
 fitting the positives by rote.  The prior is estimated from a positive-against-unlabelled model:
 over regions where it scores high, the smallest ratio of the unlabelled share to the positive share.
 
+Features of a whole text: square roots of the shares of adjacent character-class pairs (a class is
+upper case, lower case, digit, blank, line break, one ASCII sign, or other) and word statistics
+(repeated windows, adjacent equal words, distinct words, length).
+
 Both samples are bounded (``SAMPLE`` rows each, a documented parameter); every whole text is scored.
-Defined results: a null or empty text scores by the bias; without positives or unlabelled rows the
-score is 0.5; repeated rows are scored each; an empty table gives no rows.
+Defined results: a null or empty text has zero features and scores by the bias; without positives or
+unlabelled rows the score is 0.5; repeated rows are scored each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +29,6 @@ from pyspark.sql import functions as F
 
 from kredo.llm import ngrams
 from kredo.llm.common import arrow_rows, fold, id_and_text
-from kredo.llm.quality_rules import fit_logistic
 
 #: Positive rows, and unlabelled rows, that are used at most.
 SAMPLE = 2000
@@ -33,6 +36,41 @@ THRESHOLD = 0.7
 FOLDS, HELD_OUT = 4, 2
 
 
+def character_classes() -> np.ndarray:
+    """Class of each code point up to 127, then of Latin letters and of the rest."""
+    signs = [c for c in range(33, 127) if not chr(c).isalnum()]
+    out = np.full(128, 5 + len(signs))
+    for c in range(128):
+        ch = chr(c)
+        if ch.isalnum():
+            out[c] = 2 if ch.isdigit() else 0 if ch.isupper() else 1
+    out[[9, 32]] = 3
+    out[10:14] = 4
+    out[signs] = 5 + np.arange(len(signs))
+    return np.append(out, [6 + len(signs), 7 + len(signs)])
+
+
+_CLASSES = character_classes()
+N_CLASSES = int(_CLASSES.max()) + 1
+DIMENSIONS = N_CLASSES * N_CLASSES + 4
+
+
+def features(text: str) -> np.ndarray:
+    pairs = np.zeros(N_CLASSES * N_CLASSES)
+    last = np.zeros(0, np.int64)
+    for part in ngrams.segments(text):
+        codes = ngrams.codes_of(part).astype(np.int64)
+        kinds = _CLASSES[np.where(codes < 128, codes, np.where(codes < 0xC0, 129, 128))]
+        kinds = np.concatenate((last, kinds))
+        pairs += np.bincount(kinds[:-1] * N_CLASSES + kinds[1:], minlength=pairs.size)
+        last = kinds[-1:]
+    h = ngrams.words_of(text).hashes
+    n = max(1, h.size)
+    words = [ngrams.repeated_words(h) / n, np.count_nonzero(h[1:] == h[:-1]) / n, np.unique(h).size / n,
+             min(1.0, np.log1p(h.size) / 10)]
+    return np.concatenate((np.sqrt(pairs / max(1, pairs.sum())), words)).astype(np.float32)
+
+
 @dataclass
 class Model:
     weights: np.ndarray
@@ -40,43 +78,65 @@ class Model:
     prior: float
 
     def score(self, text: str | None) -> float:
-        return float(ngrams.sigmoid(ngrams.linear(text or "", self.weights) + self.bias))
+        return float(ngrams.sigmoid(features(text or "") @ self.weights + self.bias))
+
+
+def scales(x: np.ndarray) -> np.ndarray:
+    return 1 / (np.sqrt((x.astype(float) ** 2).mean(axis=0)) + 1e-2)
+
+
+def separate(x: np.ndarray, y: np.ndarray, steps: int = 80, rate: float = 0.05, decay: float = 0.05):
+    """Plain logistic regression: weights and bias."""
+    scale, w, b, adam = scales(x), np.zeros(x.shape[1]), 0.0, ngrams.Adam(x.shape[1] + 1, rate)
+    for _ in range(steps):
+        r = (ngrams.sigmoid(x @ (w * scale) + b) - y) / len(y)
+        step = adam.step(np.append(w, b), np.append((r @ x) * scale + decay * w, r.sum()))
+        w, b = step[:-1], step[-1]
+    return w * scale, b
 
 
-def estimate_prior(pos: ngrams.Matrix, unl: ngrams.Matrix, seed: int = 7) -> float:
+def estimate_prior(pos: np.ndarray, unl: np.ndarray, seed: int = 7) -> float:
     """Fit positives against unlabelled rows on one half of each; on the other half take the smallest
     ratio of shares above a score, over scores that at least half of the positives reach."""
     rng = np.random.default_rng(seed)
-    p, u = rng.permutation(pos.n), rng.permutation(unl.n)
-    fit_p, fit_u = pos.take(p[::2]), unl.take(u[::2])
-    x = ngrams.Matrix(np.concatenate((fit_p.at, fit_u.at)), np.concatenate((fit_p.value, fit_u.value)),
-                      np.concatenate((fit_p.starts, fit_p.starts[-1] + fit_u.starts[1:])), fit_p.n + fit_u.n)
-    w, b = fit_logistic(x, np.repeat([1.0, 0.0], [fit_p.n, fit_u.n]), steps=80)
-    sp, su = pos.take(p[1::2]).dot(w) + b, unl.take(u[1::2]).dot(w) + b
-    if not sp.size or not su.size:
+    p, u = rng.permutation(len(pos)), rng.permutation(len(unl))
+    if min(len(p), len(u)) < 2:
         return 0.5
+    w, b = separate(np.concatenate((pos[p[::2]], unl[u[::2]])), np.repeat([1.0, 0.0], [len(p[::2]), len(u[::2])]))
+    sp, su = pos[p[1::2]] @ w + b, unl[u[1::2]] @ w + b
     ratios = [(np.mean(su >= t) + 1 / su.size) / np.mean(sp >= t) for t in np.quantile(sp, np.linspace(0, 0.5, 26))]
     return float(np.clip(min(ratios), 0.05, 0.95))
 
 
-def fit_risk(pos: ngrams.Matrix, unl: ngrams.Matrix, prior: float, steps: int = 250, rate: float = 0.05,
-             decay: float = 1e-3) -> tuple[np.ndarray, float]:
+def fit_risk(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 200, rate: float = 0.01,
+             decay: float = 0.05) -> tuple[np.ndarray, float]:
     """Minimise the non-negative risk with the logistic loss."""
-    scale = unl.scales()
-    w, b = np.zeros(ngrams.DIMENSIONS), 0.0
-    adam = ngrams.Adam(ngrams.DIMENSIONS + 1, rate)
+    scale, w, b = scales(unl), np.zeros(unl.shape[1]), 0.0
+    adam = ngrams.Adam(w.size + 1, rate)
     for _ in range(steps):
-        zp, zu = pos.dot(w * scale) + b, unl.dot(w * scale) + b
-        as_good = -ngrams.sigmoid(-zp) / pos.n              # of loss(+) on positives
-        as_bad_p, as_bad_u = ngrams.sigmoid(zp) / pos.n, ngrams.sigmoid(zu) / unl.n
+        zp, zu = pos @ (w * scale) + b, unl @ (w * scale) + b
+        as_good = -ngrams.sigmoid(-zp) / len(pos)              # derivative of loss(+) on the positives
+        as_bad_p, as_bad_u = ngrams.sigmoid(zp) / len(pos), ngrams.sigmoid(zu) / len(unl)
         negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         gp, gu = (prior * (as_good - as_bad_p), as_bad_u) if negative >= 0 else (prior * as_bad_p, -as_bad_u)
-        g = np.append((pos.back(gp) + unl.back(gu)) * scale + decay * w, gp.sum() + gu.sum())
-        step = adam.step(np.append(w, b), g)
+        step = adam.step(np.append(w, b), np.append((gp @ pos + gu @ unl) * scale + decay * w, gp.sum() + gu.sum()))
         w, b = step[:-1], step[-1]
     return w * scale, float(b)
 
 
+def feature_rows(rows: DataFrame) -> np.ndarray:
+    """Features of a bounded sample, made on the executors, in the order of id and features."""
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.binary())])
+
+    def run(batches):
+        yield from arrow_rows(((i, features(t or "").tobytes()) for batch in batches for i, t in zip(
+            batch.column(0).to_pylist(), batch.column(1).to_pylist())), schema, weigh=lambda r: len(r[1]))
+
+    got = rows.select("doc_id", "text").mapInArrow(run, "doc_id long, row binary").toPandas()
+    got = got.sort_values(["doc_id", "row"])
+    return np.frombuffer(b"".join(got["row"]), np.float32).reshape(-1, DIMENSIONS)
+
+
 def unlabelled_sample(docs: DataFrame, limit: int, seed: int = 42) -> DataFrame:
     """At most ``limit`` documents: those with the smallest hash of their id.
 
@@ -92,12 +152,10 @@ def unlabelled_sample(docs: DataFrame, limit: int, seed: int = 42) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """docs: doc_id, text (the unlabelled rows are drawn from them).  labels: doc_id, target; only target 1 is used."""
-    read = lambda rows: ngrams.features(rows).toPandas().sort_values("doc_id")
-    p = read(ngrams.labelled_sample(docs, labels.where("target = 1"), sample))
-    u = read(unlabelled_sample(docs, sample))
-    if not len(p) or not len(u):
-        return Model(np.zeros(ngrams.DIMENSIONS), 0.0, 0.5)
-    pos, unl = (ngrams.Matrix.of(list(x["at"]), list(x["value"])) for x in (p, u))
+    pos = feature_rows(ngrams.labelled_sample(docs, labels.where("target = 1"), sample))
+    unl = feature_rows(unlabelled_sample(docs, sample))
+    if not len(pos) or not len(unl):
+        return Model(np.zeros(DIMENSIONS), 0.0, 0.5)
     prior = estimate_prior(pos, unl)
     return Model(*fit_risk(pos, unl, prior), prior)
 
