@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kredo.llm import langid, packing, quality_pu, quality_rules, sharding, token_store
+from kredo.llm import langid, packing, quality_pu, quality_rules, sharding, simhash, token_store
 from kredo.llm.common import fold, fresh_path, id_and_text, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,13 @@ def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+@query
+def op6_ball_hash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of all documents (3-word shingles, 3 bits)."""
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=3)
+    return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 @query
 def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of all documents, learnt from positives outside the held-out fold."""
