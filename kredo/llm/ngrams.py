@@ -66,22 +66,23 @@ def codes_of(text: str) -> np.ndarray:
 
 @dataclass
 class Words:
-    """hashes: one per word; word_chars: code points in words; n_symbols: of ``#*$%&|<>``; codes: by segment."""
+    """hashes: one per word; word_chars: code points in words; n_symbols: of ``#*$%&|<>``."""
 
     hashes: np.ndarray
     word_chars: int
     n_symbols: int
 
 
-def segment_words(codes: np.ndarray) -> tuple[np.ndarray, int]:
-    """Word hashes of a segment and its code points in words."""
-    word = ~((codes == 32) | (codes - np.uint32(9) <= 4))
+def segment_words(codes: np.ndarray, word: np.ndarray | None = None) -> tuple[np.ndarray, int]:
+    """Word hashes of a segment and its code points in words; ``word`` marks them (default: all but blanks)."""
+    if word is None:
+        word = ~((codes == 32) | (codes - np.uint32(9) <= 4))
     starts = np.flatnonzero(word & ~np.concatenate(([False], word[:-1])))
     if not starts.size:
         return np.zeros(0, np.uint64), 0
-    place = np.arange(codes.size, dtype=np.int64)
-    place -= np.repeat(starts, np.diff(np.concatenate((starts, [codes.size])))) if not starts[0] else np.concatenate(
-        (place[:starts[0]], np.repeat(starts, np.diff(np.concatenate((starts, [codes.size]))))))
+    first = starts[0]
+    codes, word, starts = codes[first:], word[first:], starts - first
+    place = np.arange(codes.size, dtype=np.int64) - np.repeat(starts, np.diff(np.append(starts, codes.size)))
     terms = (codes.astype(np.uint64) + np.uint64(1)) * coefficients(int(place.max()) + 1)[place]
     terms *= word
     return mix(np.add.reduceat(terms, starts)), int(np.count_nonzero(word))
