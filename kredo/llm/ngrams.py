@@ -127,6 +127,32 @@ def repeated_words(hashes: np.ndarray, n: int = 8) -> int:
     return int(np.count_nonzero(np.cumsum(edge[:-1])))
 
 
+# ---- character classes -----------------------------------------------------------------------
+
+def character_classes() -> np.ndarray:
+    """Class of each code point up to 127, then of Latin letters and of the rest."""
+    signs = [c for c in range(33, 127) if not chr(c).isalnum()]
+    out = np.full(128, 5 + len(signs))
+    for c in range(128):
+        ch = chr(c)
+        if ch.isalnum():
+            out[c] = 2 if ch.isdigit() else 0 if ch.isupper() else 1
+    out[[9, 32]] = 3
+    out[10:14] = 4
+    out[signs] = 5 + np.arange(len(signs))
+    return np.append(out, [6 + len(signs), 7 + len(signs)])
+
+
+_CLASSES = character_classes()
+N_CLASSES = int(_CLASSES.max()) + 1
+
+
+def classes_of(codes: np.ndarray) -> np.ndarray:
+    """Upper case, lower case, digit, blank, line break, one class for each ASCII sign, control, letter, other."""
+    at = codes.astype(np.int64)
+    return _CLASSES[np.where(at < 128, at, np.where(at < 0xC0, 129, 128))]
+
+
 # ---- hashed features -------------------------------------------------------------------------
 
 #: Buckets of the character and of the word features.

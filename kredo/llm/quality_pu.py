@@ -36,22 +36,7 @@ THRESHOLD = 0.7
 FOLDS, HELD_OUT = 4, 2
 
 
-def character_classes() -> np.ndarray:
-    """Class of each code point up to 127, then of Latin letters and of the rest."""
-    signs = [c for c in range(33, 127) if not chr(c).isalnum()]
-    out = np.full(128, 5 + len(signs))
-    for c in range(128):
-        ch = chr(c)
-        if ch.isalnum():
-            out[c] = 2 if ch.isdigit() else 0 if ch.isupper() else 1
-    out[[9, 32]] = 3
-    out[10:14] = 4
-    out[signs] = 5 + np.arange(len(signs))
-    return np.append(out, [6 + len(signs), 7 + len(signs)])
-
-
-_CLASSES = character_classes()
-N_CLASSES = int(_CLASSES.max()) + 1
+N_CLASSES = ngrams.N_CLASSES
 DIMENSIONS = N_CLASSES * N_CLASSES + 4
 
 
@@ -59,9 +44,7 @@ def features(text: str) -> np.ndarray:
     pairs = np.zeros(N_CLASSES * N_CLASSES)
     last = np.zeros(0, np.int64)
     for part in ngrams.segments(text):
-        codes = ngrams.codes_of(part).astype(np.int64)
-        kinds = _CLASSES[np.where(codes < 128, codes, np.where(codes < 0xC0, 129, 128))]
-        kinds = np.concatenate((last, kinds))
+        kinds = np.concatenate((last, ngrams.classes_of(ngrams.codes_of(part))))
         pairs += np.bincount(kinds[:-1] * N_CLASSES + kinds[1:], minlength=pairs.size)
         last = kinds[-1:]
     h = ngrams.words_of(text).hashes

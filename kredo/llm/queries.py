@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kredo.llm import decontam, langid, packing, quality_pu, quality_rules, sharding, simhash, token_store
+from kredo.llm import decontam, langid, packing, pii, quality_pu, quality_rules, sharding, simhash, token_store
 from kredo.llm.common import fold, fresh_path, id_and_text, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,13 @@ def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+@query
+def op4_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: exact base spans, and those that the tagger adds."""
+    docs = read(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(id_and_text(docs)))
+
+
 @query
 def op6_ball_hash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of all documents (3-word shingles, 3 bits)."""
