@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kredo.llm import decontam, langid, packing, pii, quality_pu, quality_rules, sharding, simhash, token_store
+from kredo.llm import decontam, langid, packing, pii, quality_pu, quality_rules, sharding, simhash, token_store, warc
 from kredo.llm.common import fold, fresh_path, id_and_text, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,13 @@ def op4_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(id_and_text(docs)))
 
 
+@query
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of all pages, each with the checksum of its bytes."""
+    made = warc.derivatives(warc.responses(read(spark, sf_dir, "pages")))
+    return made.withColumn("record_crc32", F.crc32("record")).drop("record")
+
+
 @query
 def op6_ball_hash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of all documents (3-word shingles, 3 bits)."""

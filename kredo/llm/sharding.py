@@ -78,22 +78,27 @@ def crossing(rows: DataFrame, brackets: dict[int, dict]) -> None:
         todo = {n: b for n, b in todo.items() if step[n] > 1}
 
 
-def split_level(rows: DataFrame, parts: dict[int, int], extents: list[int]) -> DataFrame:
+def split_level(rows: DataFrame, parts: dict[int, int], extents: list[int], keys: tuple[int, int]) -> DataFrame:
     """Cut every node with more than one shard; a node is named by its first shard."""
     spark = rows.sparkSession
     dims = [c for c in rows.columns if c.startswith("dim_")]
     active = {n: k for n, k in parts.items() if k > 1}
-    stats = (rows.join(F.broadcast(values(spark, [(n,) for n in active], ["node"])), "node").groupBy("node")
+    stats = (rows.groupBy("node")
                  .agg(F.sum("size").alias("bytes"),
                       *[f(c).alias(f"{f.__name__}_{c}") for c in dims for f in (F.min, F.max)]).collect())
     brackets, chosen = {}, {}
     for r in stats:
+        if r["node"] not in active or not r["bytes"]:
+            continue
         n, k = r["node"], active[r["node"]]
         width = [(r[f"max_{c}"] - r[f"min_{c}"]) / (e or 1) for c, e in zip(dims, extents)]
         d = max(range(len(dims)), key=lambda i: (width[i], -i))
         chosen[n] = d
         brackets[n] = {"lo": r[f"min_{dims[d]}"], "hi": r[f"max_{dims[d]}"], "below": 0,
                        "target": max(1, round(r["bytes"] * ((k + 1) // 2) / k))}
+    for n, k in active.items():
+        parts[n] = (k + 1) // 2
+        parts[n + (k + 1) // 2] = k // 2
     if not brackets:
         return rows
     by_dim = values(spark, [(n, d) for n, d in chosen.items()], ["node", "axis"])
@@ -102,9 +107,7 @@ def split_level(rows: DataFrame, parts: dict[int, int], extents: list[int]) -> D
 
     cuts = values(spark, [(n, b["lo"]) for n, b in brackets.items()], ["node", "cut"])
     tied = onto.join(F.broadcast(cuts), "node").where(F.col("v") == F.col("cut"))
-    span = tied.groupBy("node").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).collect()
-    ties = {r["node"]: {"lo": r["lo"], "hi": r["hi"], "below": brackets[r["node"]]["below"],
-                        "target": brackets[r["node"]]["target"]} for r in span}
+    ties = {n: {"lo": keys[0], "hi": keys[1], "below": b["below"], "target": b["target"]} for n, b in brackets.items()}
     crossing(tied.select("node", F.col("key").alias("v"), "size"), ties)
 
     # the rows at the cut itself go to the side that leaves the left part nearer to its target
@@ -117,11 +120,7 @@ def split_level(rows: DataFrame, parts: dict[int, int], extents: list[int]) -> D
         (key < F.col("key_cut")) | ((key == F.col("key_cut")) & (F.col("with_cut") == 1)))))
     moved = rows.join(F.broadcast(small), "node", "left")
     node = F.when(F.col("jump").isNull() | left, F.col("node")).otherwise(F.col("node") + F.col("jump"))
-    out = moved.withColumn("node", node).select(*rows.columns)
-    for n, k in active.items():
-        parts[n] = (k + 1) // 2
-        parts[n + (k + 1) // 2] = k // 2
-    return out
+    return moved.withColumn("node", node).select(*rows.columns)
 
 
 def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None,
@@ -146,18 +145,16 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
                      *[f(c).alias(f"{f.__name__}_{c}") for c in (*names, "key") for f in (F.min, F.max)]).first()
     if not whole["n"]:
         return base.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    if any(whole[f"max_{c}"] - whole[f"min_{c}"] >= 1 << 62 for c in (*names, "key")):
+    wide = any(whole[f"max_{c}"] - whole[f"min_{c}"] >= 1 << 62 for c in (*names, "key"))
+    if wide:                                            # differences must fit a long
         base = base.select(*[F.shiftright(c, 2).alias(c) if c in (*names, "key") else F.col(c) for c in base.columns])
     extents = [whole[f"max_{c}"] - whole[f"min_{c}"] for c in names]
+    keys = tuple(whole[f"{f}_key"] >> (2 * wide) for f in ("min", "max"))
     count = shards or max(1, math.ceil(whole["bytes"] / target_bytes))
     parts, rows = {0: count}, base.withColumn("node", F.lit(0).cast("long"))
     while any(k > 1 for k in parts.values()):
-        grown = dict(parts)
-        rows = split_level(rows, grown, extents)
-        if grown == parts:
-            break
-        parts = grown
-    placed = written(rows.select("doc_id", "size", "text_crc32", F.col("node").cast("int").alias("shard")), "kd-shards")
+        rows = written(split_level(rows, parts, extents, keys), "kd-level")
+    placed = rows.select("doc_id", "size", "text_crc32", F.col("node").cast("int").alias("shard"))
     return with_slots(placed, whole["n"], count)
 
 
