@@ -3,18 +3,19 @@
 Confusion counts, precision, recall, accuracy, F1 and log loss are one
 grouped aggregate.  ROC AUC is exact (ties count one half) and distributed:
 scores are first reduced to distinct values with their positive/negative
-counts, range-bucketed on approximate quantiles, and the "negatives below"
-running count is the bucket's offset (a window over at most ``buckets`` rows
-per group) plus a running sum inside the bucket (a window per bucket).
+counts, and "negatives below" is a running total through a range exchange.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kredo.operators import ranges
+from kredo.session import ensure_checkpoint_dir
+
 EPS = 1e-15
+COUNTS = ("n", "tp", "fp", "tn", "fn")
 
 
 def score_counts(df: DataFrame, group: list[str], label: str = "label", score: str = "score") -> DataFrame:
@@ -46,34 +47,22 @@ def confusion_from_counts(s: DataFrame, group: list[str], score: str = "score",
         F.round(-F.col("_ll") / F.col("n"), digits).alias("log_loss"))
 
 
-def confusion_metrics(df: DataFrame, group: list[str], label: str = "label", score: str = "score",
-                      threshold: float = 0.5, digits: int = 10) -> DataFrame:
-    return confusion_from_counts(score_counts(df, group, label, score), group, score, threshold, digits)
-
-
-def auc_from_counts(s: DataFrame, group: list[str], score: str = "score", buckets: int = 256) -> DataFrame:
-    """Exact ROC AUC per group from per-score counts (Mann-Whitney, ties count one half)."""
-    # Bucket edges from approximate quantiles: a bounded list, used only to spread the work.
-    qs = s.approxQuantile(score, [i / buckets for i in range(1, buckets)], 0.001)
-    edges = sorted(set(q for q in qs if q is not None))
-    splits = [-float("inf")] + edges + [float("inf")]
-    s = Bucketizer(splits=splits, inputCol=score, outputCol="_bucket").transform(s)
-    per_bucket = s.groupBy(*group, "_bucket").agg(F.sum("neg").alias("_bneg"))
-    wb = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*group, "_bucket", F.coalesce(F.sum("_bneg").over(wb), F.lit(0)).alias("_off"))
-    wi = Window.partitionBy(*group, "_bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    s = s.join(offsets, [*group, "_bucket"], "left")
-    s = s.withColumn("_below", F.col("_off") + F.coalesce(F.sum("neg").over(wi), F.lit(0)))
-    g = s.groupBy(*group).agg(
+def auc_from_counts(s: DataFrame, group: list[str], score: str = "score") -> DataFrame:
+    """Exact ROC AUC per group from per-score counts (Mann-Whitney, ties count one half).
+
+    "Negatives below" is a running total through a range exchange, so neither a large group nor a
+    narrow band of scores falls to one task.
+    """
+    below = ranges.running_total(s, group, score, "neg", "_upto").withColumn("_below", F.col("_upto") - F.col("neg"))
+    g = below.groupBy(*group).agg(
         F.sum(F.col("pos") * (F.col("_below") + F.col("neg") * 0.5)).alias("_num"),
         F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     return g.select(*group, F.try_divide(F.col("_num"), F.col("_p") * F.col("_n")).alias("roc_auc"))
 
 
-def roc_auc(df: DataFrame, group: list[str], label: str = "label", score: str = "score",
-            buckets: int = 256) -> DataFrame:
+def roc_auc(df: DataFrame, group: list[str], label: str = "label", score: str = "score") -> DataFrame:
     """Exact ROC AUC per group (Mann-Whitney with half credit for ties)."""
-    return auc_from_counts(score_counts(df, group, label, score), group, score, buckets)
+    return auc_from_counts(score_counts(df, group, label, score), group, score)
 
 
 def classification_report(df: DataFrame, group: list[str], label: str = "label", score: str = "score",
@@ -82,10 +71,20 @@ def classification_report(df: DataFrame, group: list[str], label: str = "label",
 
     The scored rows are reduced once to per-score counts, which are written
     to the shared checkpoint folder; every metric then reads that small table
-    instead of re-running the upstream plan.
+    instead of re-running the upstream plan.  A NULL group is a group.  Without
+    grouping columns there is always one row: n = 0 and NULL metrics if no row was scored.
     """
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = group or ["_all"]
     if not group:
-        df, group = df.withColumn("_all", F.lit(1)), ["_all"]
-    s = score_counts(df, group, label, score).checkpoint()
-    out = confusion_from_counts(s, group, score, threshold).join(auc_from_counts(s, group, score), group, "left")
-    return out.drop("_all") if group == ["_all"] else out
+        df = df.withColumn("_all", F.lit(1))
+    s = score_counts(df, keys, label, score).checkpoint()
+    out = ranges.join_null_safe(confusion_from_counts(s, keys, score, threshold), auc_from_counts(s, keys, score), keys)
+    if group:
+        return out
+    out = out.drop("_all")
+    if not s.isEmpty():
+        return out
+    zero = [F.lit(0).cast(out.schema[c].dataType).alias(c) if c in COUNTS else F.lit(None).cast(
+        out.schema[c].dataType).alias(c) for c in out.columns]
+    return df.sparkSession.range(1).select(*zero)

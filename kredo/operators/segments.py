@@ -7,6 +7,9 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kredo.operators import ranges
+from kredo.session import ensure_checkpoint_dir
+
 
 def with_sector(df: DataFrame, nace_map: DataFrame, division: str = "nace_primary_division",
                 out: str = "sector") -> DataFrame:
@@ -38,104 +41,113 @@ def top_k(counts: DataFrame, keys: list[str], k: int = 3, n: str = "n") -> DataF
 
 # ---------------------------------------------------------------- exact quantiles
 
-def _kth(df: DataFrame, col: str, k: int, buckets: int = 1024, local_rows: int = 100_000) -> float:
-    """Exact k-th smallest (0-based) value of a non-null double column.
+def _finite(c: str):
+    """The column as a double; NaN counts as missing."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
 
-    Distributed range narrowing: each pass counts rows per equal-width bucket
-    of the current range (one aggregate, at most ``buckets`` result rows) and
-    keeps the bucket holding rank k.  When the range holds few rows they are
-    fetched (bounded by ``local_rows``); when it holds one distinct value the
-    answer is that value.  Nothing unbounded reaches the driver or one task.
-    """
-    x = F.col(col)
-    lo, hi, below = None, None, 0
-    cur = df
-    while True:
-        st = cur.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-        lo, hi, n = st["lo"], st["hi"], st["n"]
-        if lo == hi:
-            return float(lo)
-        if n <= local_rows:
-            vals = sorted(r[0] for r in cur.select(x).collect())
-            return float(vals[k - below])
-        width = (hi - lo) / buckets
-        if width == 0.0:
-            # lo and hi are adjacent doubles: only these two values remain.
-            n_lo = cur.where(x == F.lit(lo)).count()
-            return float(lo if k - below < n_lo else hi)
-        b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
-        counts = sorted((r["b"], r["c"]) for r in cur.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
-        acc = below
-        for bi, c in counts:
-            if acc + c > k:
-                cur = cur.where(b == F.lit(bi))
-                below = acc
-                break
-            acc += c
 
+def _between(lo: float, hi: float, share: float) -> float:
+    """lo + (hi - lo) * share, also where the difference overflows."""
+    step = hi - lo
+    return lo + step * share if math.isfinite(step) else lo * (1 - share) + hi * share
 
-def exact_percentile(df: DataFrame, col: str, q: float) -> tuple[int, float | None]:
-    """(n, value) of the q-quantile with linear interpolation between order statistics.
 
-    value = lo + (hi - lo) * (pos - floor(pos)), pos = q * (n - 1).
-    """
-    x = df.select(F.col(col).cast("double").alias(col)).where(F.col(col).isNotNull() & ~F.isnan(col))
-    n = x.count()
-    if n == 0:
-        return 0, None
-    pos = q * (n - 1)
-    i = int(math.floor(pos))
-    lo = _kth(x, col, i)
-    if pos == i:
-        return n, lo
-    below_or_equal = x.where(F.col(col) <= lo).count()
-    hi = lo if below_or_equal > i + 1 else x.where(F.col(col) > lo).agg(F.min(col)).first()[0]
-    return n, lo + (hi - lo) * (pos - i)
-
-
-def approx_percentiles(df: DataFrame, cols: list[str], q: float = 0.99, accuracy: int = 10000) -> dict:
-    """q-quantile of each column in ONE aggregate pass (bounded sketches; rank error about 1/accuracy)."""
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), q, accuracy).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
-
-
-def percentile_table(df: DataFrame, cols: list[str], q: float = 0.99, exact: bool = True) -> DataFrame:
-    """One row per column: n non-null values and the q-quantile (exact by default).
-
-    ``exact=False`` is the single-pass alternative for very large inputs.
+def exact_percentiles(df: DataFrame, cols: list[str], q: float, accuracy: int = 10_000) -> dict[str, tuple[int, float | None]]:
+    """(n, value) of each column's q-quantile, interpolated between order statistics.
+
+    value = lo + (hi - lo) * (pos - floor(pos)), pos = q * (n - 1).  All columns together:
+
+    1. one aggregate counts values and brackets the quantile by two sketched quantiles;
+    2. one aggregate counts the values under and inside each bracket (a bracket that misses the rank
+       is opened to the whole range);
+    3. the distinct values inside the brackets get running counts through a range exchange, and
+       only the two order statistics of each column come back.
     """
-    spark = df.sparkSession
-    if not exact:
-        counts = df.agg(*[F.count(c).alias(c) for c in cols]).first()
-        vals = approx_percentiles(df, cols, q)
-        return spark.createDataFrame([(c, counts[c], vals[c]) for c in cols], "feature string, n bigint, p99 double")
-    base = df.select(*cols).checkpoint()      # the passes re-read a written copy, not the whole lineage
-    rows = []
+    ensure_checkpoint_dir(df.sparkSession)
+    base = df.select(*[_finite(c).alias(c) for c in cols]).checkpoint()   # the passes re-read a written copy
+    # sketched ranks are off by at most n / accuracy
+    sides = F.array(F.lit(max(0.0, q - 2 / accuracy)), F.lit(min(1.0, q + 2 / accuracy)))
+    row = base.agg(*[F.count(c).alias(f"n{k}") for k, c in enumerate(cols)],
+                   *[F.percentile_approx(c, sides, accuracy).alias(f"b{k}") for k, c in enumerate(cols)]).first()
+    n = {c: row[f"n{k}"] for k, c in enumerate(cols)}
+    bracket = {c: tuple(row[f"b{k}"]) for k, c in enumerate(cols) if n[c]}
+    ranks = {c: (math.floor(q * (n[c] - 1)), math.ceil(q * (n[c] - 1))) for c in bracket}
+    if not bracket:
+        return {c: (0, None) for c in cols}
+    held = base.agg(*[F.sum((F.col(c) < lo).cast("long")).alias(f"u_{c}") for c, (lo, _) in bracket.items()],
+                    *[F.sum(F.col(c).between(lo, hi).cast("long")).alias(f"i_{c}") for c, (lo, hi) in bracket.items()]).first()
+    under = {}
+    for c in bracket:
+        under[c] = held[f"u_{c}"]
+        if not (under[c] <= ranks[c][0] and ranks[c][1] < under[c] + held[f"i_{c}"]):
+            bracket[c], under[c] = (-math.inf, math.inf), 0
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.when(F.col(c).between(*bracket[c]), F.col(c)).alias("x"))
+                      for c in bracket])
+    counts = (base.select(F.explode(pairs).alias("p")).select("p.feature", "p.x").where("x IS NOT NULL")
+                  .groupBy("feature", "x").agg(F.count(F.lit(1)).alias("c")))
+    upto = ranges.running_total(counts, ["feature"], "x", "c", "upto")
+    wanted = None
+    for c, (lo, hi) in ranks.items():
+        hit = F.lit(False)
+        for r in {lo - under[c], hi - under[c]}:
+            hit = hit | ((F.col("upto") > r) & (F.col("upto") - F.col("c") <= r))
+        mine = (F.col("feature") == c) & hit
+        wanted = mine if wanted is None else wanted | mine
+    found: dict[str, list] = {c: [] for c in bracket}
+    for r in upto.where(wanted).collect():
+        found[r["feature"]].append(r["x"])
+    out: dict[str, tuple[int, float | None]] = {}
     for c in cols:
-        n, v = exact_percentile(base, c, q)
-        rows.append((c, n, v))
-    return spark.createDataFrame(rows, "feature string, n bigint, p99 double")
+        if c not in bracket:
+            out[c] = (0, None)
+            continue
+        pos = q * (n[c] - 1)
+        out[c] = (n[c], _between(min(found[c]), max(found[c]), pos - math.floor(pos)))
+    return out
 
 
-def winsorize(df: DataFrame, cols: list[str], q: float = 0.99, exact: bool = True) -> DataFrame:
-    """Cap each column at its upper q-quantile (the reference caps at p99); exact by default."""
-    if exact:
-        base = df.select(*cols).checkpoint()
-        caps = {c: exact_percentile(base, c, q)[1] for c in cols}
-    else:
-        caps = approx_percentiles(df, cols, q)
-    return df.select(*[
-        (F.least(F.col(c), F.lit(caps[c])).alias(c) if c in caps and caps[c] is not None else F.col(c))
-        for c in df.columns])
+def exact_percentile(df: DataFrame, col: str, q: float) -> tuple[int, float | None]:
+    return exact_percentiles(df, [col], q)[col]
+
+
+def percentile_table(df: DataFrame, cols: list[str], q: float = 0.99) -> DataFrame:
+    """One row per column: n non-null values and the exact q-quantile."""
+    found = exact_percentiles(df, cols, q)
+    return df.sparkSession.createDataFrame([(c, *found[c]) for c in cols], "feature string, n bigint, p99 double")
+
+
+def capped(df: DataFrame, caps: dict[str, float | None]) -> DataFrame:
+    """Values above their cap become the cap; NULL and NaN stay as they are."""
+    def one(c: str):
+        if caps.get(c) is None:
+            return F.col(c)
+        return F.when((F.col(c) > caps[c]) & ~F.isnan(F.col(c).cast("double")), F.lit(caps[c])).otherwise(F.col(c)).alias(c)
+    return df.select(*[one(c) for c in df.columns])
+
+
+def winsorize(df: DataFrame, cols: list[str], q: float = 0.99) -> DataFrame:
+    """Cap each column at its exact upper q-quantile (the reference caps at p99)."""
+    return capped(df, {c: v for c, (_, v) in exact_percentiles(df, cols, q).items()})
 
 
 # ---------------------------------------------------------------- clusters
 
-def cluster_profile(df: DataFrame, cluster: str, features: list[str], min_members: int = 5000,
-                    digits: int = 9) -> DataFrame:
-    """Mean of each feature and member count per cluster, large clusters only."""
+def cluster_profile(df: DataFrame, cluster: str, features: list[str], min_members: int | None = None,
+                    min_share: float = 0.0, digits: int = 9) -> DataFrame:
+    """Mean of each feature and member count per cluster, large clusters only.
+
+    Large: more than ``min_members`` rows (the reference's bound is 5000) and at least ``min_share`` of
+    all rows, counted over the per-cluster rows.
+    """
     aggs = [F.count(F.lit(1)).alias("n")] + [F.round(F.avg(c), digits).alias(f"avg_{c}") for c in features]
-    return df.groupBy(cluster).agg(*aggs).where(F.col("n") > min_members)
+    out = df.groupBy(cluster).agg(*aggs)
+    if min_members is not None:
+        out = out.where(F.col("n") > min_members)
+    if min_share:
+        total = F.sum("n").over(Window.partitionBy(F.lit(0)))
+        out = out.withColumn("_total", total).where(F.col("n") >= F.col("_total") * min_share).drop("_total")
+    return out
 
 
 def category_mix(df: DataFrame, cluster: str, category: str) -> DataFrame:
