@@ -110,10 +110,3 @@ TRAIN_MAX_YEAR = 2023
 
 def spellings(spec: RubricSpec) -> tuple[str, ...]:
     return (spec.code,) if spec.alt is None else (spec.code, spec.alt)
-
-
-def used_spellings() -> tuple[str, ...]:
-    out: list[str] = []
-    for s in RUBRICS:
-        out.extend(spellings(s))
-    return tuple(out)

@@ -9,12 +9,6 @@ from kredo.functions import codes
 from kredo.functions.scalars import safe_date, safe_double, zero_if_null
 
 
-def kept_rubrics(rubrics: Column | str = "Rubrics") -> Column:
-    """Rubrics of the current and previous period only (array filter before unnest)."""
-    periods = [p for p, _ in codes.PERIODS]
-    return F.filter(rubrics, lambda r: r["Period"].isin(*periods))
-
-
 def unnest_rubrics(accounts: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Lateral left join with the period-filtered rubric array (LEFT JOIN UNNEST).
 

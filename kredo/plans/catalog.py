@@ -494,20 +494,93 @@ def q_filing_flatten(spark, d):
     return _flat_out(loaders.flatten_filings(parsed))
 
 
-@register("ingest_stream", _FLAT_SQL)
-def q_ingest_stream(spark, d):
-    """Stream = batch: land filings in two arrivals, ingest each with availableNow, rerun once, read the sink."""
+# What lands beside the filings: end dates that are none, enterprises without filings, broken lines.
+_BAD_END = "ReferenceNumber LIKE '%7'"
+_EMPTY = "o_orderkey % 11 = 0"
+_BROKEN = "o_orderkey % 13 = 0"
+
+
+def _ingested(spark, d) -> tuple[str, str]:
+    """(sink, ledger) after two arrivals of landed lines and one run over nothing new."""
     import uuid
     from kredo.session import shared_path
     root = shared_path(spark, "kredo-ingest", uuid.uuid4().hex)
     landing, sink, ledger, ckpt = (f"{root}/{x}" for x in ("landing", "sink", "ledger", "checkpoint"))
-    nested = loaders.nest_filings(Inputs(spark, d).filings()).drop("filing_year")
-    years = F.col("reference.ExerciseDates.endDate").substr(1, 4).cast("int")
-    for arrival in (years <= 2022, years > 2022):
-        nested.where(arrival).write.mode("append").json(landing)
+    f = Inputs(spark, d).filings().withColumn("EndDate", F.expr(f"CASE WHEN {_BAD_END} THEN 'unknown' ELSE EndDate END"))
+    lines = loaders.nest_filings(f).select("filing_year", F.to_json(F.struct(
+        "EnterpriseNumber", F.col("filing_year").alias("FilingYear"), "data", "reference")).alias("value"))
+    orders = fx.table(spark, d, "orders")
+    empty = orders.where(_EMPTY).selectExpr("2019L AS filing_year", f"{fx.dotted('o_custkey')} AS EnterpriseNumber").select(
+        "filing_year", F.to_json(F.struct("EnterpriseNumber", F.col("filing_year").alias("FilingYear"))).alias("value"))
+    broken = orders.where(_BROKEN).selectExpr("2023L AS filing_year", "concat('{\"EnterpriseNumber\": \"', o_orderkey) AS value")
+    for arrival in ("filing_year <= 2022", "filing_year > 2022"):
+        for part in (lines, empty, broken):
+            part.where(arrival).select("value").write.mode("append").text(landing)
         ingest.run_ingest(spark, landing, sink, ledger, ckpt)
     ingest.run_ingest(spark, landing, sink, ledger, ckpt)      # nothing new: must add no rows
-    return _flat_out(ingest.read_sink(spark, sink))
+    return sink, ledger
+
+
+@register("ingest_stream", W(f"""
+SELECT {", ".join("f." + c for c in _SCALARS if c != "EndDate")},
+       CASE WHEN f.{_BAD_END} THEN 'unknown' ELSE f.EndDate END AS EndDate, f.filing_year, COALESCE(rc.n, 0) AS n_rubrics
+FROM filings f LEFT JOIN (SELECT ReferenceNumber, count(*) AS n FROM rubrics GROUP BY ReferenceNumber) rc
+  ON rc.ReferenceNumber = f.ReferenceNumber""", staging=False, training=False))
+def q_ingest_stream(spark, d):
+    """Stream = batch: the filings of the sink; broken end dates keep the requested year."""
+    return _flat_out(ingest.read_sink(spark, _ingested(spark, d)[0]))
+
+
+@register("ingest_ledger", W(f"""
+SELECT EnterpriseNumber, filing_year, bool_or(has_filings) AS has_filings FROM (
+  SELECT EnterpriseNumber, CAST(filing_year AS BIGINT) AS filing_year, true AS has_filings FROM filings
+  UNION ALL SELECT {fx.dotted('o_custkey')}, CAST(2019 AS BIGINT), false FROM orders WHERE {_EMPTY})
+GROUP BY EnterpriseNumber, filing_year""", staging=False, training=False))
+def q_ingest_ledger(spark, d):
+    """The ledger that the stream writes: enterprises with filings, and those asked for without."""
+    return ingest.read_ledger(spark, _ingested(spark, d)[1])
+
+
+@register("ingest_rejects", f"SELECT '{{\"EnterpriseNumber\": \"' || o_orderkey AS line FROM orders WHERE {_BROKEN}")
+def q_ingest_rejects(spark, d):
+    """The landed lines that are no documents."""
+    return ingest.read_rejects(spark, _ingested(spark, d)[0]).select("line")
+
+
+# A register field with everything that a CSV must survive: quotes, a comma, a newline, Latin-1, a last backslash.
+_EXTRA = {"spark": "concat('Bus \"', Zipcode, '\", \u00e9tage', char(10), TypeOfAddress, '\\\\')",
+          "duckdb": "'Bus \"' || Zipcode || '\", \u00e9tage' || chr(10) || TypeOfAddress || chr(92)"}
+
+
+def _registers(spark, d) -> tuple[str, dict[str, int]]:
+    """Registers written as Latin-1 CSV and loaded by the job: (folder, counted rows)."""
+    import uuid
+    from kredo.session import shared_path
+    root = shared_path(spark, "kredo-registers", uuid.uuid4().hex)
+    texts = {"dim_enterprise": fx.dim_enterprise_text(spark, d), "dim_activity": fx.dim_activity_text(spark, d),
+             "dim_address": fx.dim_address_text(spark, d).withColumn("ExtraAddressInfo", F.expr(_EXTRA["spark"]))}
+    for t, df in texts.items():
+        (df.write.option("header", "true").option("quoteAll", "true").option("escape", '"')
+           .option("encoding", "ISO-8859-1").csv(f"{root}/csv/{t}.csv"))
+    return f"{root}/tables", loaders.load_dimensions(spark, f"{root}/csv", f"{root}/tables", list(texts))
+
+
+@register("dimension_load", W(f"""
+SELECT EntityNumber, TypeOfAddress, Zipcode, MunicipalityNL, {_EXTRA["duckdb"]} AS ExtraAddressInfo, DateStrikingOff
+FROM dim_address""", staging=False, training=False))
+def q_dimension_load(spark, d):
+    """Addresses after the load job, from CSV with quotes, newlines and backslashes."""
+    return spark.read.parquet(f"{_registers(spark, d)[0]}/dim_address").select(
+        "EntityNumber", "TypeOfAddress", "Zipcode", "MunicipalityNL", "ExtraAddressInfo", "DateStrikingOff")
+
+
+@register("dimension_counts", W("""
+SELECT 'dim_enterprise' AS table_name, count(*) AS n FROM dim_enterprise
+UNION ALL SELECT 'dim_address', count(*) FROM dim_address
+UNION ALL SELECT 'dim_activity', count(*) FROM dim_activity""", staging=False, training=False))
+def q_dimension_counts(spark, d):
+    """The row counts that the load job's writes report."""
+    return spark.createDataFrame(list(_registers(spark, d)[1].items()), "table_name string, n bigint")
 
 
 _DOTTED_ORDERS = fx.dotted("o_custkey")

@@ -1,6 +1,7 @@
 """Batch jobs: staging table, training table, model comparison.
 
     python -m kredo.plans.pipeline fixtures --sf-dir /root/testdata/sf0.01 --out <shared>/tables
+    python -m kredo.plans.pipeline dimensions --csv <shared>/registers --out <shared>/tables
     python -m kredo.plans.pipeline staging  --tables <shared>/tables --out <shared>/staging
     python -m kredo.plans.pipeline training --staging <shared>/staging --out <shared>/training
     python -m kredo.plans.pipeline models   --training <shared>/training --nace <shared>/tables/dim_nace_mapping --out <shared>/metrics
@@ -75,8 +76,9 @@ def models_job(spark: SparkSession, training_path: str, nace_path: str, out: str
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="kredo")
-    ap.add_argument("job", choices=["fixtures", "staging", "training", "models", "ingest", "compact"])
+    ap.add_argument("job", choices=["fixtures", "dimensions", "staging", "training", "models", "ingest", "compact"])
     ap.add_argument("--landing")
+    ap.add_argument("--csv")
     ap.add_argument("--stream")
     ap.add_argument("--buckets", type=int, default=1024)
     ap.add_argument("--sf-dir")
@@ -91,6 +93,9 @@ def main(argv: list[str] | None = None) -> None:
     ensure_checkpoint_dir(spark)
     if a.job == "fixtures":
         write_fixture_tables(spark, a.sf_dir, a.out)
+    elif a.job == "dimensions":
+        for table, n in loaders.load_dimensions(spark, a.csv, a.out).items():
+            print(f"{table}: {n} rows")
     elif a.job == "staging":
         staging_job(spark, a.tables, a.out)
     elif a.job == "training":

@@ -36,12 +36,17 @@ def get_session(master: str | None = None, partitions: int = 8, app: str = "kred
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is always used.  Only when it is unset (local tests)
-    is a folder chosen, once per session (remembered in the session conf, so
-    every later call returns the same folder).
+    The cluster's setting is always used, else a folder set with ``setCheckpointDir``.  Only a session
+    that runs in one process (``local[...]``, as in tests) may go without: a folder is chosen, once
+    per session (remembered in the session conf, so every later call returns the same folder).  On
+    any other master a missing folder is an error: executors could not share a local one.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("kredo.checkpoint.base", None)
+    d = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("kredo.checkpoint.base", None)
+         or spark.sparkContext.getCheckpointDir())
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="kredo-ckpt-")
         spark.conf.set("kredo.checkpoint.base", d)
     sc = spark.sparkContext

@@ -34,19 +34,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan yields too few splits.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The rows dealt by a key over the shuffle partitions.
 
-    A file with one row group is one task; the per-filing work that follows
-    (building ~100 rubrics per row) would then run on one core.  Large inputs
-    arrive as many splits and are left untouched (no shuffle).
+    The per-filing work that follows (building ~100 rubrics per row) is heavy and the rows are narrow,
+    so they are always dealt, whatever the number of input splits.
     """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the plan as is
-        return df
-    return df if have >= target else df.repartition(target)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 # ---------------------------------------------------------------- snippets
@@ -159,7 +153,7 @@ def rubrics_array_sql() -> str:
 
 def _orders_with_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = spread(table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"), "o_orderkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     # customer grows with the data: Spark's size-checked planner decides broadcast vs shuffle.
     return o.join(c, o["o_custkey"] == c["c_custkey"], "left").selectExpr(*order_cols())
@@ -175,12 +169,6 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.selectExpr(*filing_cols(), f"{rubrics_array_sql()} AS Rubrics", "y AS filing_year")
 
 
-def rubric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long form of all derived rubrics (ReferenceNumber, Code, Period, Value)."""
-    f = filings(spark, sf_dir)
-    return f.select("ReferenceNumber", F.inline("Rubrics"))
-
-
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
 
@@ -289,14 +277,18 @@ def rule_cluster_sql(cu: str) -> str:
 # ---------------------------------------------------------------- stored derived tables
 
 def _input_signature(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> str:
-    """Sizes and modification times of the driver tables a derived table is built from."""
+    """Sizes and modification times of all files of the driver tables a derived table is built from."""
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     parts = []
     for n in names:
         p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{n}.parquet")
-        st = p.getFileSystem(conf).getFileStatus(p)
-        parts.append(f"{n}:{st.getLen()}:{st.getModificationTime()}")
+        files = p.getFileSystem(conf).listFiles(p, True)
+        found = []
+        while files.hasNext():
+            st = files.next()
+            found.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
+        parts.append(f"{n}:" + ",".join(sorted(found)))
     return ";".join(parts)
 
 
@@ -310,10 +302,11 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, inputs: tuple[str
     and failed writes never expose a partial table.
     """
     import hashlib
+    import inspect
     import uuid
 
     from kredo.session import shared_path
-    rules = rubrics_array_sql() + "|".join(filing_cols()) + "|".join(order_cols())
+    rules = inspect.getsource(filings) + rubrics_array_sql() + "|".join(filing_cols()) + "|".join(order_cols())
     key = hashlib.sha1(f"{name}|{sf_dir}|{_input_signature(spark, sf_dir, inputs)}|{rules}".encode()).hexdigest()[:16]
     final = shared_path(spark, "kredo-derived", f"{name}-{key}")
     jvm = spark._jvm
@@ -327,21 +320,14 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, inputs: tuple[str
         tmp_name = f".{base}.tmp-{uuid.uuid4().hex}"
         tmp = jvm.org.apache.hadoop.fs.Path(f"{parent}/{tmp_name}")
         w = build().write.mode("overwrite")
-        # The rubric arrays are one very wide projection (~100 structs per row): its
-        # whole-stage method is too large to compile, and Spark would only fall back
-        # after trying.  Write this one table with expression-level codegen instead.
-        key_wscg = "spark.sql.codegen.wholeStage"
-        before = spark.conf.get(key_wscg, "true")
-        spark.conf.set(key_wscg, "false")
-        try:
-            (w.partitionBy(partition_by) if partition_by else w).parquet(tmp.toString())
-        finally:
-            spark.conf.set(key_wscg, before)
+        (w.partitionBy(partition_by) if partition_by else w).parquet(tmp.toString())
         if fs.exists(fpath) or not fs.rename(tmp, fpath):
             fs.delete(tmp, True)                          # another writer won: use its table
         nested = jvm.org.apache.hadoop.fs.Path(f"{final}/{tmp_name}")
         if fs.exists(nested):
             fs.delete(nested, True)
+        if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{final}/_SUCCESS")):
+            raise RuntimeError(f"unfinished table at {final}; remove it and run again")
     return spark.read.parquet(final)
 
 

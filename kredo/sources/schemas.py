@@ -13,7 +13,7 @@ RUBRIC = T.StructType([
 ])
 RUBRICS = T.ArrayType(RUBRIC)
 
-# One annual-account filing: 22 scalars + the nested rubrics.
+# FIXED VALUES: one annual-account filing: 22 scalars + the nested rubrics.
 FILING_FIELDS = [
     "ReferenceNumber", "DepositDate", "StartDate", "EndDate", "ModelType",
     "DepositType", "Language", "Currency", "EnterpriseNumber", "EnterpriseName",
@@ -25,8 +25,11 @@ FILING_FIELDS = [
 FILING = T.StructType([T.StructField(c, S) for c in FILING_FIELDS] + [T.StructField("Rubrics", RUBRICS)])
 
 # Landed filing as the web service returns it: two documents per filing.
+# FIXED VALUES: the web service's field names.  FilingYear is the year that was requested; a line with
+# neither document says that the enterprise has no filing for that year.
 RAW_FILING = T.StructType([
     T.StructField("EnterpriseNumber", S),
+    T.StructField("FilingYear", T.LongType()),
     T.StructField("data", T.StructType([
         T.StructField("referenceNumber", S),
         T.StructField("EnterpriseName", S),
@@ -56,6 +59,11 @@ RAW_FILING = T.StructType([
 ])
 
 
+# How a landed line is read: a line that is no such document is kept as text.
+CORRUPT = "_corrupt_record"
+LANDED = T.StructType([*RAW_FILING.fields, T.StructField(CORRUPT, S)])
+
+
 def _schema(cols: list[str], dates: tuple[str, ...] = ()) -> T.StructType:
     return T.StructType([T.StructField(c, T.DateType() if c in dates else S) for c in cols])
 

@@ -4,10 +4,9 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from kredo.plans import catalog
 from tools.compare import TABLES, digest, type_mismatches
 
-SKIP_SLOW = {"ingest_stream"}      # covered by test_sources (stream = batch on literal filings)
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
@@ -17,7 +16,7 @@ def con(sf_dir):
     return c
 
 
-@pytest.mark.parametrize("name", sorted(set(oracle_sql()) - SKIP_SLOW))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, sf_dir, con, name):
     frame = queries()[name](spark, sf_dir)
     got = frame.toPandas()
@@ -29,7 +28,7 @@ def test_query_matches_oracle(spark, sf_dir, con, name):
 
 
 def test_every_query_has_an_oracle_or_is_a_model():
-    no_oracle = set(queries()) - set(oracle_sql())
+    no_oracle = set(catalog.QUERIES) - set(catalog.ORACLE)
     assert all(n.startswith(("gbt_", "kmeans_", "hyperparam_", "logreg_", "rf_", "model_")) for n in no_oracle)
 
 

@@ -27,7 +27,7 @@ def model_double(s):
     return v if math.isfinite(v) else None
 
 
-@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(numeric_like, min_size=300, max_size=300))
 def test_safe_double_matches_model(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
@@ -36,7 +36,7 @@ def test_safe_double_matches_model(spark, values):
         assert got[i] == model_double(v), (v, got[i])
 
 
-@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False, width=64)),
                           st.one_of(st.none(), st.sampled_from([0.0, -0.0]),
                                     st.floats(allow_nan=False, allow_infinity=False, width=64))),
@@ -80,7 +80,7 @@ date_like = st.one_of(
 )
 
 
-@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(date_like, min_size=300, max_size=300))
 def test_register_dates_match_model(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
@@ -109,7 +109,7 @@ money = st.one_of(st.none(), st.sampled_from(edges), st.floats(-1e7, 2e7, allow_
 fte = st.one_of(st.none(), st.sampled_from([0.0, 1.0, 10.0, 11.0, 50.0, 51.0]), st.floats(0, 100, allow_nan=False))
 
 
-@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(money, money, fte), min_size=400, max_size=400))
 def test_company_segment_matches_model(spark, rows):
     df = spark.createDataFrame([(i, a, r, f) for i, (a, r, f) in enumerate(rows)], "i int, a double, r double, f double")
@@ -135,7 +135,7 @@ ratio = st.one_of(st.none(), st.sampled_from([-0.0, 0.0, 0.05, 0.0499, 1.0, 0.99
                   st.floats(-3, 3, allow_nan=False))
 
 
-@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(ratio, ratio, ratio), min_size=400, max_size=400))
 def test_risk_label_matches_model(spark, rows):
     from kredo.operators import label
