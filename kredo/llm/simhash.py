@@ -1,20 +1,24 @@
 """SimHash near-duplicates by meet-in-the-middle ball hashing.
 
 Two fingerprints at most r bits apart meet in a variant that is about half-way.  With s = r // 2
-every distinct fingerprint emits all its variants within s flips.  For odd r the last bit is met
-from one side only: fingerprints of odd weight also emit variants with s + 1 flips, and only those
-whose flips all lie in one half of the word, because of 2 s + 1 differing bits some half holds
-s + 1.  (An odd distance means one weight is even and one odd, so one side does it.)
+every distinct fingerprint emits all its variants within s flips, and rows are shuffled on the variant.
 
-Rows are shuffled on the variant.  Fingerprints within s flips of one variant are within 2 s of each
-other and within r of those that reached it with s + 1 flips, so all of them link to the smallest of
-the first kind: as many links as emitted rows, never all pairs of a group.  Links are made distinct
-and their bit distance is verified.  Exact copies are one fingerprint from the start, and at most a
-ball's volume of fingerprints can meet in a variant, so no key is hot.
+Odd radii need one more flip.  Fingerprints of odd weight also emit variants with s + 1 flips, and
+only those whose flips all lie in one half of the word, because of 2 s + 1 differing bits some half
+holds s + 1.  (An odd distance means one weight is even and one odd, so one side does it.)  These
+variants are many, so fingerprints without a neighbour are set aside first, also by meeting in the
+middle: of three blocks of bits, leaving out the one that differs most leaves at most 2 s differing
+bits, so neighbours meet in a variant within s flips of one of three projections.
 
-Components come from repeated contraction: every node moves to its smallest neighbour, edges are
-renamed and made distinct; at least half of the linked nodes vanish each round.  Rounds are cut by
-reliable checkpoints.
+Fingerprints within s flips of one variant are within 2 s of each other and within r of those that
+reached it with s + 1 flips, so all of them link to the smallest of the first kind: as many links as
+emitted rows, never all pairs of a group.  Links are made distinct and their bit distance is verified.
+Exact copies are one fingerprint from the start, and at most a ball's volume of fingerprints can meet
+in a whole variant.
+
+Components come from repeated contraction: every node moves to its smallest neighbour, chains of moves
+are followed to their ends, edges are renamed and made distinct; at least half of the linked nodes
+vanish each round.  Rounds are cut by reliable checkpoints.
 
 Defined results: a null or empty text has fingerprint 0 and links like any other; repeated rows share
 their component; the component of rows with null ids only is null; an empty table gives no rows.
@@ -22,7 +26,6 @@ their component; the component of rows with null ids only is null; an empty tabl
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -63,16 +66,45 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             for batch in batches:
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                     fp = fingerprint(text.as_py(), shingle)
-                    yield doc_id, fp - (1 << BITS) if fp >> (BITS - 1) else fp
+                    yield doc_id, signed(fp)
         yield from arrow_rows(rows(), schema)
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
 
 
-def flips(k: int, places: range) -> list[int]:
-    """All masks of k bits among the places, as signed longs."""
-    masks = [reduce(lambda m, b: m | 1 << b, c, 0) for c in combinations(places, k)]
-    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
+def signed(bits: int) -> int:
+    return bits - (1 << BITS) if bits >> (BITS - 1) else bits
+
+
+def flips(k: int, places) -> list[int]:
+    """All masks of k bits among the places."""
+    return [sum(1 << b for b in c) for c in combinations(places, k)]
+
+
+def spread(fps: DataFrame) -> DataFrame:
+    """The same rows over all shuffle partitions: each row becomes hundreds, so few rows are work enough."""
+    return fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+
+
+def neighboured(fps: DataFrame, radius: int) -> DataFrame:
+    """The fingerprints that meet another one in a variant of one of three projections.
+
+    All that have a neighbour within the radius are among them.  The left-out block holds the
+    projection's number.
+    """
+    edges = [BITS * k // 3 for k in range(4)]
+    pairs = []
+    for k in range(3):
+        block = range(edges[k], edges[k + 1])
+        keep = signed((1 << BITS) - 1 - sum(1 << b for b in block))
+        places = [b for b in range(BITS) if b not in block]
+        pairs += [(keep, signed(m | (k + 1) << block[0])) for n in range(radius // 2 + 1) for m in flips(n, places)]
+    masks = F.array(*[F.struct(F.lit(keep).alias("keep"), F.lit(flip).alias("flip")) for keep, flip in pairs])
+    met = spread(fps).select("fp", F.explode(masks).alias("m")).select(
+        F.col("fp").bitwiseAND(F.col("m.keep")).bitwiseXOR(F.col("m.flip")).alias("variant"), "fp")
+    w = Window.partitionBy("variant")
+    apart = met.select("fp", F.min("fp").over(w).alias("lo"), F.max("fp").over(w).alias("hi")).where("lo <> hi")
+    return apart.select("fp").distinct()
 
 
 def links(fps: DataFrame, radius: int = 3) -> DataFrame:
@@ -81,12 +113,13 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
     fps: distinct ``fp``.  Two fingerprints within the radius are linked directly or through the
     smallest fingerprint of a variant that both reach.
     """
-    near = [m for k in range(radius // 2 + 1) for m in flips(k, range(BITS))]
-    far = [m for half in (range(BITS // 2), range(BITS // 2, BITS))
+    near = [signed(m) for k in range(radius // 2 + 1) for m in flips(k, range(BITS))]
+    far = [signed(m) for half in (range(BITS // 2), range(BITS // 2, BITS))
            for m in flips(radius // 2 + 1, half)] if radius % 2 else []
     odd = F.bit_count("fp") % 2 == 1
     masks = F.when(odd, F.lit(near + far)).otherwise(F.lit(near)) if far else F.lit(near)
-    emitted = fps.select("fp", F.posexplode(masks).alias("k", "mask")).select(
+    live = checkpointed(neighboured(fps, radius))
+    emitted = spread(live).select("fp", F.posexplode(masks).alias("k", "mask")).select(
         F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), "fp", (F.col("k") >= len(near)).alias("far"))
     hub = F.min(F.when(~F.col("far"), F.col("fp"))).over(Window.partitionBy("variant"))
     met = emitted.withColumn("hub", hub).where(F.col("hub").isNotNull() & (F.col("hub") != F.col("fp")))
@@ -94,6 +127,16 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
                .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius))
 
 
+def ends(up: DataFrame) -> DataFrame:
+    """node, up with every chain of moves followed to its end; the ways double each time."""
+    while True:
+        above = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        step = checkpointed(up.join(above, "up").select("node", "up", "top"))
+        if step.where("up <> top").isEmpty():
+            return step.select("node", "up")
+        up = step.select("node", F.col("top").alias("up"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root for every node of the edges (a, b); equal roots mean one component."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -102,9 +145,7 @@ def components(edges: DataFrame) -> DataFrame:
     while not live.isEmpty():
         up = live.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select(
             "node", F.least("node", "b").alias("up"))
-        up = checkpointed(up)
-        above = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
-        step = checkpointed(up.join(above, "up").select("node", F.col("top").alias("up")))
+        step = ends(checkpointed(up))
         if labels is None:
             labels = step.select("node", F.col("up").alias("root"))
         else:
