@@ -28,23 +28,42 @@ def accounts_with_financials(preferred: DataFrame, fold: bool = True) -> DataFra
     """Preferred filings with their sums and derived sums.
 
     The reference aggregates the sums per (ReferenceNumber, EnterpriseNumber,
-    end date) and joins them back on ReferenceNumber.  Because the sums come
-    from the preferred filings themselves, that join re-attaches each filing's
-    own sums whenever a reference number occurs once among preferred filings
-    (tested invariant).  ``fold=True`` computes them in the same aggregate
-    (the filing's columns ride along as grouping keys) and saves two shuffles;
-    ``fold=False`` runs the literal join.
+    end date) and joins them back on ReferenceNumber.  ``fold=True`` computes
+    them in the same aggregate (the filing's columns ride along as grouping
+    keys) and applies the join's effect (``by_reference``); ``fold=False`` runs
+    the literal join.
     """
     if fold:
         x = financials.unnest_summed(preferred, ACCOUNT_COLUMNS)
-        f = x.groupBy(*ACCOUNT_COLUMNS).agg(*financials.sums())
+        f = by_reference(x.groupBy(*ACCOUNT_COLUMNS).agg(*financials.sums()))
     else:
         fb = financials.financials_base(preferred).drop("EnterpriseNumber", "balance_sheet_date")
         f = preferred.select(*ACCOUNT_COLUMNS).join(fb, "ReferenceNumber", "left")
     return f.select("*", *financials.derived_columns())
 
 
-def preferred_with_financials(filings: DataFrame) -> DataFrame:
+def by_reference(preferred: DataFrame) -> DataFrame:
+    """The reference's join of the sums on ReferenceNumber, from preferred filings with their own sums.
+
+    A filing whose number occurs once keeps its sums.  A NULL number matches nothing: its sums are
+    NULL.  Filings that share a number each get one row per sums of that number, as the join gives.
+    One exchange of narrow rows; filings without a number are spread by enterprise.
+    """
+    sums = financials.sum_columns()
+    w = Window.partitionBy("ReferenceNumber", F.when(F.col("ReferenceNumber").isNull(), F.struct(*accounts.DEDUP_KEYS)))
+    all_sums = F.collect_list(F.struct(*sums)).over(w)
+    own = [c for c in preferred.columns if c not in sums]
+    matched = preferred.select(*own, F.when(F.col("ReferenceNumber").isNotNull(), all_sums).alias("_sums"))
+    return matched.select(*own, F.explode_outer("_sums").alias("_s")).select(
+        *own, *[F.col("_s")[c].alias(c) for c in sums])
+
+
+def n_rubrics(filings: DataFrame) -> Column:
+    """Rubrics of a filing: as stored beside it (the arrays are not read for it), else counted."""
+    return F.col("_n_rubrics") if "_n_rubrics" in filings.columns else F.coalesce(F.size("Rubrics"), F.lit(0))
+
+
+def preferred_with_financials(filings: DataFrame, literal: bool = True) -> DataFrame:
     """Preferred filing per (enterprise, year) with its 70 sums: aggregate first, then deduplicate.
 
     The sums of a filing depend on that filing alone, so they may be computed
@@ -53,15 +72,16 @@ def preferred_with_financials(filings: DataFrame) -> DataFrame:
     before anything is shuffled: both exchanges (per filing, then per
     enterprise and year with a partial top-1) carry narrow rows, never the
     rubric arrays.  A per-row id keeps identical duplicate filings apart, as
-    the reference's window does.
+    the reference's window does.  ``literal``: give the sums through
+    ReferenceNumber, as the reference's join does.
     """
     f = accounts.with_keys(accounts.scan_years(filings).where(~F.col("ModelType").like("%p")))
     if "_filing_id" in f.columns:
-        return _preferred_with_financials_by_id(f)
+        return _preferred_with_financials_by_id(f, literal)
     keys = ACCOUNT_COLUMNS + ["ImprovementDate", "_n_rubrics", "_row"]
     # The row id is fixed before the unnest (one id per filing, not per rubric).
     f = f.select(*ACCOUNT_COLUMNS, "ImprovementDate", "Rubrics",
-                 F.coalesce(F.size("Rubrics"), F.lit(0)).alias("_n_rubrics"),
+                 n_rubrics(f).alias("_n_rubrics"),
                  F.monotonically_increasing_id().alias("_row"))
     x = financials.unnest_summed(f, keys)
     per_filing = x.groupBy(*keys).agg(*financials.sums())
@@ -70,19 +90,23 @@ def preferred_with_financials(filings: DataFrame) -> DataFrame:
              F.col("ReferenceNumber").asc_nulls_first(), F.col("_row").asc()]
     w = Window.partitionBy(*accounts.DEDUP_KEYS).orderBy(*order)
     best = per_filing.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-    return best.drop("_rn", "ImprovementDate", "_n_rubrics", "_row").select("*", *financials.derived_columns())
+    best = best.drop("_rn", "ImprovementDate", "_n_rubrics", "_row")
+    best = by_reference(best) if literal else best
+    return best.select("*", *financials.derived_columns())
 
 
-def _dedup(per_filing: DataFrame) -> DataFrame:
+def _dedup(per_filing: DataFrame, literal: bool) -> DataFrame:
     order = [accounts.model_rank_col().asc(), accounts.language_rank_col().asc(),
              F.col("ImprovementDate").desc_nulls_last(), F.col("_n_rubrics").desc(),
              F.col("ReferenceNumber").asc_nulls_first(), F.col("_tie").asc()]
     w = Window.partitionBy(*accounts.DEDUP_KEYS).orderBy(*order)
     best = per_filing.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-    return best.drop("_rn", "ImprovementDate", "_n_rubrics", "_tie").select("*", *financials.derived_columns())
+    best = best.drop("_rn", "ImprovementDate", "_n_rubrics", "_tie")
+    best = by_reference(best) if literal else best
+    return best.select("*", *financials.derived_columns())
 
 
-def _preferred_with_financials_by_id(f: DataFrame) -> DataFrame:
+def _preferred_with_financials_by_id(f: DataFrame, literal: bool) -> DataFrame:
     """The same result when filings carry a stable, unique per-row id (``_filing_id``, see fixtures.file_row_id).
 
     Only the id rides through the unnest and the sums are keyed by it alone
@@ -91,10 +115,9 @@ def _preferred_with_financials_by_id(f: DataFrame) -> DataFrame:
     deduplication.  Exchanges still carry one narrow row per filing.
     """
     sums = financials.unnest_summed(f, ["_filing_id"]).groupBy("_filing_id").agg(*financials.sums())
-    attrs = f.select(*ACCOUNT_COLUMNS, "ImprovementDate", F.coalesce(F.size("Rubrics"), F.lit(0)).alias("_n_rubrics"),
-                     "_filing_id")
+    attrs = f.select(*ACCOUNT_COLUMNS, "ImprovementDate", n_rubrics(f).alias("_n_rubrics"), "_filing_id")
     per_filing = attrs.join(sums, "_filing_id").withColumnRenamed("_filing_id", "_tie")
-    return _dedup(per_filing)
+    return _dedup(per_filing, literal)
 
 
 def _sd(a: Column | str, b: Column | str) -> Column:
@@ -196,7 +219,7 @@ def financials_from_filings(filings: DataFrame, derived: bool = False) -> DataFr
     computed before deduplication are the same rows.
     """
     from kredo.functions.scalars import safe_date
-    p = preferred_with_financials(filings)
+    p = preferred_with_financials(filings, literal=False)
     cols = ["ReferenceNumber", "EnterpriseNumber", safe_date("EndDate").alias("balance_sheet_date"),
             *financials.sum_columns()]
     if derived:

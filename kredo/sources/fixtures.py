@@ -306,7 +306,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, inputs: tuple[str
     import uuid
 
     from kredo.session import shared_path
-    rules = inspect.getsource(filings) + rubrics_array_sql() + "|".join(filing_cols()) + "|".join(order_cols())
+    rules = inspect.getsource(filings) + inspect.getsource(stored_filings) + rubrics_array_sql() + "|".join(filing_cols()) + "|".join(order_cols())
     key = hashlib.sha1(f"{name}|{sf_dir}|{_input_signature(spark, sf_dir, inputs)}|{rules}".encode()).hexdigest()[:16]
     final = shared_path(spark, "kredo-derived", f"{name}-{key}")
     jvm = spark._jvm
@@ -341,8 +341,9 @@ def stored_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark._jvm.org.apache.hadoop.fs.Path  # noqa: B018 - probe for a classic session
     except Exception:  # noqa: BLE001
         return filings(spark, sf_dir)
-    df = stored(spark, sf_dir, "filings", lambda: filings(spark, sf_dir), ("orders", "customer"), "filing_year")
-    return df.select(*schemas.FILING.fieldNames(), F.col("filing_year").cast("bigint").alias("filing_year"),
+    df = stored(spark, sf_dir, "filings", lambda: filings(spark, sf_dir).withColumn(
+        "_n_rubrics", F.coalesce(F.size("Rubrics"), F.lit(0))), ("orders", "customer"), "filing_year")
+    return df.select(*schemas.FILING.fieldNames(), F.col("filing_year").cast("bigint").alias("filing_year"), "_n_rubrics",
                      file_row_id())
 
 

@@ -82,11 +82,13 @@ def test_bucketed_filings_are_never_shuffled(spark, sf_dir, no_aqe_no_broadcast)
     s = staging.staging_with_key(f, i.dim_enterprise(), i.dim_address(), i.dim_activity())
     plan = _plan(features.training_dataset(s), "simple")
     exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
-    # Only the dimensions move (to the buckets of the clean number); no exchange on the fact keys.
-    fact = [ln for ln in exchanges if "ReferenceNumber" in ln or "accounting_year" in ln
-            or re.search(r"hashpartitioning\((enterprise_number|EnterpriseNumber)#\d+, (clean|accounting)", ln)]
+    # The dimensions move to the buckets, and the preferred filings' sums move for the join on the reference number;
+    # no filing is shuffled for its sums or its deduplication.
+    fact = [ln for ln in exchanges if "accounting_year" in ln and "ReferenceNumber" not in ln]
     assert fact == []
-    assert 0 < len(exchanges) <= 5
+    assert sum("ReferenceNumber" in ln for ln in exchanges) == 1
+    assert 0 < len(exchanges) <= 7
+    assert not any("Rubrics" in i for i in _exchange_inputs(_plan(s)))
     # Same rows as the unbucketed plan.
     a = features.training_dataset(s).drop("clean_enterprise_number")
     b = i.training()
@@ -108,3 +110,10 @@ def test_activity_filter_reaches_the_parquet_scan(spark, sf_dir):
     assert "NaceVersion" in pushed and "Classification" in pushed and "ActivityGroup" in pushed
     assert re.search(r"ReadSchema: struct<EnterpriseNumber:string,ActivityGroup:string,NaceVersion:string,"
                      r"NaceCode:string,Classification:string>", plan)
+
+
+def test_rubrics_are_read_by_one_scan_only(spark, sf_dir, no_aqe_no_broadcast):
+    plan = _plan(Inputs(spark, sf_dir).staging())
+    schemas = re.findall(r"ReadSchema: struct<(.*)>", plan)
+    assert sum("Rubrics:" in s for s in schemas) == 1
+    assert any("_n_rubrics" in s and ",Rubrics:" not in s for s in schemas)

@@ -106,3 +106,18 @@ def test_unnest_keeps_one_null_row_per_filing_without_kept_rubrics(spark):
     got = sorted((r[0], r[2], r[3], r[4]) for r in financials.unnest_rubrics(filings_df(spark, rows)).collect())
     assert got == [("A", None, None, None), ("B", None, None, None), ("C", None, None, None),
                    ("D", "10", "NM1", "2"), ("D", "70", "N", "5")]
+
+
+def test_all_plans_agree_on_null_and_shared_references(spark):
+    rows = [filing("R1", "0.1", "2022-12-31", rubrics=healthy(total=100000.0)),
+            filing(None, "0.2", "2022-12-31", rubrics=healthy(total=200000.0)),
+            filing(None, "0.3", "2022-12-31", rubrics=healthy(total=250000.0)),
+            filing("S", "0.4", "2022-12-31", rubrics=healthy(total=300000.0)),
+            filing("S", "0.5", "2022-12-31", rubrics=healthy(total=400000.0)),
+            filing("E", "0.6", "2022-12-31", rubrics=None)]
+    seen = {m: sorted(map(str, _staging(spark, rows, m).collect())) for m in ("early", "fold", "join")}
+    assert seen["early"] == seen["fold"] == seen["join"]
+    got = _staging(spark, rows).collect()
+    assert {r["company_segment"] for r in got if r["enterprise_number"] in ("0.2", "0.3")} == {"Inactive/Empty"}
+    shared = sorted((r["enterprise_number"], r["total_assets_n"]) for r in got if r["enterprise_number"] in ("0.4", "0.5"))
+    assert shared == [(e, t) for e in ("0.4", "0.5") for t in (300000.0, 400000.0)]
