@@ -70,3 +70,8 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def fold(id_col: str, n: int):
     """crc32 of the id written as text, modulo n: the fold rule of the labelled tables (a null id is fold 0)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % n, F.lit(0))
+
+
+def among_lowest(h, share: float):
+    """Whether a 64-bit hash is among about that share of all hashes, the smallest by unsigned order."""
+    return F.shiftrightunsigned(h, 2) < int(min(1.0, share) * 2 ** 62)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kredo.llm import ngrams
-from kredo.llm.common import arrow_rows, fold, id_and_text
+from kredo.llm.common import among_lowest, arrow_rows, fold, id_and_text
 
 #: Positive rows, and unlabelled rows, that are used at most.
 SAMPLE = 2000
@@ -127,8 +127,7 @@ def unlabelled_sample(docs: DataFrame, limit: int, seed: int = 42) -> DataFrame:
     those ids are sorted.
     """
     n = max(1, docs.count())
-    h = F.xxhash64("doc_id", F.lit(seed))
-    low = F.shiftrightunsigned(h, 1) < int(min(1.0, 2 * limit / n) * (2 ** 63 - 1))
+    low = among_lowest(F.xxhash64("doc_id", F.lit(seed)), 2 * limit / n)
     ids = docs.where(low & F.col("doc_id").isNotNull()).select("doc_id").withColumn("target", F.lit(0))
     return ngrams.labelled_sample(docs, ids, limit)
 
