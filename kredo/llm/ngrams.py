@@ -211,21 +211,28 @@ def linear(text: str, weights: np.ndarray) -> float:
     return float((sums / np.maximum(ns, 1)).sum())
 
 
-_FEATURES = pa.schema([("doc_id", pa.int64()), ("target", pa.int32()), ("at", pa.list_(pa.int32())),
-                       ("value", pa.list_(pa.float32()))])
+_FEATURES = pa.schema([("doc_id", pa.int64()), ("target", pa.int32()), ("at", pa.binary()), ("value", pa.binary())])
 
 
 def features(rows: DataFrame) -> DataFrame:
-    """rows: doc_id, text, target.  One row of sparse features each."""
+    """rows: doc_id, text, target.  One row of sparse features each: buckets (int32) and values (float32) as bytes."""
     def run(batches):
         def out():
             for batch in batches:
                 for doc_id, text, target in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                    yield (doc_id, target, *sparse(text or ""))
-        yield from arrow_rows(out(), _FEATURES, weigh=lambda r: 8 * len(r[2]))
+                    at, value = sparse(text or "")
+                    yield doc_id, target, at.tobytes(), value.tobytes()
+        yield from arrow_rows(out(), _FEATURES, weigh=lambda r: 2 * len(r[2]))
 
     return rows.select("doc_id", "text", "target").mapInArrow(
-        run, "doc_id long, target int, at array<int>, value array<float>")
+        run, "doc_id long, target int, at binary, value binary")
+
+
+def collected(rows: DataFrame) -> tuple[Matrix, np.ndarray]:
+    """Matrix and targets of a bounded sample, in the order of id and features."""
+    got = sorted(((r[0] is not None, r[0] or 0, bytes(r[2]), bytes(r[3]), r[1]) for r in features(rows).collect()))
+    m = Matrix.of([np.frombuffer(r[2], np.int32) for r in got], [np.frombuffer(r[3], np.float32) for r in got])
+    return m, np.asarray([r[4] for r in got], float)
 
 
 @dataclass
@@ -242,15 +249,19 @@ class Matrix:
         sizes = np.asarray([len(a) for a in at], np.int64)
         starts = np.concatenate(([0], np.cumsum(sizes)))
         join = lambda parts, kind: np.concatenate(parts).astype(kind) if len(parts) else np.zeros(0, kind)
-        return Matrix(join(at, np.int64), join(value, np.float64), starts, len(at))
+        return Matrix(join(at, np.int32), join(value, np.float32), starts, len(at))
 
     def take(self, rows: np.ndarray) -> Matrix:
         return Matrix.of([self.at[self.starts[r]:self.starts[r + 1]] for r in rows],
                          [self.value[self.starts[r]:self.starts[r + 1]] for r in rows])
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        totals = np.concatenate(([0.0], np.cumsum(w[self.at] * self.value)))
-        return totals[self.starts[1:]] - totals[self.starts[:-1]]
+        terms = w[self.at] * self.value
+        out = np.zeros(self.n)
+        full = np.flatnonzero(np.diff(self.starts))
+        if full.size:
+            out[full] = np.add.reduceat(terms, self.starts[full])
+        return out
 
     def back(self, r: np.ndarray) -> np.ndarray:
         """The transposed product."""
@@ -258,7 +269,7 @@ class Matrix:
 
     def scales(self) -> np.ndarray:
         """One over the root mean square of every bucket (0 for unseen buckets)."""
-        square = np.bincount(self.at, weights=self.value ** 2, minlength=DIMENSIONS) / max(1, self.n)
+        square = np.bincount(self.at, weights=np.square(self.value), minlength=DIMENSIONS) / max(1, self.n)
         return np.where(square > 0, 1 / (np.sqrt(square) + 1e-4), 0)
 
 
