@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kredo.functions import codes
 from kredo.functions.scalars import growth
 
-# (staging column, feature stem) lagged by one and two years, in output order.
+# FIXED VALUES: (staging column, feature stem) lagged by one and two years, in output order.
 LAGGED = [
     ("roa_n", "roa"), ("roe_n", "roe"), ("current_ccf_revenue_n", "ccf_revenue"),
     ("solvency_pct_n", "solvency"), ("debt_to_equity_n", "debt_to_equity"),

@@ -135,15 +135,21 @@ def usable_numeric(train: DataFrame, numeric: list[str] = NUMERIC) -> list[str]:
     return [c for c in numeric if counts[c] > 0]
 
 
-def fit(train: DataFrame, classifier) -> PipelineModel:
-    """Fit features + classifier; the model remembers its feature names (``kredo_features``)."""
+def usable_stages(train: DataFrame) -> tuple[list, list[str]]:
+    """Feature stages over the columns that have values, and the feature names."""
     numeric = usable_numeric(train)
     stages, names = feature_stages(numeric, usable_categorical(train))
     # Missing indicators of dropped columns are kept as features too.
-    extra = [f"{c}_missing" for c in NUMERIC if c not in numeric]
-    stages[-1].setInputCols(names + extra)
+    names = names + [f"{c}_missing" for c in NUMERIC if c not in numeric]
+    stages[-1].setInputCols(names)
+    return stages, names
+
+
+def fit(train: DataFrame, classifier) -> PipelineModel:
+    """Fit features + classifier; the model remembers its feature names (``kredo_features``)."""
+    stages, names = usable_stages(train)
     model = Pipeline(stages=[*stages, classifier]).fit(train)
-    model.kredo_features = names + extra
+    model.kredo_features = names
     return model
 
 
@@ -153,9 +159,12 @@ def scored(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def evaluate(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
-    """Six metrics of one model on one data set, as a one-row frame tagged with the model name."""
-    s = scored(model, df).withColumn("model", F.lit(name))
-    return metrics.classification_report(s, ["model"], label=LABEL, score="score")
+    """Six metrics of one model on one data set, as a one-row frame tagged with the model name.
+
+    Without evaluation rows the row has n = 0 and NULL metrics.
+    """
+    report = metrics.classification_report(scored(model, df), [], label=LABEL, score="score")
+    return report.select(F.lit(name).alias("model"), *report.columns)
 
 
 def splits(training: DataFrame, macro: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -178,12 +187,16 @@ def search(train: DataFrame, draws: list[GbtParams], parallelism: int = 4) -> tu
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    val_rows = train.where(F.col(VALID))
+    # the feature stages do not depend on the draw: fitted once, and the vectors are written once
+    stages, _ = usable_stages(train)
+    vectors = Pipeline(stages=stages).fit(train).transform(train).select("features", LABEL, WEIGHT, VALID).checkpoint()
+    val_rows = vectors.where(F.col(VALID))
 
     def trial(i_p):
         i, p = i_p
-        m = fit(train, gbt(p))          # early stopping uses the validation flag inside
-        auc = metrics.roc_auc(scored(m, val_rows).withColumn("_g", F.lit(1)), ["_g"], LABEL, "score").first()
+        m = gbt(p).fit(vectors)         # early stopping uses the validation flag inside
+        s = m.transform(val_rows).select(LABEL, vector_to_array("probability").getItem(1).alias("score"))
+        auc = metrics.roc_auc(s.withColumn("_g", F.lit(1)), ["_g"], LABEL, "score").first()
         return (i, p.max_depth, p.step_size, p.subsample, p.colsample, None if auc is None else auc["roc_auc"])
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -237,10 +250,14 @@ def per_group_metrics(train: DataFrame, test: DataFrame, keys: list[str], groups
     return out
 
 
-def kmeans_clusters(df: DataFrame, k: int = 32, seed: int = 1, q: float = 0.99) -> DataFrame:
-    """k-means on winsorised, imputed, standardised key ratios; adds ``cluster``."""
-    from kredo.operators.segments import winsorize
-    w = winsorize(df, KMEANS_FEATURES, q)
+def kmeans_clusters(train: DataFrame, test: DataFrame | None = None, k: int = 32, seed: int = 1,
+                    q: float = 0.99) -> DataFrame:
+    """k-means on winsorised, imputed, standardised key ratios; adds ``cluster`` to both splits.
+
+    Caps, medians, scaling and centres come from the training rows only.
+    """
+    from kredo.operators.segments import capped, exact_percentiles
+    caps = {c: v for c, (_, v) in exact_percentiles(train, KMEANS_FEATURES, q).items()}
     imputed = [f"{c}_imp" for c in KMEANS_FEATURES]
     pipe = Pipeline(stages=[
         Imputer(inputCols=KMEANS_FEATURES, outputCols=imputed, strategy="median"),
@@ -248,8 +265,9 @@ def kmeans_clusters(df: DataFrame, k: int = 32, seed: int = 1, q: float = 0.99)
         StandardScaler(inputCol="km_raw", outputCol="km_features", withMean=True, withStd=True),
         KMeans(k=k, seed=seed, featuresCol="km_features", predictionCol="cluster"),
     ])
-    model = pipe.fit(w)
-    return model.transform(w).drop("km_raw", "km_features", *imputed)
+    model = pipe.fit(capped(train, caps))
+    rows = train if test is None else train.unionByName(test, allowMissingColumns=True)
+    return model.transform(capped(rows, caps)).drop("km_raw", "km_features", *imputed)
 
 
 def logreg() -> LogisticRegression:

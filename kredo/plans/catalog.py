@@ -662,6 +662,20 @@ def q_year_scan_pruned(spark, d):
     return f.groupBy("filing_year").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("staging_layout", W("""
+SELECT enterprise_number, accounting_year, company_segment, total_assets_n FROM staging""", training=False))
+def q_staging_layout(spark, d):
+    """The staging table written in its layout (year folders, clustered by enterprise) and read back."""
+    import uuid
+    from kredo.session import shared_path
+    from kredo.sources import sinks
+    path = shared_path(spark, "kredo-staging", uuid.uuid4().hex)
+    sinks.write_staging(Inputs(spark, d).staging(), path)
+    return spark.read.parquet(path).select(
+        "enterprise_number", F.col("accounting_year").cast("bigint").alias("accounting_year"), "company_segment",
+        "total_assets_n")
+
+
 @register("row_count", W("""
 SELECT 'dim_enterprise' AS table_name, count(*) AS n FROM dim_enterprise
 UNION ALL SELECT 'dim_address', count(*) FROM dim_address
@@ -703,7 +717,7 @@ def _gbt_segments(train, test):
 
 
 def _clusters(train, test):
-    return models.kmeans_clusters(train.unionByName(test, allowMissingColumns=True))
+    return models.kmeans_clusters(train, test)
 
 
 def _gbt_clusters(train, test):

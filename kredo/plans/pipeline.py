@@ -61,7 +61,7 @@ def models_job(spark: SparkSession, training_path: str, nace_path: str, out: str
     parts = [models.evaluate(models.fit(train, models.gbt(best)), test, "gbt_all")]
     keys = ["sector", "company_segment"]
     parts.append(models.per_group_metrics(train, test, keys, models.top_groups(train, keys), best, "gbt_segment_"))
-    c = models.kmeans_clusters(train.unionByName(test, allowMissingColumns=True)).checkpoint()
+    c = models.kmeans_clusters(train, test).checkpoint()
     ctr, cte = c.where(F.col("split") == "train"), c.where(F.col("split") == "eval")
     parts.append(models.per_group_metrics(ctr.drop(models.WEIGHT), cte, ["cluster"],
                                           models.top_groups(ctr, ["cluster"]), best, "gbt_cluster_"))
