@@ -250,12 +250,8 @@ def per_group_metrics(train: DataFrame, test: DataFrame, keys: list[str], groups
     return out
 
 
-def kmeans_clusters(train: DataFrame, test: DataFrame | None = None, k: int = 32, seed: int = 1,
-                    q: float = 0.99) -> DataFrame:
-    """k-means on winsorised, imputed, standardised key ratios; adds ``cluster`` to both splits.
-
-    Caps, medians, scaling and centres come from the training rows only.
-    """
+def kmeans_fit(train: DataFrame, k: int = 32, seed: int = 1, q: float = 0.99) -> tuple[PipelineModel, dict]:
+    """k-means on winsorised, imputed, standardised key ratios of the training rows: the model and the caps."""
     from kredo.operators.segments import capped, exact_percentiles
     caps = {c: v for c, (_, v) in exact_percentiles(train, KMEANS_FEATURES, q).items()}
     imputed = [f"{c}_imp" for c in KMEANS_FEATURES]
@@ -265,9 +261,26 @@ def kmeans_clusters(train: DataFrame, test: DataFrame | None = None, k: int = 32
         StandardScaler(inputCol="km_raw", outputCol="km_features", withMean=True, withStd=True),
         KMeans(k=k, seed=seed, featuresCol="km_features", predictionCol="cluster"),
     ])
-    model = pipe.fit(capped(train, caps))
+    return pipe.fit(capped(train, caps)), caps
+
+
+def kmeans_clusters(train: DataFrame, test: DataFrame | None = None, k: int = 32, seed: int = 1,
+                    q: float = 0.99, keep_features: bool = False) -> DataFrame:
+    """Adds ``cluster`` to the rows of both splits; everything is fitted on the training rows only."""
+    from kredo.operators.segments import capped
+    model, caps = kmeans_fit(train, k, seed, q)
     rows = train if test is None else train.unionByName(test, allowMissingColumns=True)
-    return model.transform(capped(rows, caps)).drop("km_raw", "km_features", *imputed)
+    out = model.transform(capped(rows, caps)).drop("km_raw", *[f"{c}_imp" for c in KMEANS_FEATURES])
+    return out.withColumn("km_centres", F.lit([[float(x) for x in c] for c in model.stages[-1].clusterCenters()])) \
+        if keep_features else out.drop("km_features")
+
+
+def not_nearest(slack: float = 1e-9):
+    """Whether a row's centre is further than another (from ``kmeans_clusters(keep_features=True)``)."""
+    x = vector_to_array("km_features")
+    distance = lambda c: F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)
+    each = F.transform("km_centres", distance)
+    return F.element_at(each, F.col("cluster") + 1) > F.array_min(each) + slack
 
 
 def logreg() -> LogisticRegression:

@@ -776,6 +776,31 @@ def q_gbt_per_cluster(spark, d):
     return _gbt_clusters(*_model_data(spark, d))
 
 
+@register("model_facts", _with_lab("""
+SELECT 'kmeans rows' AS fact, count(*) AS n FROM lab
+UNION ALL SELECT 'kmeans rows of training', CAST(count(*) FILTER (split = 'train') AS BIGINT) FROM lab
+UNION ALL SELECT 'kmeans rows nearer to another centre', CAST(0 AS BIGINT)
+UNION ALL SELECT 'logreg evaluation rows', CAST(count(*) FILTER (split = 'eval') AS BIGINT) FROM lab
+UNION ALL SELECT 'logreg evaluation rows at risk', CAST(count(*) FILTER (split = 'eval' AND is_high_risk = 1) AS BIGINT) FROM lab
+UNION ALL SELECT 'forest evaluation rows', CAST(count(*) FILTER (split = 'eval') AS BIGINT) FROM lab
+UNION ALL SELECT 'forest split nodes without a feature', CAST(0 AS BIGINT)"""))
+def q_model_facts(spark, d):
+    """What any right fit must satisfy exactly: row counts, nearest centres, importance over all split nodes."""
+    train, test = _model_data(spark, d)
+    c = models.kmeans_clusters(train, test, keep_features=True).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum((F.col("split") == "train").cast("bigint")).alias("train"),
+        F.sum(models.not_nearest().cast("bigint")).alias("far")).first()
+    lr = _logreg(train, test).first()
+    m = models.fit(train, models.forest())
+    rf = models.evaluate(m, test, "random_forest").first()
+    weight = models.importance(m, m.kredo_features).agg(F.sum("weight")).first()[0] or 0
+    splits = sum((t.numNodes - 1) // 2 for t in m.stages[-1].trees)
+    facts = {"kmeans rows": c["rows"], "kmeans rows of training": c["train"], "kmeans rows nearer to another centre": c["far"],
+             "logreg evaluation rows": lr["n"], "logreg evaluation rows at risk": lr["tp"] + lr["fn"],
+             "forest evaluation rows": rf["n"], "forest split nodes without a feature": splits - weight}
+    return spark.createDataFrame(list(facts.items()), "fact string, n bigint")
+
+
 @register("logreg_metrics")
 def q_logreg_metrics(spark, d):
     return _logreg(*_model_data(spark, d))
