@@ -116,13 +116,21 @@ def gbt(p: GbtParams, seed: int = 7) -> GBTClassifier:
     return GBTClassifier(
         labelCol=LABEL, featuresCol="features", weightCol=WEIGHT, maxIter=p.max_iter, maxDepth=p.max_depth,
         stepSize=p.step_size, subsamplingRate=p.subsample, featureSubsetStrategy=str(p.colsample),
-        validationIndicatorCol=VALID, validationTol=0.01, maxBins=128, seed=seed)
+        validationIndicatorCol=VALID, validationTol=0.01, maxBins=MAX_BINS, seed=seed)
+
+
+MAX_BINS = 128
 
 
 def usable_categorical(train: DataFrame, categorical: list[str] = CATEGORICAL) -> list[str]:
-    """Categorical features with at least one value (an index needs one label to learn)."""
-    counts = train.agg(*[F.count(c).alias(c) for c in categorical]).first()
-    return [c for c in categorical if counts[c] > 0]
+    """Categorical features with a value, and with fewer values than a tree can bin.
+
+    Trees bin a category per value and never have more bins than rows, so a small segment or cluster
+    leaves out a feature with as many values as rows (one more index stands for unknown values).
+    """
+    grown = ~F.col(VALID) if VALID in train.columns else F.lit(True)      # trees grow on the other rows
+    row = train.agg(F.count_if(grown).alias("_n"), *[F.count_distinct(c).alias(c) for c in categorical]).first()
+    return [c for c in categorical if 0 < row[c] < min(row["_n"], MAX_BINS)]
 
 
 def usable_numeric(train: DataFrame, numeric: list[str] = NUMERIC) -> list[str]:
@@ -289,5 +297,5 @@ def logreg() -> LogisticRegression:
 
 def forest(seed: int = 7) -> RandomForestClassifier:
     return RandomForestClassifier(labelCol=LABEL, featuresCol="features", weightCol=WEIGHT, numTrees=100,
-                                  maxDepth=8, maxBins=128, seed=seed)
+                                  maxDepth=8, maxBins=MAX_BINS, seed=seed)
 
