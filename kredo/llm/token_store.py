@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kredo.llm import tokens
-from kredo.llm.common import arrow_rows, id_and_text
+from kredo.llm.common import among_lowest, arrow_rows, id_and_text
 
 MAGIC = b"ZIDS"
 BLOCK_SCHEMA = ("shard int, block int, start_in_shard long, n_docs long, n_ids long, "
@@ -59,11 +59,14 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int | None, size: int,
     """A dictionary from the id arrays of at most ``sample_docs`` documents of at most
     ``sample_bytes`` bytes each, those with the smallest hash of id and text.
 
-    Only this fit looks at a sample; all documents are stored.  With too few samples to train on,
-    their concatenation serves as a raw dictionary; with none there is no dictionary.
+    Only this fit looks at a sample; all documents are stored.  The row count (from file footers) sets
+    a hash below which a few times the sample falls, so no task sorts or sends more.  With too few
+    samples to train on, their concatenation serves as a raw dictionary; with none there is no dictionary.
     """
-    chosen = (docs.where(F.octet_length("text").between(1, sample_bytes))
-                  .select("text", F.xxhash64("doc_id", "text").alias("h")).orderBy("h", "text").limit(sample_docs))
+    h = F.xxhash64("doc_id", "text")
+    low = among_lowest(h, 3 * sample_docs / max(1, docs.count()))
+    chosen = (docs.where(F.octet_length("text").between(1, sample_bytes)).where(low)
+                  .select("text", h.alias("h")).orderBy("h", "text").limit(sample_docs))
     encode = tokens.encoder(path)
     tail = tokens.end_bytes(end_id)
     samples = [narrow(encode.ids(r["text"]) + tail)[0] for r in chosen.select("text").collect()]
