@@ -107,9 +107,31 @@ class Tagger:
             b[t] = (factor[t + 1] * b[t + 1]) @ move.T
         return a, b, factor, move
 
+    def may_tag(self, e: np.ndarray) -> np.ndarray:
+        """Columns of the batch whose best path may hold a tag other than 0: all tags but 0 count as one, with the
+        best of their emissions and moves, so that no other column's best path holds one."""
+        over = e[:, :, 1:].max(axis=2) - e[:, :, 0]
+        m = self.moves - self.moves[0, 0]
+        enter, stay, leave = m[0, 1:].max(), m[1:, 1:].max(), m[1:, 0].max()
+        inside = (self.first[1:] - self.first[0]).max() + over[0]
+        most = inside + leave
+        for t in range(1, len(e)):
+            inside = np.maximum(inside + stay, enter) + over[t]
+            np.maximum(most, inside + leave, out=most)
+        return np.flatnonzero(np.maximum(most, inside) > -1e-2)
+
+    def decode_tagged(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``decode`` of the columns that may hold a tag other than 0, after their numbers."""
+        e, _ = self.emissions(x)
+        at = self.may_tag(e)
+        return at, *self.best(e[:, at])
+
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best tags (time, batch) and the posterior probability of each."""
-        e, _ = self.emissions(x)
+        return self.best(self.emissions(x)[0])
+
+    def best(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Best tags and their posterior probabilities from the emissions."""
         steps, batch, tags = e.shape
         best = e[0] + self.first
         came = np.zeros((steps, batch, tags), np.int8)

@@ -2,9 +2,8 @@
 
 The tagger is trained in numpy from labelled spans: the base spans of a bounded sample of documents,
 some of them rewritten in a shape that the rules do not know (a phone without its plus, a spelled-out
-at sign, a grouped card number).  Every whole text is scanned.  Each window of the text that holds a
-digit or an at sign is decoded (all kinds hold one); windows overlap by half.  Their spans are
-reconciled over the whole text: spans cut by a window's edge are left to the next window, the others
+at sign, a grouped card number), and from windows of documents without a number or an at sign.  Every
+whole text is scanned.  All its windows, which overlap by half, are decoded.  Their spans are reconciled over the whole text: spans cut by a window's edge are left to the next window, the others
 are taken by falling certainty where nothing overlaps them.  A span is added if all its characters
 are certain enough and it touches neither a base span nor a number that a base rule has refused.
 
@@ -28,6 +27,8 @@ from kredo.llm.common import arrow_rows, id_and_text
 KINDS = ("email", "ip", "card", "phone")
 #: Documents whose base spans train the tagger at most, and windows of each.
 SAMPLE, WINDOWS_PER_DOC = 1200, 2
+#: For each of them, documents without a digit or an at sign.
+PLAIN_SHARE = 0.25
 WINDOW = 96
 #: Posterior probability that every character of an added span must reach.
 CERTAIN = 0.9
@@ -100,14 +101,10 @@ PAD = ngrams.N_CLASSES
 TAGS = 1 + 2 * len(KINDS)        # outside; begin and inside of each kind
 
 
-def window_starts(text: str) -> list[int]:
-    """Starts of the half-overlapping windows that hold a digit or an at sign."""
-    step, at = WINDOW // 2, set()
-    for m in _TRIGGER.finditer(text):
-        k = m.start() // step
-        at.add(k)
-        at.add(max(0, k - 1))
-    return [k * step for k in sorted(at)]
+def window_starts(text: str) -> range:
+    """Starts of the half-overlapping windows of the whole text."""
+    step = WINDOW // 2
+    return range(0, max(len(text) - step, min(len(text), 1)), step)
 
 
 def encode_window(part: str) -> np.ndarray:
@@ -138,13 +135,13 @@ def reshaped(kind: int, value: str, turn: int) -> str:
 
 
 def training_windows(doc_id: int, text: str):
-    """(part, kind:start:end,...) of at most WINDOWS_PER_DOC windows around a text's data, or around a number
-    or at sign that is none if there are none; every second datum is reshaped."""
+    """(part, kind:start:end,...) of at most WINDOWS_PER_DOC windows around a text's data, around a number or at
+    sign that is none if there are none, or anywhere without those; every second datum is reshaped."""
     spans, _ = base_spans(text)
     if spans:
         middles = [(a + b) // 2 for _, a, b in spans]
     else:
-        middles = [m.start() for m in _TRIGGER.finditer(text)]
+        middles = [m.start() for m in _TRIGGER.finditer(text or "")] or [*range(WINDOW // 2, len(text or ""), WINDOW)]
     if not middles:
         return
     for k in sorted({(len(middles) - 1) * k // max(1, WINDOWS_PER_DOC - 1) for k in range(WINDOWS_PER_DOC)}):
@@ -170,15 +167,18 @@ def training_windows(doc_id: int, text: str):
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> crf.Tagger | None:
     """docs: doc_id, text.  Trained on windows of the ``sample`` documents with the smallest id hash that
-    hold a digit or an at sign; the windows are cut on the executors."""
+    hold a digit or an at sign, and of ``PLAIN_SHARE`` as many that hold none; cut on the executors."""
     schema = pa.schema([("part", pa.string()), ("spans", pa.string())])
 
     def run(batches):
         yield from arrow_rows((w for batch in batches for i, t in zip(
             batch.column(0).to_pylist(), batch.column(1).to_pylist()) for w in training_windows(i, t)), schema)
 
-    ids = docs.where(F.col("text").rlike("[0-9@]")).select("doc_id", F.lit(1).alias("target"))
-    chosen = ngrams.labelled_sample(docs, ids, sample).select("doc_id", "text")
+    def some(held: bool, n: int) -> DataFrame:
+        those = docs.where(F.col("text").rlike("[0-9@]") == held)
+        return ngrams.labelled_sample(those, those.select("doc_id", F.lit(1).alias("target")), n)
+
+    chosen = some(True, sample).union(some(False, int(PLAIN_SHARE * sample))).select("doc_id", "text")
     got = chosen.mapInArrow(run, "part string, spans string").toPandas().sort_values(["part", "spans"])
     if not got["spans"].str.len().sum():
         return None
@@ -226,9 +226,9 @@ def scan(texts: list[str], tagger: crf.Tagger | None) -> list[tuple[list[Span],
         for at in range(0, len(jobs), TOGETHER):
             part = jobs[at:at + TOGETHER]
             x = np.stack([encode_window(texts[k][s:s + WINDOW]) for k, s in part]).T
-            tags, sure = tagger.decode(x)
+            at_part, tags, sure = tagger.decode_tagged(x)
             for j in np.flatnonzero(tags.any(axis=0)):
-                k, s = part[j]
+                k, s = part[at_part[j]]
                 found[k] += window_spans(tags[:, j], sure[:, j], s, len(texts[k]))
     return [(base, reconcile(f, [(a, b) for _, a, b in base] + refused)) for (base, refused), f in zip(based, found)]
 

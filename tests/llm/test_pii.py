@@ -141,3 +141,52 @@ def test_windows_cover_every_digit_and_at_sign():
     for at in (300, 801):
         assert any(s <= at < s + pii.WINDOW for s in starts)
     assert ngrams.classes_of(ngrams.codes_of("aZ9 \n")).tolist() == [1, 0, 2, 3, 4]
+
+
+def letters_only(spark):
+    """Texts with e-mail addresses of letters only, and some without any; and sentences with such addresses spelled out."""
+    rng = random.Random(7)
+    words = "the old mill by river was quiet and nobody came until late spring we met at a bridge".split()
+    name = lambda n: "".join(rng.choice("abdegiklmnoprstu") for _ in range(n))
+    some = lambda: " ".join(rng.choices(words, k=9))
+    docs = [(k, f"{some()} write to {name(5)}.{name(6)}@{name(7)}.com {some()}" if k % 3 else f"{some()} {some()} {some()}")
+            for k in range(900)]
+    spelled = []
+    for k in range(60):
+        value = f"{name(5)}.{name(6)}{('[at]', ' (at) ')[k % 2]}{name(7)}.com"
+        before = " ".join(some() for _ in range(k % 5)) + " write to "
+        spelled.append((before + value + " " + some(), (0, len(before), len(before) + len(value))))
+    return spark.createDataFrame(docs, "doc_id long, text string"), spelled
+
+
+def test_spelled_out_emails_without_digit_or_at_sign_are_added(spark):
+    docs, spelled = letters_only(spark)
+    model = pii.fit(docs, sample=600)
+    assert not any(re.search("[0-9@]", text) for text, _ in spelled)
+    got = pii.scan([text for text, _ in spelled], model)
+    assert sum(span in added for (_, span), (_, added) in zip(spelled, got)) >= 48
+    clean = [r["text"] for r in docs.where("doc_id % 3 = 0").collect()]
+    assert sum(bool(added) for _, added in pii.scan(clean, model)) <= 3
+
+
+def test_windows_overlap_by_half_over_the_whole_text():
+    for n in (0, 1, 47, 48, 49, 95, 96, 97, 144, 145, 1000):
+        starts = list(pii.window_starts("x" * n))
+        assert starts == [48 * k for k in range(len(starts))] and bool(starts) == (n > 0)
+        assert not n or starts[-1] < n <= starts[-1] + pii.WINDOW
+
+
+def test_windows_left_out_of_the_search_have_no_tag():
+    rng = np.random.default_rng(5)
+    left = 0
+    for seed in range(40):
+        net = crf.Tagger.fresh(5, 3, 4, seed=seed)
+        net.moves[...] = rng.normal(0, 1, (4, 4))
+        net.bias[0] = rng.uniform(1, 6)
+        x = rng.integers(0, 5, (12, 30))
+        tags, sure = net.decode(x)
+        at, some, some_sure = net.decode_tagged(x)
+        assert set(np.flatnonzero(tags.any(axis=0))) <= set(at)
+        assert (some == tags[:, at]).all() and np.allclose(some_sure, sure[:, at])
+        left += 30 - len(at)
+    assert left > 100
