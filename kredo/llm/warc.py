@@ -117,7 +117,7 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|title|head)\b(?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|noscript|template|title)\b(?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)(?:>|\Z)"
     r"|<[!?][^>]*+(?:>|\Z)", re.S | re.I)
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)

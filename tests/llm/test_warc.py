@@ -50,6 +50,16 @@ def test_metadata_and_text_of_a_page(spark):
     assert f"conversion: {text[1]}" in fields and text[2] == name
 
 
+@pytest.mark.parametrize("top", ["<head><title>T</title>", "<head><title>T</title></head>",
+                                 "<HEAD lang=x><meta a='>'><title>T</title><style>p{}</style><script>x</script>"])
+def test_a_page_whose_head_is_not_closed_keeps_its_text_and_links(top):
+    page = f"<html>{top}<body><p>Real text <a href='/z'>Z</a></p></body></html>"
+    meta, text = warc.derive(warc.response_record(1, "u", page)[1])
+    assert warc.parse(text[-1])[1].decode() == "Real text Z\n"
+    fields = warc.parse(meta[-1])[1].decode().split("\r\n")
+    assert "outlink: /z" in fields and "title: T" in fields and meta[7] == 1
+
+
 def test_same_records_again():
     assert warc.derive(warc.response_record(1, "u", PAGE)[1]) == warc.derive(warc.response_record(1, "u", PAGE)[1])
 
