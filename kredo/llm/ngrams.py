@@ -228,11 +228,12 @@ def features(rows: DataFrame) -> DataFrame:
         run, "doc_id long, target int, at binary, value binary")
 
 
-def collected(rows: DataFrame) -> tuple[Matrix, np.ndarray]:
-    """Matrix and targets of a bounded sample, in the order of id and features."""
-    got = sorted(((r[0] is not None, r[0] or 0, bytes(r[2]), bytes(r[3]), r[1]) for r in features(rows).collect()))
-    m = Matrix.of([np.frombuffer(r[2], np.int32) for r in got], [np.frombuffer(r[3], np.float32) for r in got])
-    return m, np.asarray([r[4] for r in got], float)
+def collected_rows(rows: DataFrame) -> tuple[list[tuple[bytes, bytes]], np.ndarray]:
+    """Features as bytes and targets of a bounded sample, in the order of id and features."""
+    table = features(rows).toArrow()
+    got = sorted((i is not None, i or 0, at, value, target) for i, target, at, value in zip(
+        *(table.column(k).to_pylist() for k in ("doc_id", "target", "at", "value"))))
+    return [r[2:4] for r in got], np.asarray([r[4] for r in got], float)
 
 
 @dataclass
@@ -251,6 +252,12 @@ class Matrix:
         join = lambda parts, kind: np.concatenate(parts).astype(kind) if len(parts) else np.zeros(0, kind)
         return Matrix(join(at, np.int32), join(value, np.float32), starts, len(at))
 
+    @staticmethod
+    def of_rows(rows: list[tuple[bytes, bytes]], numbers) -> Matrix:
+        """The numbered rows, whose features are given as bytes."""
+        return Matrix.of([np.frombuffer(rows[k][0], np.int32) for k in numbers],
+                         [np.frombuffer(rows[k][1], np.float32) for k in numbers])
+
     def take(self, rows: np.ndarray) -> Matrix:
         return Matrix.of([self.at[self.starts[r]:self.starts[r + 1]] for r in rows],
                          [self.value[self.starts[r]:self.starts[r + 1]] for r in rows])

@@ -23,7 +23,7 @@ from kredo.llm import ngrams
 from kredo.llm.common import arrow_rows, id_and_text
 
 #: Labelled rows that are used at most.
-SAMPLE = 1600
+SAMPLE = 2400
 #: Calibrated probability of good quality from which a document is kept.
 THRESHOLD = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 20, 30, 8
@@ -81,15 +81,15 @@ def calibrate(margin: np.ndarray, y: np.ndarray, steps: int = 300) -> tuple[floa
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """docs: doc_id, text.  labels: doc_id, target (1 good, 0 bad)."""
-    x, y = ngrams.collected(ngrams.labelled_sample(docs, labels, sample))
+    rows, y = ngrams.collected_rows(ngrams.labelled_sample(docs, labels, sample))
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 1) if len(y) else 1.0
         return Model(np.zeros(ngrams.DIMENSIONS), 0.0, 1.0, float(np.log(share / max(1 - share, 1e-9))))
     order = np.random.default_rng(8).permutation(len(y))
     third = len(y) // 3
     held, used = np.sort(order[:third]), np.sort(order[third:])
-    w, b = fit_logistic(x.take(used), y[used])
-    slope, shift = calibrate(x.take(held).dot(w) + b, y[held])
+    w, b = fit_logistic(ngrams.Matrix.of_rows(rows, used), y[used])
+    slope, shift = calibrate(ngrams.Matrix.of_rows(rows, held).dot(w) + b, y[held])
     return Model(w, b, slope, shift)
 
 

@@ -134,3 +134,14 @@ def test_prior_estimate(share):
     pos = rng.normal(1, 0.3, (600, 4))
     unl = np.where(rng.random((900, 1)) < share, rng.normal(1, 0.3, (900, 4)), rng.normal(-1, 0.3, (900, 4)))
     assert abs(quality_pu.estimate_prior(pos, unl) - share) < 0.08
+
+
+def test_the_fit_uses_2400_labelled_rows(spark, monkeypatch):
+    docs = spark.range(2600).selectExpr("id AS doc_id", "concat('text of row ', id, if(id % 3 = 0, ' #$ bad', ' good')) AS text")
+    labels = docs.selectExpr("doc_id", "if(doc_id % 3 = 0, 0, 1) AS target")
+    seen = {}
+    logistic, platt = quality_rules.fit_logistic, quality_rules.calibrate
+    monkeypatch.setattr(quality_rules, "fit_logistic", lambda x, y: seen.update(fitted=x.n) or logistic(x, y))
+    monkeypatch.setattr(quality_rules, "calibrate", lambda margin, y: seen.update(held=len(y)) or platt(margin, y))
+    quality_rules.fit(docs, labels)
+    assert seen == {"fitted": 1600, "held": 800}
