@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kredo.llm import decontam, langid, packing, pii, quality_pu, quality_rules, sharding, simhash, token_store, warc
+from kredo.llm import decontam, langid, merkle, packing, pii, quality_pu, quality_rules, sharding, simhash, token_store, warc
 from kredo.llm.common import fold, fresh_path, id_and_text, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,9 @@ def op10_byte_cnn_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learnt from those outside the held-out fold."""
     docs = read(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest, proof and verification of all documents in the manifest of the whole table."""
+    return merkle.manifest(read(spark, sf_dir, "documents"))
