@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kredo.llm import decontam, langid, merkle, packing, pii, quality_pu, quality_rules, sharding, simhash, token_store, warc
+from kredo.llm import decontam, langid, merkle, mixing, packing, pii, quality_pu, quality_rules, sharding, simhash, token_store, warc
 from kredo.llm.common import fold, fresh_path, id_and_text, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,10 @@ def op10_byte_cnn_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest, proof and verification of all documents in the manifest of the whole table."""
     return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all documents takes from each, by sources weighing 1, 2, 3 in turn."""
+    mixed = mixing.mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
