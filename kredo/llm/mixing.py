@@ -34,7 +34,7 @@ from kredo.llm.common import arrow_rows, written
 from kredo.operators.ranges import running_total
 
 #: Documents of a leaf, about; and nodes that the tree joins into one.
-LEAF, FAN = 32768, 64
+LEAF, FAN = 4096, 64
 #: Copies of a document at most.
 MOST = 3
 #: Words match [^\x20\x09-\x0D]+.
