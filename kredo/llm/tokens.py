@@ -1,8 +1,9 @@
 """Whole-text encoding with a public BPE tokenizer, through a bounded cache of word pieces.
 
 The word tokenizer drops white space and never merges across words, so the ids of a text are the
-concatenated ids of its pieces.  Texts of plain Latin characters are cut into pieces here and only
-pieces not seen lately go to the library's BPE model; everything else goes to the library whole.
+concatenated ids of its pieces.  Texts of plain Latin characters are cut at white space, chunks not seen
+lately are cut into pieces, and only pieces not seen lately go to the library's BPE model; everything
+else goes to the library whole.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import struct
 
 import numpy as np
 
@@ -23,43 +25,63 @@ _CHUNK = re.compile(r"[^ \n]+")
 class WordEncoder:
     """Ids of a text as little-endian unsigned 32-bit integers.
 
-    At most ``max_entries`` pieces are remembered, and only pieces up to 64 characters.
+    At most ``max_entries`` chunks and pieces are remembered, and only those up to 64 characters.  They
+    lie in two halves: a full younger half takes the place of the older one, and what is looked up
+    in the older one moves to the younger, so frequent words stay.
     """
 
-    def __init__(self, path: str, max_entries: int = 150_000):
+    def __init__(self, path: str, max_entries: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.max_entries = max_entries
+        self.half = max(1, max_entries // 2)
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.vocab_size = self.tok.get_vocab_size()
+        # the pre-tokenizer writes each byte as a character: as it does for one letter, it does for all
+        split = self.tok.pre_tokenizer.pre_tokenize_str
+        self.written = {k: "".join(s for s, _ in split(chr(k))) for k in range(0xC0, 0x100)}
 
     def _library(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        subs = [piece] if piece.isascii() else [s for s, _ in self.tok.pre_tokenizer.pre_tokenize_str(piece)]
-        ids = [t.id for s in subs for t in self.tok.model.tokenize(s)]
-        return np.asarray(ids, "<u4").tobytes()
+        if not piece.isascii():
+            piece = piece.translate(self.written)
+        ids = [t.id for t in self.tok.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _remember(self, part: str, ids: bytes) -> None:
+        if len(part) <= 64:
+            if len(self.pieces) >= self.half:
+                self.older, self.pieces = self.pieces, {}
+            self.pieces[part] = ids
+
+    def _part(self, part: str, make) -> bytes:
+        got = self.pieces.get(part)
+        if got is None:
+            got = self.older.get(part)
+            if got is None:
+                got = make(part)
+            self._remember(part, got)
+        return got
+
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of a run of lower-cased characters without white space."""
+        pieces = _PIECE.findall(chunk)
+        if len(pieces) == 1:
+            return self._piece(chunk)
+        return b"".join([self._part(p, self._piece) for p in pieces])
 
     def _plain(self, text: str) -> bytes:
-        pieces = _PIECE.findall(text.lower())
-        known = self.pieces
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            pass
-        out = []
-        for p in pieces:
-            got = known.get(p)
-            if got is None:
-                got = self._piece(p)
-                if len(p) <= 64:
-                    if len(known) >= self.max_entries:
-                        known.clear()
-                    known[p] = got
-            out.append(got)
-        return b"".join(out)
+        # pieces never cross white space, so whole chunks are looked up and only new ones are cut
+        chunks = text.lower().split()
+        found = list(map(self.pieces.get, chunks))
+        if None in found:
+            for k, got in enumerate(found):
+                if got is None:
+                    found[k] = self._part(chunks[k], self._chunk)
+        return b"".join(found)
 
     def ids(self, text: str | None) -> bytes:
         if not text:
