@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kredo.llm import tokens
-from kredo.llm.common import among_lowest, arrow_rows, id_and_text
+from kredo.llm.common import among_lowest, arrow_rows, id_and_text, written
 
 MAGIC = b"ZIDS"
 BLOCK_SCHEMA = ("shard int, block int, start_in_shard long, n_docs long, n_ids long, "
@@ -40,6 +40,9 @@ BLOCK_SCHEMA = ("shard int, block int, start_in_shard long, n_docs long, n_ids l
 _BLOCKS = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("start_in_shard", pa.int64()),
                      ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("first_doc", pa.int64()),
                      ("last_doc", pa.int64()), ("data", pa.binary())])
+FRAME_SCHEMA = "doc_id long, h long, row long, n_ids long, width int, frame binary"
+_FRAMES = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("row", pa.int64()), ("n_ids", pa.int64()),
+                     ("width", pa.int32()), ("frame", pa.binary())])
 DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
 _DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
@@ -78,19 +81,14 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int | None, size: int,
         return b"".join(samples)[-size:]
 
 
-def build_block(docs: list[tuple], dictionary_hash: bytes, compress) -> bytes:
-    """docs: (doc_id, ids as bytes)."""
-    frames, widths = [], bytearray()
-    for _, ids in docs:
-        data, width = narrow(ids)
-        frames.append(compress(data))
-        widths.append(width)
+def build_block(docs: list[tuple], dictionary_hash: bytes) -> bytes:
+    """docs: (doc_id, ids, bytes per id, frame)."""
     offsets = np.zeros(len(docs) + 1, "<u8")
-    np.cumsum([len(f) for f in frames], out=offsets[1:])
+    np.cumsum([len(frame) for _, _, _, frame in docs], out=offsets[1:])
     return b"".join([MAGIC, struct.pack("<I", len(docs)), dictionary_hash,
-                     np.asarray([d or 0 for d, _ in docs], "<i8").tobytes(), offsets.tobytes(),
-                     np.asarray([len(i) // 4 for _, i in docs], "<u4").tobytes(), bytes(widths),
-                     bytes(d is not None for d, _ in docs), *frames])
+                     np.asarray([d[0] or 0 for d in docs], "<i8").tobytes(), offsets.tobytes(),
+                     np.asarray([d[1] for d in docs], "<u4").tobytes(), bytes(d[2] for d in docs),
+                     bytes(d[0] is not None for d in docs), *[d[3] for d in docs]])
 
 
 class Block:
@@ -126,7 +124,11 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str | None = None, e
                 dictionary_size: int = 65536, sample_docs: int = 1000, sample_bytes: int = 16384,
                 block_ids: int = 1 << 20, level: int = 3, partitions: int | None = None,
                 id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encode every text and write the store.  Only the raw texts are shuffled, once, by ranges of the id."""
+    """Encode every text and write the store.
+
+    Texts are encoded and compressed where they are scanned.  Only frames are shuffled, once, by ranges of
+    id, text hash and row number, so neither a frequent id nor a frequent row falls to one task.
+    """
     spark = docs.sparkSession
     docs = id_and_text(docs, id_col, text_col)
     tok = tokenizer_path or tokens.default_path()
@@ -134,19 +136,30 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str | None = None, e
     digest = hashlib.sha256(dictionary).digest()
     tail = tokens.end_bytes(end_id)
 
-    def run(batches) -> Iterator[pa.RecordBatch]:
+    def compressed(batches) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(tok)
         d = _dictionary(dictionary)
         compress = zstd.ZstdCompressor(level=level, dict_data=d, write_content_size=True).compress
+
+        def rows():
+            for batch in batches:
+                keys = zip(*[c.to_pylist() for c in batch.columns[:3]])
+                for key, text in zip(keys, batch.column(3)):
+                    ids = encode.ids(text.as_py()) + tail
+                    data, width = narrow(ids)
+                    yield *key, len(ids) // 4, width, compress(data)
+
+        yield from arrow_rows(rows(), _FRAMES, weigh=lambda r: len(r[-1]))
+
+    def blocks(batches) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
 
         def rows():
             block, start, pending, size = 0, 0, [], 0
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    ids = encode.ids(text.as_py()) + tail
-                    pending.append((doc_id, ids))
-                    size += len(ids) // 4
+                for doc in zip(*[c.to_pylist() for c in batch.columns]):
+                    pending.append(doc)
+                    size += doc[1]
                     if size >= block_ids:
                         yield row(block, start, size, pending)
                         block, start, pending, size = block + 1, start + size, [], 0
@@ -154,14 +167,16 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str | None = None, e
                 yield row(block, start, size, pending)
 
         def row(block, start, size, pending):
-            return (shard, block, start, len(pending), size, pending[0][0], pending[-1][0],
-                    build_block(pending, digest, compress))
+            return shard, block, start, len(pending), size, pending[0][0], pending[-1][0], build_block(pending, digest)
 
         yield from arrow_rows(rows(), _BLOCKS, weigh=lambda r: len(r[-1]))
 
-    ranged = (docs.repartitionByRange(partitions, "doc_id") if partitions else docs.repartitionByRange("doc_id"))
-    ordered = ranged.withColumn("h", F.xxhash64("text")).sortWithinPartitions("doc_id", "h").drop("h")
-    ordered.mapInArrow(run, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
+    numbered = docs.select("doc_id", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"), "text")
+    frames = written(numbered.mapInArrow(compressed, FRAME_SCHEMA), "token-frames")
+    order = ("doc_id", "h", "row")
+    ranged = frames.repartitionByRange(partitions, *order) if partitions else frames.repartitionByRange(*order)
+    (ranged.sortWithinPartitions(*order).select("doc_id", "n_ids", "width", "frame")
+           .mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(f"{path}/blocks"))
     (spark.createDataFrame([(digest.hex(), bytearray(dictionary))], "sha256 string, dictionary binary")
           .coalesce(1).write.parquet(f"{path}/dictionary"))
 

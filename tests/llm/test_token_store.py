@@ -37,7 +37,7 @@ def test_empty_store(spark):
 
 
 def test_another_dictionary_is_refused():
-    block = token_store.build_block([(1, TAIL)], b"a" * 32, lambda d: d)
+    block = token_store.build_block([(1, 1, 4, TAIL)], b"a" * 32)
     with pytest.raises(ValueError):
         token_store.Block(block, b"b" * 32)
 
@@ -47,3 +47,15 @@ def test_wide_ids_keep_four_bytes():
     data, width = token_store.narrow(ids)
     assert width == 4 and token_store.widen(data, width) == ids
     assert token_store.widen(*token_store.narrow(TAIL)) == TAIL
+
+
+def test_a_frequent_id_and_a_frequent_row_lie_in_several_shards(spark):
+    from pyspark.sql import functions as F
+    docs = spark.range(4000).select(F.lit(5).cast("long").alias("doc_id"), F.when(F.col("id") < 2000, "same").otherwise(
+        F.concat(F.lit("word "), "id")).alias("text"))
+    path = fresh_path(spark, "t")
+    token_store.write_store(docs, path, partitions=8)
+    shards = spark.read.parquet(f"{path}/blocks").groupBy("shard").sum("n_docs").collect()
+    assert len(shards) >= 6 and max(r[1] for r in shards) < 1500
+    got = token_store.read_store(spark, path).collect()
+    assert len(got) == 4000 and sum(bytes(r["ids"]) == ENCODE.ids("same") + TAIL for r in got) == 2000
