@@ -30,7 +30,7 @@ class WordEncoder:
     in the older one moves to the younger, so frequent words stay.
     """
 
-    def __init__(self, path: str, max_entries: int = 400_000):
+    def __init__(self, path: str, max_entries: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
