@@ -90,6 +90,46 @@ class Tagger:
         both = np.concatenate((states[:, 0], states[::-1, 1]), axis=2)
         return both @ self.out + self.bias, both
 
+    def quick_emissions(self, x: np.ndarray) -> np.ndarray:
+        """``emissions`` without a trace: the batch lies last, so gates are contiguous, and one exponential gives all
+        gates of a step (tanh(z) = 2 sigmoid(2 z) - 1)."""
+        n, kind = self.recur.shape[1], self.table.dtype
+        scale = np.repeat(np.array([-1, -2], kind), [3 * n, n])
+        table = np.ascontiguousarray((self.table * scale).transpose(0, 2, 1))         # 2 x 4 hidden x classes
+        recur = np.ascontiguousarray((self.recur * scale).transpose(0, 2, 1))
+        out = np.ascontiguousarray(self.out.reshape(2, n, -1).transpose(0, 2, 1))
+        steps, batch = x.shape
+        z, look = np.empty((2, 4 * n, batch), kind), np.empty((2, 4 * n, batch), kind)
+        h, c, tmp = (np.zeros((2, n, batch), kind) for _ in range(3))
+        e = np.empty((2, steps, out.shape[1], batch), kind)
+        i, f, o, g = (z[:, k * n:(k + 1) * n] for k in range(4))
+        with np.errstate(over="ignore"):
+            for t in range(steps):
+                np.take(table[0], x[t], axis=1, out=look[0], mode="clip")
+                np.take(table[1], x[steps - 1 - t], axis=1, out=look[1], mode="clip")
+                np.matmul(recur, h, out=z)
+                z += look
+                np.exp(z, out=z)
+                z += 1
+                np.divide(1, z, out=z)
+                g *= 2
+                g -= 1
+                np.multiply(i, g, out=tmp)
+                c *= f
+                c += tmp
+                np.multiply(c, -2, out=tmp)
+                np.exp(tmp, out=tmp)
+                tmp += 1
+                np.divide(2, tmp, out=tmp)
+                tmp -= 1
+                np.multiply(o, tmp, out=h)
+                np.matmul(out[0], h[0], out=e[0, t])
+                np.matmul(out[1], h[1], out=e[1, steps - 1 - t])
+        both = e[0]
+        both += e[1]
+        both += self.bias[:, None]
+        return both.transpose(0, 2, 1)
+
     def forward_backward(self, e: np.ndarray):
         """Normalised forward and backward probabilities, the emission factors over their step's norm, and
         exp(moves); their product per step is the posterior of each tag."""
@@ -122,7 +162,7 @@ class Tagger:
 
     def decode_tagged(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``decode`` of the columns that may hold a tag other than 0, after their numbers."""
-        e, _ = self.emissions(x)
+        e = self.quick_emissions(x)
         at = self.may_tag(e)
         return at, *self.best(e[:, at])
 
@@ -167,8 +207,8 @@ class Tagger:
                 d_moves / batch, de[0].sum(axis=0)]
 
 
-def train(x: np.ndarray, y: np.ndarray, classes: int, tags: int, hidden: int = 16, epochs: int = 16, batch: int = 32,
-          rate: float = 0.02, seed: int = 4) -> Tagger:
+def train(x: np.ndarray, y: np.ndarray, classes: int, tags: int, hidden: int = 12, epochs: int = 12, batch: int = 16,
+          rate: float = 0.03, seed: int = 4) -> Tagger:
     """x, y: windows x time."""
     net = Tagger.fresh(classes, hidden, tags, seed)
     adams = [Adam(p.size, rate) for p in net.params()]

@@ -3,9 +3,13 @@
 The tagger is trained in numpy from labelled spans: the base spans of a bounded sample of documents,
 some of them rewritten in a shape that the rules do not know (a phone without its plus, a spelled-out
 at sign, a grouped card number), and from windows of documents without a number or an at sign.  Every
-whole text is scanned.  All its windows, which overlap by half, are decoded.  Their spans are reconciled over the whole text: spans cut by a window's edge are left to the next window, the others
-are taken by falling certainty where nothing overlaps them.  A span is added if all its characters
-are certain enough and it touches neither a base span nor a number that a base rule has refused.
+character of ASCII is a symbol of its own (A-Z as a-z), others are a symbol by their class.
+
+Every whole text is scanned, in overlapping windows that are all decoded.  Their spans are reconciled over
+the whole text: a span that a window's edge cuts, and that goes through the overlap, is joined with the
+next window's piece of the same kind; one that begins in the overlap is left to the next window.  Spans
+are taken by falling certainty where nothing overlaps them.  A span is added if all its characters are
+certain enough and it touches neither a base span nor a number that a base rule has refused.
 
 Defined results: a null or empty text has no span; repeated rows are scanned each; without labelled
 spans there is no tagger and the base spans are all; an empty table gives no rows.
@@ -26,14 +30,17 @@ from kredo.llm.common import arrow_rows, id_and_text
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents whose base spans train the tagger at most, and windows of each.
-SAMPLE, WINDOWS_PER_DOC = 1200, 2
+SAMPLE, WINDOWS_PER_DOC = 1000, 2
 #: For each of them, documents without a digit or an at sign.
 PLAIN_SHARE = 0.25
-WINDOW = 96
+#: Characters of a training window.
+TRAINED = 96
+#: Characters of a window that is decoded, and from one start to the next.
+WINDOW, STEP = 256, 208
 #: Posterior probability that every character of an added span must reach.
 CERTAIN = 0.9
 #: Windows decoded together.
-TOGETHER = 384
+TOGETHER = 768
 #: Digits from which a refused card number bars added spans.
 REFUSED_DIGITS = 12
 
@@ -97,19 +104,33 @@ def base_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
 
 # ---- windows and tags ------------------------------------------------------------------------
 
-PAD = ngrams.N_CLASSES
+ASCII = 128
+PAD = ASCII + ngrams.N_CLASSES
 TAGS = 1 + 2 * len(KINDS)        # outside; begin and inside of each kind
+_LOWER = np.arange(ASCII, dtype=np.uint8)
+_LOWER[ord("A"):ord("Z") + 1] += 32
+
 
+def symbols_of(text: str) -> np.ndarray:
+    """The symbol of each character: ASCII as itself (A-Z as a-z), else by its class."""
+    codes = ngrams.codes_of(text)
+    plain = codes < ASCII
+    out = _LOWER[np.where(plain, codes, 0)]
+    if not plain.all():
+        out[~plain] = ASCII + ngrams.classes_of(codes[~plain])
+    return out
 
-def window_starts(text: str) -> range:
-    """Starts of the half-overlapping windows of the whole text."""
-    step = WINDOW // 2
-    return range(0, max(len(text) - step, min(len(text), 1)), step)
 
+def window_starts(length: int) -> range:
+    """Starts of the overlapping windows of a whole text."""
+    return range(0, max(length - (WINDOW - STEP), min(length, 1)), STEP)
 
-def encode_window(part: str) -> np.ndarray:
-    out = np.full(WINDOW, PAD, np.int64)
-    out[:len(part)] = ngrams.classes_of(ngrams.codes_of(part))
+
+def padded(parts: list[np.ndarray], width: int) -> np.ndarray:
+    """Windows as rows of ``width`` symbols."""
+    out = np.full((len(parts), width), PAD, np.int64)
+    for row, part in zip(out, parts):
+        row[:len(part)] = part
     return out
 
 
@@ -124,7 +145,7 @@ def tags_of(n: int, spans: list[Span]) -> np.ndarray:
 def reshaped(kind: int, value: str, turn: int) -> str:
     """The same datum in a shape that the base rules do not know."""
     if kind == 0:
-        return value.replace("@", (" at ", "[at]", " (at) ")[turn % 3])
+        return value.replace("@", (" at ", "[at]", " at ", " (at) ")[turn % 4])
     if kind == 2:
         digits = re.sub("[^0-9]", "", value)
         return (".", "/")[turn % 2].join(digits[k:k + 4] for k in range(0, len(digits), 4))
@@ -141,14 +162,14 @@ def training_windows(doc_id: int, text: str):
     if spans:
         middles = [(a + b) // 2 for _, a, b in spans]
     else:
-        middles = [m.start() for m in _TRIGGER.finditer(text or "")] or [*range(WINDOW // 2, len(text or ""), WINDOW)]
+        middles = [m.start() for m in _TRIGGER.finditer(text or "")] or [*range(TRAINED // 2, len(text or ""), TRAINED)]
     if not middles:
         return
     for k in sorted({(len(middles) - 1) * k // max(1, WINDOWS_PER_DOC - 1) for k in range(WINDOWS_PER_DOC)}):
-        start = max(0, middles[k] - WINDOW // 2 + ((doc_id or 0) * 7 + k) % 41 - 20)
+        start = max(0, middles[k] - TRAINED // 2 + ((doc_id or 0) * 7 + k) % 41 - 20)
         taken, last = [], start
         for kind, a, b in sorted(spans, key=lambda s: s[1]):
-            if a >= last and b <= start + WINDOW:
+            if a >= last and b <= start + TRAINED:
                 taken.append((kind, a, b))
                 last = b
         part, out, at = "", [], start
@@ -161,7 +182,7 @@ def training_windows(doc_id: int, text: str):
             out.append((kind, len(part), len(part) + len(value)))
             part += value
             at = b
-        part = (part + text[at:start + WINDOW])[:WINDOW]
+        part = (part + text[at:start + TRAINED])[:TRAINED]
         yield part, ",".join(f"{k}:{a}:{b}" for k, a, b in out if b <= len(part))
 
 
@@ -182,14 +203,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> crf.Tagger | None:
     got = chosen.mapInArrow(run, "part string, spans string").toPandas().sort_values(["part", "spans"])
     if not got["spans"].str.len().sum():
         return None
-    x = np.stack([encode_window(p) for p in got["part"]])
+    x = padded([symbols_of(p) for p in got["part"]], TRAINED)
     y = np.stack([np.pad(tags_of(len(p), [tuple(map(int, s.split(":"))) for s in spans.split(",") if s]),
-                         (0, WINDOW - len(p))) for p, spans in zip(got["part"], got["spans"])])
+                         (0, TRAINED - len(p))) for p, spans in zip(got["part"], got["spans"])])
     return crf.train(x, y, PAD + 1, TAGS)
 
 
 def window_spans(tags: np.ndarray, sure: np.ndarray, start: int, length: int):
-    """(certainty, kind, start, end) of a window's spans that do not touch an edge inside the text."""
+    """(certainty, kind, start, end, cut on the left, cut on the right) of a window's spans; cut are those that
+    touch an edge inside the text."""
     tags = tags.tolist()
     n = min(WINDOW, length - start)
     t = 0
@@ -200,12 +222,29 @@ def window_spans(tags: np.ndarray, sure: np.ndarray, start: int, length: int):
         kind, end = (tags[t] - 1) // 2, t + 1
         while end < n and tags[end] == 2 + 2 * kind:
             end += 1
-        cut = (t == 0 and start > 0) or (end == WINDOW and start + end < length)
-        if not cut:
-            yield float(sure[t:end].min()), kind, start + t, start + end
+        yield float(sure[t:end].min()), kind, start + t, start + end, t == 0 and start > 0, end == n and start + n < length
         t = end
 
 
+def joined(spans: list[tuple]) -> list[tuple]:
+    """(certainty, kind, start, end) of whole spans: pieces that go through an overlap become one where the next
+    window's piece is of the same kind; a piece that begins or ends in an overlap is seen whole by one window."""
+    at_left = {(kind, a): (p, b, right) for p, kind, a, b, left, right in spans if left}
+    out = []
+    for p, kind, a, b, left, right in spans:
+        if left:
+            continue
+        while right:
+            seam = b - WINDOW + STEP                       # where the next window begins
+            other = at_left.get((kind, seam)) if a <= seam else None
+            if other is None:
+                break
+            p, b, right = min(p, other[0]), other[1], other[2]
+        if not right:
+            out.append((p, kind, a, b))
+    return out
+
+
 def reconcile(found: list[tuple], barred: list[tuple[int, int]]) -> list[Span]:
     """The added spans of a text: by falling certainty, none that overlaps another or a barred stretch."""
     taken = sorted(barred)
@@ -222,15 +261,19 @@ def scan(texts: list[str], tagger: crf.Tagger | None) -> list[tuple[list[Span],
     based = [base_spans(t) for t in texts]
     found: list[list] = [[] for _ in texts]
     if tagger is not None:
-        jobs = [(k, s) for k, t in enumerate(texts) for s in window_starts(t)]
+        symbols = [symbols_of(t) for t in texts]
+        # windows of like length go together, so that few symbols are padding
+        jobs = sorted(((k, s) for k, t in enumerate(texts) for s in window_starts(len(t))),
+                      key=lambda j: min(WINDOW, len(texts[j[0]]) - j[1]))
         for at in range(0, len(jobs), TOGETHER):
             part = jobs[at:at + TOGETHER]
-            x = np.stack([encode_window(texts[k][s:s + WINDOW]) for k, s in part]).T
+            width = min(WINDOW, len(texts[part[-1][0]]) - part[-1][1])
+            x = np.ascontiguousarray(padded([symbols[k][s:s + WINDOW] for k, s in part], width).T)
             at_part, tags, sure = tagger.decode_tagged(x)
             for j in np.flatnonzero(tags.any(axis=0)):
                 k, s = part[at_part[j]]
                 found[k] += window_spans(tags[:, j], sure[:, j], s, len(texts[k]))
-    return [(base, reconcile(f, [(a, b) for _, a, b in base] + refused)) for (base, refused), f in zip(based, found)]
+    return [(base, reconcile(joined(f), [(a, b) for _, a, b in base] + refused)) for (base, refused), f in zip(based, found)]
 
 
 def grouped(batches, column: int, size: int = 4 << 20):

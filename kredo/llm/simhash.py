@@ -159,17 +159,23 @@ def components(edges: DataFrame) -> DataFrame:
     return labels if labels is not None else both.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id that links lead to, its own included) of every row."""
-    rows = written(fingerprints(docs, shingle, id_col, text_col), "simhash")
+def components_of(rows: DataFrame, radius: int) -> DataFrame:
+    """fp, root, component_id (the smallest doc_id that links lead to, its own included) of the fingerprints in
+    ``rows`` (doc_id, fp; written).  Equal roots mean one component."""
     fps = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(written(links(fps.select("fp"), radius), "simhash-links"))
     linked = fps.join(roots.withColumnRenamed("node", "fp"), "fp")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
-    named = linked.join(least, "root").select("fp", "least")
-    whole = fps.join(named, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return rows.join(whole, "fp").select("doc_id", "fp", "component_id")
+    named = linked.join(least, "root").select("fp", "root", "least")
+    return fps.join(named, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"),
+                                                F.coalesce("least", "first").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """doc_id, fp, component_id (the smallest doc_id that links lead to, its own included) of every row."""
+    rows = written(fingerprints(docs, shingle, id_col, text_col), "simhash")
+    return rows.join(components_of(rows, radius), "fp").select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(fp="fp"):
@@ -178,15 +184,47 @@ def hex_fingerprint(fp="fp"):
 
 def keep_first(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are the first of their component, with all their columns.
-
-    Rows that share an id count as one document: the one with the smallest text hash stays.  Rows
-    without an id cannot be named by a component and stay.
+    """One row of ``docs`` for every component, with all its columns.
+
+    A component is represented by its smallest id, and among its rows with that id by the smallest hash of
+    the text; rows equal in both count as one.  Rows of other components never take its place, even where ids repeat.  The choice is made on narrow rows (id, fingerprint, hash).  The
+    whole rows then meet the chosen keys once, in a hash join that neither sorts nor groups texts; only
+    rows whose key repeats are grouped by it.  Rows without an id stay unless they are near copies of a row
+    with one.  A null or empty text has fingerprint 0, so those are one component; an empty table gives no
+    rows.
     """
-    found = near_duplicates(docs, shingle, radius, id_col, text_col)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    own = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col)))
-    kept = docs.join(first, id_col, "left_semi").select(docs.columns)
-    mark = "_".join(["nth", *docs.columns])
-    once = kept.withColumn(mark, own).where(F.col(mark) == 1).drop(mark)
-    return once.unionByName(docs.where(F.col(id_col).isNull()))
+    rows = written(keyed_fingerprints(docs, shingle, id_col, text_col), "simhash")
+    found = rows.join(components_of(rows.select("doc_id", "fp"), radius), "fp")
+    keys = ["doc_id", "h"]
+    named = found.where(F.col("doc_id") == F.col("component_id")).groupBy(*keys, "root").agg(F.count(F.lit(1)).alias("n"))
+    first = named.groupBy("doc_id", "root").agg(F.min(F.struct("h", "n")).alias("x")).select("doc_id", "x.h", "x.n")
+    nameless = found.where(F.col("component_id").isNull()).groupBy(*keys).agg(F.lit(1).cast("long").alias("n"))
+    chosen = written(first.union(nameless), "simhash-chosen")
+    mark = "_".join(["hash", *docs.columns])
+    whole = docs.withColumn(mark, F.xxhash64(F.col(text_col).cast("string")))
+
+    def those(some: DataFrame) -> DataFrame:
+        right = some.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).hint("shuffle_hash")
+        return whole.join(right, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col(mark) == F.col("_h")), "left_semi")
+
+    kept = those(chosen.where("n = 1"))
+    repeated = chosen.where("n > 1")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(those(repeated).dropDuplicates([id_col, mark]))
+    return kept.select(docs.columns)
+
+
+def keyed_fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, fp, h (hash of the text) of every whole text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("h", pa.int64())])
+
+    def run(batches):
+        def rows():
+            for batch in batches:
+                for doc_id, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                    yield doc_id, signed(fingerprint(text.as_py(), shingle)), h
+        yield from arrow_rows(rows(), schema)
+
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text")).mapInArrow(
+        run, "doc_id long, fp long, h long")

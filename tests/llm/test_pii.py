@@ -135,12 +135,22 @@ def test_decoding_is_the_best_path_with_its_posteriors():
             assert abs(share - sure[t, b]) < 1e-9
 
 
-def test_windows_cover_every_digit_and_at_sign():
-    text = "x" * 300 + "7" + "y" * 500 + "@" + "z" * 33
-    starts = pii.window_starts(text)
-    for at in (300, 801):
-        assert any(s <= at < s + pii.WINDOW for s in starts)
-    assert ngrams.classes_of(ngrams.codes_of("aZ9 \n")).tolist() == [1, 0, 2, 3, 4]
+def test_symbols_keep_letters_apart():
+    assert pii.symbols_of("aZ9 \n").tolist() == [97, 122, 57, 32, 10]
+    assert (pii.symbols_of("at é中") >= pii.ASCII).tolist() == [False, False, False, True, True]
+    assert pii.symbols_of("é中\U0001f600").max() < pii.PAD
+
+
+def test_pieces_that_go_through_an_overlap_become_one_span():
+    w, step = pii.WINDOW, pii.STEP
+    sees = lambda a, b, s: (0.9, 0, max(a, s), min(b, s + w), a < s, b > s + w)
+    for a, b in ((10, 20), (10, w + 5), (step - 1, w + 1), (step + 1, w + 1), (5, step + w + 30), (0, 3 * w), (w - 1, w + 2)):
+        length = 3 * w
+        spans = [sees(a, b, s)[:4] + (a < s, b > s + w and s + w < length) for s in pii.window_starts(length)
+                 if a < s + w and b > s]
+        assert set(pii.joined(spans)) == {(0.9, 0, a, b)}, (a, b)
+    # the next window does not agree: nothing is made up
+    assert pii.joined([(0.9, 0, 5, w, False, True), (0.9, 1, step, w + 3, True, False)]) == []
 
 
 def letters_only(spark):
@@ -152,8 +162,8 @@ def letters_only(spark):
     docs = [(k, f"{some()} write to {name(5)}.{name(6)}@{name(7)}.com {some()}" if k % 3 else f"{some()} {some()} {some()}")
             for k in range(900)]
     spelled = []
-    for k in range(60):
-        value = f"{name(5)}.{name(6)}{('[at]', ' (at) ')[k % 2]}{name(7)}.com"
+    for k in range(90):
+        value = f"{name(5)}.{name(6)}{('[at]', ' (at) ', ' at ')[k % 3]}{name(7)}.com"
         before = " ".join(some() for _ in range(k % 5)) + " write to "
         spelled.append((before + value + " " + some(), (0, len(before), len(before) + len(value))))
     return spark.createDataFrame(docs, "doc_id long, text string"), spelled
@@ -164,18 +174,27 @@ def test_spelled_out_emails_without_digit_or_at_sign_are_added(spark):
     model = pii.fit(docs, sample=600)
     assert not any(re.search("[0-9@]", text) for text, _ in spelled)
     got = pii.scan([text for text, _ in spelled], model)
-    assert sum(span in added for (_, span), (_, added) in zip(spelled, got)) >= 48
+    for shape in range(3):
+        hit = [span in added for (_, span), (_, added) in list(zip(spelled, got))[shape::3]]
+        assert sum(hit) >= 27, (shape, sum(hit))                    # recall of 0.9 for each shape
+    assert sum(len(added) for _, added in got) <= 95                # precision
     clean = [r["text"] for r in docs.where("doc_id % 3 = 0").collect()]
     assert sum(bool(added) for _, added in pii.scan(clean, model)) <= 3
 
 
-def test_windows_overlap_by_half_over_the_whole_text():
-    for n in (0, 1, 47, 48, 49, 95, 96, 97, 144, 145, 1000):
-        starts = list(pii.window_starts("x" * n))
-        assert starts == [48 * k for k in range(len(starts))] and bool(starts) == (n > 0)
+def test_windows_cover_the_whole_text():
+    for n in (0, 1, 47, 48, 49, 255, 256, 257, 463, 464, 465, 5000):
+        starts = list(pii.window_starts(n))
+        assert starts == [pii.STEP * k for k in range(len(starts))] and bool(starts) == (n > 0)
         assert not n or starts[-1] < n <= starts[-1] + pii.WINDOW
 
 
+def test_quick_emissions_are_the_emissions():
+    net = crf.Tagger.fresh(9, 5, 4, seed=3)
+    x = np.random.default_rng(1).integers(0, 9, (20, 7))
+    assert np.allclose(net.quick_emissions(x), net.emissions(x)[0], atol=1e-12)
+
+
 def test_windows_left_out_of_the_search_have_no_tag():
     rng = np.random.default_rng(5)
     left = 0

@@ -3,7 +3,7 @@ import random
 import xxhash
 
 from kredo.llm import simhash
-from tests.llm.tables import ROWS, awkward, nothing
+from tests.llm.tables import PROSE, ROWS, awkward, nothing
 
 
 def brute_components(rows, radius):
@@ -93,6 +93,14 @@ def test_keep_first(spark):
     assert sum(r["doc_id"] is None for r in got) == 1
 
 
+def test_one_row_of_each_component_where_ids_repeat(spark):
+    other = "a wholly different text about ships and harbours in the cold northern sea at night " * 3
+    docs = spark.createDataFrame([(1, PROSE), (1, PROSE), (1, other), (2, PROSE), (3, other), (4, "x y z w"), (4, "x y z w")],
+                                 "doc_id long, text string")
+    got = sorted(map(tuple, simhash.keep_first(docs).collect()))
+    assert got == sorted([(1, PROSE), (1, other), (4, "x y z w")])
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(nothing(spark)).count() == 0
     assert simhash.keep_first(nothing(spark)).count() == 0
