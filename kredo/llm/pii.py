@@ -196,6 +196,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> crf.Tagger | None:
         yield from arrow_rows((w for batch in batches for i, t in zip(
             batch.column(0).to_pylist(), batch.column(1).to_pylist()) for w in training_windows(i, t)), schema)
 
+    docs = docs.where("text IS NOT NULL")
     # one pass for the least hashes of both kinds, one for the texts that have them
     held, h = F.col("text").rlike("[0-9@]"), F.xxhash64("doc_id", F.octet_length("text"))
     sizes = {True: sample, False: int(PLAIN_SHARE * sample)}
@@ -207,7 +208,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> crf.Tagger | None:
     last = {r["held"]: r["most"] for r in low.withColumn("nth", nth).where(
         F.col("nth") <= F.when(F.col("held"), sizes[True]).otherwise(sizes[False])).groupBy("held").agg(F.max(order).alias("most")).collect()}
     key = F.shiftrightunsigned(h, 1)
-    chosen = docs.where(F.when(held, key <= last.get(True, -1)).otherwise(key <= last.get(False, -1))).orderBy(key, "doc_id").limit(sum(sizes.values())).select("doc_id", "text")
+    least = F.when(held, key <= last.get(True, -1)).otherwise(key <= last.get(False, -1))
+    chosen = docs.where(least).orderBy(key, "doc_id").limit(sum(sizes.values())).select("doc_id", "text")
     got = chosen.mapInArrow(run, "part string, spans string").toPandas().sort_values(["part", "spans"])
     if not got["spans"].str.len().sum():
         return None
