@@ -107,6 +107,12 @@ SCAN_YEAR_MIN, SCAN_YEAR_MAX = 2020, 2025
 # FIXED VALUES: last target year used for training (out-of-time split).
 TRAIN_MAX_YEAR = 2023
 
+# FIXED VALUES: defaults of missing year-3 targets in the risk label, and its thresholds (strict comparisons).
+RISK_DEFAULT_SOLVENCY, RISK_DEFAULT_ROA, RISK_DEFAULT_LIQUIDITY = 1.0, 0.0, 1.0
+RISK_MIN_SOLVENCY, RISK_ALARM_SOLVENCY = 0.0, 0.05
+RISK_MIN_ROA = 0.0
+RISK_MIN_LIQUIDITY = 1.0
+
 
 def spellings(spec: RubricSpec) -> tuple[str, ...]:
     return (spec.code,) if spec.alt is None else (spec.code, spec.alt)

@@ -14,32 +14,21 @@ DROPPED = ["target_year_y3", "enterprise_number", "target_roe_y3", "target_roa_y
 LEAKY = ["target_net_profit_y3"]
 
 
-def _solv() -> Column:
-    return F.coalesce(F.col("target_solvency_y3"), F.lit(1.0))
-
-
-def _roa() -> Column:
-    return F.coalesce(F.col("target_roa_y3"), F.lit(0.0))
-
-
-def _liq() -> Column:
-    return F.coalesce(F.col("target_liquidity_y3"), F.lit(1.0))
-
-
 def risk_branch() -> Column:
-    """Which rule fires first: negative equity, alarm, liquidity squeeze, or healthy."""
-    return (F.when(_solv() < 0.0, F.lit("negative_equity"))
-             .when((_solv() < 0.05) & (_roa() < 0.0), F.lit("alarm"))
-             .when((_liq() < 1.0) & (_roa() < 0.0), F.lit("liquidity"))
+    """Which rule fires first: negative equity, alarm, liquidity squeeze, or healthy.  Missing targets have defaults."""
+    solvency = F.coalesce(F.col("target_solvency_y3"), F.lit(codes.RISK_DEFAULT_SOLVENCY))
+    roa = F.coalesce(F.col("target_roa_y3"), F.lit(codes.RISK_DEFAULT_ROA))
+    liquidity = F.coalesce(F.col("target_liquidity_y3"), F.lit(codes.RISK_DEFAULT_LIQUIDITY))
+    loss = roa < codes.RISK_MIN_ROA
+    return (F.when(solvency < codes.RISK_MIN_SOLVENCY, F.lit("negative_equity"))
+             .when((solvency < codes.RISK_ALARM_SOLVENCY) & loss, F.lit("alarm"))
+             .when((liquidity < codes.RISK_MIN_LIQUIDITY) & loss, F.lit("liquidity"))
              .otherwise(F.lit("healthy")))
 
 
 def is_high_risk() -> Column:
-    """1 for the three distress rules (strict comparisons, NULL targets defaulted), else 0."""
-    return (F.when(_solv() < 0.0, F.lit(1))
-             .when((_solv() < 0.05) & (_roa() < 0.0), F.lit(1))
-             .when((_liq() < 1.0) & (_roa() < 0.0), F.lit(1))
-             .otherwise(F.lit(0))).cast("bigint")
+    """1 if one of the three distress rules fires, else 0."""
+    return (risk_branch() != "healthy").cast("bigint")
 
 
 def any_target() -> Column:
