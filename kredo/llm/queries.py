@@ -111,10 +111,10 @@ def op11_lemp_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op11_lemp_hard_negatives"] = """
 WITH e AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
          CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
