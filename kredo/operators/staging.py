@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from kredo.functions.scalars import company_segment, failed_flag, model_category, safe_divide, zero_if_null
 from kredo.operators import accounts, dimensions, financials
+from kredo.session import ensure_checkpoint_dir
 
 ACCOUNT_COLUMNS = ["EnterpriseNumber", "accounting_year", "clean_enterprise_number", "ReferenceNumber",
                    "EnterpriseName", "EnterpriseName_historic", "Language", "ModelType",
@@ -35,27 +36,47 @@ def accounts_with_financials(preferred: DataFrame, fold: bool = True) -> DataFra
     """
     if fold:
         x = financials.unnest_summed(preferred, ACCOUNT_COLUMNS)
-        f = by_reference(x.groupBy(*ACCOUNT_COLUMNS).agg(*financials.sums()))
+        f = by_reference(x.groupBy(*ACCOUNT_COLUMNS).agg(*financials.sums()), preferred)
     else:
         fb = financials.financials_base(preferred).drop("EnterpriseNumber", "balance_sheet_date")
         f = preferred.select(*ACCOUNT_COLUMNS).join(fb, "ReferenceNumber", "left")
     return f.select("*", *financials.derived_columns())
 
 
-def by_reference(preferred: DataFrame) -> DataFrame:
+def shared_numbers(filings: DataFrame) -> DataFrame:
+    """Reference numbers that stand on more than one of the filings (one string a filing is shuffled, at most)."""
+    return (filings.where(F.col("ReferenceNumber").isNotNull()).groupBy("ReferenceNumber").agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > 1).select("ReferenceNumber"))
+
+
+def by_reference(preferred: DataFrame, candidates: DataFrame) -> DataFrame:
     """The reference's join of the sums on ReferenceNumber, from preferred filings with their own sums.
 
     A filing whose number occurs once keeps its sums.  A NULL number matches nothing: its sums are
     NULL.  Filings that share a number each get one row per sums of that number, as the join gives.
-    One exchange of narrow rows; filings without a number are spread by enterprise.
+    ``candidates`` are the filings that the preferred ones were chosen from: a number that is unique there is
+    unique among the preferred.  A narrow job looks for shared numbers first.  Without any, which is usual,
+    the rows need no exchange.  Else the preferred rows are written once; only those with a shared number
+    go through the join, which Spark can split where a number is frequent.
     """
     sums = financials.sum_columns()
-    w = Window.partitionBy("ReferenceNumber", F.when(F.col("ReferenceNumber").isNull(), F.struct(*accounts.DEDUP_KEYS)))
-    all_sums = F.collect_list(F.struct(*sums)).over(w)
     own = [c for c in preferred.columns if c not in sums]
-    matched = preferred.select(*own, F.when(F.col("ReferenceNumber").isNotNull(), all_sums).alias("_sums"))
-    return matched.select(*own, F.explode_outer("_sums").alias("_s")).select(
-        *own, *[F.col("_s")[c].alias(c) for c in sums])
+    number = F.col("ReferenceNumber")
+
+    def kept(df: DataFrame) -> DataFrame:
+        return df.select(*own, *[F.when(number.isNotNull(), F.col(c)).alias(c) for c in sums])
+
+    shared = shared_numbers(candidates)
+    if shared.isEmpty():
+        return kept(preferred)
+    ensure_checkpoint_dir(preferred.sparkSession)
+    preferred, shared = preferred.checkpoint(), shared.checkpoint()
+    numbered = preferred.where(number.isNotNull())
+    several = numbered.join(shared, "ReferenceNumber", "left_semi")
+    joined = several.select(*own).join(several.select("ReferenceNumber", *sums), "ReferenceNumber")
+    return (kept(preferred.where(number.isNull()))
+            .unionByName(numbered.join(shared, "ReferenceNumber", "left_anti"))
+            .unionByName(joined))
 
 
 def n_rubrics(filings: DataFrame) -> Column:
@@ -91,18 +112,18 @@ def preferred_with_financials(filings: DataFrame, literal: bool = True) -> DataF
     w = Window.partitionBy(*accounts.DEDUP_KEYS).orderBy(*order)
     best = per_filing.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     best = best.drop("_rn", "ImprovementDate", "_n_rubrics", "_row")
-    best = by_reference(best) if literal else best
+    best = by_reference(best, f) if literal else best
     return best.select("*", *financials.derived_columns())
 
 
-def _dedup(per_filing: DataFrame, literal: bool) -> DataFrame:
+def _dedup(per_filing: DataFrame, candidates: DataFrame, literal: bool) -> DataFrame:
     order = [accounts.model_rank_col().asc(), accounts.language_rank_col().asc(),
              F.col("ImprovementDate").desc_nulls_last(), F.col("_n_rubrics").desc(),
              F.col("ReferenceNumber").asc_nulls_first(), F.col("_tie").asc()]
     w = Window.partitionBy(*accounts.DEDUP_KEYS).orderBy(*order)
     best = per_filing.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     best = best.drop("_rn", "ImprovementDate", "_n_rubrics", "_tie")
-    best = by_reference(best) if literal else best
+    best = by_reference(best, candidates) if literal else best
     return best.select("*", *financials.derived_columns())
 
 
@@ -117,7 +138,7 @@ def _preferred_with_financials_by_id(f: DataFrame, literal: bool) -> DataFrame:
     sums = financials.unnest_summed(f, ["_filing_id"]).groupBy("_filing_id").agg(*financials.sums())
     attrs = f.select(*ACCOUNT_COLUMNS, "ImprovementDate", n_rubrics(f).alias("_n_rubrics"), "_filing_id")
     per_filing = attrs.join(sums, "_filing_id").withColumnRenamed("_filing_id", "_tie")
-    return _dedup(per_filing, literal)
+    return _dedup(per_filing, f, literal)
 
 
 def _sd(a: Column | str, b: Column | str) -> Column:

@@ -29,7 +29,7 @@ def test_query_matches_oracle(spark, sf_dir, con, name):
 
 def test_every_query_has_an_oracle_or_is_a_model():
     no_oracle = set(catalog.QUERIES) - set(catalog.ORACLE)
-    assert all(n.startswith(("gbt_", "kmeans_", "hyperparam_", "logreg_", "rf_", "model_")) for n in no_oracle)
+    assert all(n.startswith(("boost_", "gbt_", "kmeans_", "hyperparam_", "logreg_", "rf_", "model_")) for n in no_oracle)
 
 
 def test_entry_smoke(spark):

@@ -66,3 +66,18 @@ def test_hot_key_on_the_file_id_plan(spark, tmp_path):
     assert by_id.exceptAll(literal).count() == 0
     text = by_id._sc._jvm.PythonSQLUtils.explainString(by_id._jdf.queryExecution(), "simple")
     assert "WindowGroupLimit" in text
+
+
+def test_hot_reference_number_equals_reference_plan(spark):
+    """A third of the preferred filings share one number, another third have none."""
+    f = _filings(spark, 900).withColumn("EnterpriseNumber", F.concat(F.lit("E"), "ReferenceNumber")).withColumn(
+        "ReferenceNumber", F.when(F.col("Rubrics")[0]["Value"].cast("int") % 3 == 0, F.lit("HOT"))
+        .when(F.col("Rubrics")[0]["Value"].cast("int") % 3 == 1, F.col("ReferenceNumber")))
+    e, a, act = empty_dims(spark)
+    literal = staging.staging_master(f, e, a, act, mode="join")
+    want = literal.groupBy(*literal.columns).count().checkpoint()
+    assert want.agg(F.sum("count")).first()[0] == 300 * 300 + 600
+    for mode in ("early", "fold"):
+        got = staging.staging_master(f, e, a, act, mode=mode)
+        got = got.groupBy(*got.columns).count().checkpoint()
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
