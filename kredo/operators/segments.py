@@ -34,6 +34,42 @@ def segment_census(staging: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
+def merge_segments(counts: DataFrame, path: list[str], k: int = 32, n: str = "n") -> DataFrame:
+    """The segments of a census merged to at most ``k`` groups along their path (coarsest column first).
+
+    The prefixes of the paths are a tree.  Merging always takes the smallest node that has no other
+    nodes under it and gives its rows to its parent (ties: the deeper one, then the last in order of the path),
+    until ``k`` groups are left; a group is a node that holds rows.  What a node holds when its turn comes is
+    all that lies under it, so nodes fall in the order of their subtree totals, and no step by step loop is
+    needed: counted from the largest node on, each node adds one group, but for the last child of its parent,
+    which leaves the parent without rows.  The nodes before the count passes ``k`` stay.
+
+    Returns ``counts`` with ``group_level`` (columns of the path that the group has in common; 0: the rest),
+    ``group_key`` (their values; a NULL is empty, a value begins with ``=``) and ``group_n`` (its rows).
+    Every row belongs to one group; the segments with the same path should be one row.  An empty census gives none.
+    """
+    parts = F.array(*[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in path])
+    levels = F.explode(F.sequence(F.lit(0), F.lit(len(path))))
+    prefixes = counts.select(*path, n, parts.alias("_parts")).withColumn("_level", levels).withColumn(
+        "_prefix", F.slice("_parts", 1, F.col("_level")))
+    nodes = prefixes.groupBy("_level", "_prefix").agg(F.sum(n).alias("_total"))
+    place = F.struct((-F.col("_total")).alias("a"), F.col("_level").alias("b"), F.col("_prefix").alias("c"))
+    parent = F.when(F.col("_level") > 0, F.slice("_prefix", 1, F.col("_level") - 1))
+    nodes = nodes.select("_level", "_prefix", place.alias("_place"), parent.alias("_parent"))
+    last = (nodes.groupBy("_level", "_parent").agg(F.max("_place").alias("_place"))
+            .select("_place", F.when(F.col("_level") > 0, 0).otherwise(1).alias("_gain")))
+    gains = nodes.join(last, "_place", "left").fillna(1, ["_gain"])
+    counted = ranges.running_total(gains.select("_place", "_gain"), [], "_place", "_gain", "_groups")
+    # At most k groups and the nodes above them: k times the path's length, whatever the size of the census.
+    kept = counted.where(F.col("_groups") <= k).select(F.col("_place.b").alias("_level"), F.col("_place.c").alias("_prefix"))
+    member = (prefixes.join(F.broadcast(kept), ["_level", "_prefix"]).groupBy("_parts", *path, n)
+              .agg(F.max("_level").alias("group_level")))
+    member = member.withColumn("_key", F.slice("_parts", 1, F.col("group_level")))
+    totals = member.groupBy("_key").agg(F.sum(n).alias("group_n"))
+    return member.join(totals, "_key").select(*path, n, F.col("group_level").cast("bigint").alias("group_level"),
+                                              F.array_join("_key", "/").alias("group_key"), "group_n")
+
+
 def top_k(counts: DataFrame, keys: list[str], k: int = 3, n: str = "n") -> DataFrame:
     """The k largest groups; ties broken by the keys ascending (a top-k report)."""
     return counts.orderBy(F.col(n).desc(), *[F.col(c).asc_nulls_first() for c in keys]).limit(k)

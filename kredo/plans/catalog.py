@@ -338,6 +338,40 @@ def q_segment_census(spark, d):
     return segments.segment_census(Inputs(spark, d).staging())
 
 
+_MERGE_PATH = ["nace_primary_division", "nace_primary_code", "company_segment", "model_category"]
+
+
+# The oracle tries every number of kept nodes: which group would each segment fall to, and how many are there?
+@register("segment_merge", W("""
+SELECT c.* EXCLUDE (parts), v.level AS group_level, v.key AS group_key, CAST(sum(c.n) OVER (PARTITION BY v.prefix) AS BIGINT) AS group_n
+FROM counts c JOIN groups v ON v.parts = c.parts
+WHERE v.kept = (SELECT max(kept) FROM (SELECT kept FROM groups GROUP BY kept HAVING count(DISTINCT prefix) <= 32))""",
+    training=False, extra=f"""
+counts AS (
+  SELECT {", ".join(_MERGE_PATH)}, count(*) AS n,
+         [{", ".join(f"coalesce('=' || {c}, '')" for c in _MERGE_PATH)}] AS parts
+  FROM staging GROUP BY ALL
+),
+prefixes AS (
+  SELECT parts, n, level, list_slice(parts, 1, level) AS prefix FROM counts, range(0, {len(_MERGE_PATH) + 1}) t(level)
+),
+nodes AS (
+  SELECT level, prefix, row_number() OVER (ORDER BY sum(n) DESC, level, prefix) AS place
+  FROM prefixes GROUP BY level, prefix
+),
+groups AS (
+  SELECT m.place AS kept, p.parts, max(p.level) AS level, arg_max(p.prefix, p.level) AS prefix,
+         array_to_string(arg_max(p.prefix, p.level), '/') AS key
+  FROM nodes m JOIN (SELECT * FROM prefixes JOIN nodes USING (level, prefix)) p ON p.place <= m.place
+  WHERE m.place <= 32 * {len(_MERGE_PATH) + 1} + 1
+  GROUP BY m.place, p.parts
+)"""))
+def q_segment_merge(spark, d):
+    staged = Inputs(spark, d).staging()
+    counts = staged.groupBy(*_MERGE_PATH).agg(F.count(F.lit(1)).alias("n"))
+    return segments.merge_segments(counts, _MERGE_PATH, 32)
+
+
 @register("top_segments", _with_lab("""
 SELECT sector, company_segment, count(*) AS n FROM lab
 GROUP BY sector, company_segment
