@@ -504,7 +504,7 @@ def q_metrics_from_scores(spark, d):
 
 # ------------------------------------------------------------------ sources, ledger, ingest
 
-from kredo.sources import loaders  # noqa: E402
+from kredo.sources import loaders, sinks  # noqa: E402
 from kredo.streaming import ingest  # noqa: E402
 
 _SCALARS = list(fx.schemas.FILING_FIELDS)
@@ -604,7 +604,7 @@ SELECT EntityNumber, TypeOfAddress, Zipcode, MunicipalityNL, {_EXTRA["duckdb"]}
 FROM dim_address""", staging=False, training=False))
 def q_dimension_load(spark, d):
     """Addresses after the load job, from CSV with quotes, newlines and backslashes."""
-    return spark.read.parquet(f"{_registers(spark, d)[0]}/dim_address").select(
+    return sinks.read_table(spark, f"{_registers(spark, d)[0]}/dim_address").select(
         "EntityNumber", "TypeOfAddress", "Zipcode", "MunicipalityNL", "ExtraAddressInfo", "DateStrikingOff")
 
 
@@ -702,7 +702,6 @@ def q_staging_layout(spark, d):
     """The staging table written in its layout (year folders, clustered by enterprise) and read back."""
     import uuid
     from kredo.session import shared_path
-    from kredo.sources import sinks
     path = shared_path(spark, "kredo-staging", uuid.uuid4().hex)
     sinks.write_staging(Inputs(spark, d).staging(), path)
     return spark.read.parquet(path).select(
@@ -710,6 +709,46 @@ def q_staging_layout(spark, d):
         "total_assets_n")
 
 
+@register("staging_replaced", W("""
+SELECT enterprise_number, accounting_year, company_segment, total_assets_n FROM staging""", training=False))
+def q_staging_replaced(spark, d):
+    """The staging table after its replacement: its first year alone, then all years."""
+    import uuid
+    from kredo.session import shared_path
+    path = shared_path(spark, "kredo-staging", uuid.uuid4().hex)
+    staged = Inputs(spark, d).staging()
+    sinks.replace_staging(staged.where(F.col("accounting_year") == codes.SCAN_YEAR_MIN), path)
+    sinks.replace_staging(staged, path)
+    return sinks.read_table(spark, path).select(
+        "enterprise_number", F.col("accounting_year").cast("bigint").alias("accounting_year"), "company_segment",
+        "total_assets_n")
+
+
+@register("enterprise_list_csv", W(f"SELECT {_DOTTED_ORDERS} AS EnterpriseNumber, count(*) AS listed FROM orders GROUP BY 1",
+                                   staging=False, training=False))
+def q_enterprise_list_csv(spark, d):
+    """How often each enterprise stands on the list, read from CSV as text."""
+    import uuid
+    from kredo.session import shared_path
+    path = shared_path(spark, "kredo-list", uuid.uuid4().hex)
+    fx.enterprise_list(spark, d).write.option("header", "true").csv(path)
+    return loaders.read_enterprise_list(spark, path).groupBy("EnterpriseNumber").agg(F.count(F.lit(1)).alias("listed"))
+
+
+@register("macro_load", W("""
+SELECT s.accounting_year, m.interest_rate, m.inflation, count(*) AS n
+FROM staging s LEFT JOIN macro m ON s.accounting_year = m.year GROUP BY ALL""", training=False))
+def q_macro_load(spark, d):
+    """Filings by year beside the indicators that were loaded from CSV."""
+    import uuid
+    from kredo.session import shared_path
+    path = shared_path(spark, "kredo-macro", uuid.uuid4().hex)
+    i = Inputs(spark, d)
+    i.macro().write.option("header", "true").csv(path)
+    joined = segments.with_macro(i.staging(), loaders.read_macro_csv(spark, path))
+    return joined.groupBy("accounting_year", "interest_rate", "inflation").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("row_count", W("""
 SELECT 'dim_enterprise' AS table_name, count(*) AS n FROM dim_enterprise
 UNION ALL SELECT 'dim_address', count(*) FROM dim_address

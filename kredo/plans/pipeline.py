@@ -10,6 +10,7 @@
 
 Each job reads written tables and writes one table, so a lost executor costs
 at most a stage retry and a failed job restarts from the last written table.
+Tables are replaced whole (``sinks.replace_table``): read them with ``sinks.read_table``.
 """
 
 from __future__ import annotations
@@ -28,35 +29,35 @@ from kredo.sources import fixtures, loaders, sinks
 def write_fixture_tables(spark: SparkSession, sf_dir: str, out: str) -> None:
     """Materialise the derived filings (partitioned by filing_year) and dimensions."""
     sinks.append_filings(fixtures.filings(spark, sf_dir), f"{out}/filings")
-    sinks.write_table(fixtures.dim_enterprise(spark, sf_dir), f"{out}/dim_enterprise")
-    sinks.write_table(fixtures.dim_address(spark, sf_dir), f"{out}/dim_address")
-    sinks.write_table(fixtures.dim_activity(spark, sf_dir), f"{out}/dim_activity")
-    sinks.write_table(fixtures.dim_nace_mapping(spark), f"{out}/dim_nace_mapping")
-    sinks.write_table(fixtures.macro(spark), f"{out}/macro")
+    sinks.replace_table(fixtures.dim_enterprise(spark, sf_dir), f"{out}/dim_enterprise")
+    sinks.replace_table(fixtures.dim_address(spark, sf_dir), f"{out}/dim_address")
+    sinks.replace_table(fixtures.dim_activity(spark, sf_dir), f"{out}/dim_activity")
+    sinks.replace_table(fixtures.dim_nace_mapping(spark), f"{out}/dim_nace_mapping")
+    sinks.replace_table(fixtures.macro(spark), f"{out}/macro")
 
 
 def staging_job(spark: SparkSession, tables: str, out: str, lo: int = codes.SCAN_YEAR_MIN,
                 hi: int = codes.SCAN_YEAR_MAX) -> None:
     """Filings (year-partitioned; only lo..hi folders are read) + dimensions -> staging table."""
     filings = accounts.scan_years(loaders.read_filings(spark, f"{tables}/filings"), lo, hi)
-    s = staging.staging_master(filings, spark.read.parquet(f"{tables}/dim_enterprise"),
-                               spark.read.parquet(f"{tables}/dim_address"),
-                               spark.read.parquet(f"{tables}/dim_activity"))
-    sinks.write_staging(s, out)
+    s = staging.staging_master(filings, sinks.read_table(spark, f"{tables}/dim_enterprise"),
+                               sinks.read_table(spark, f"{tables}/dim_address"),
+                               sinks.read_table(spark, f"{tables}/dim_activity"))
+    sinks.replace_staging(s, out)
 
 
 def training_job(spark: SparkSession, staging_path: str, out: str) -> None:
     """The 62-column training table plus the lagged model type (an optional model input)."""
-    sinks.write_table(features.training_dataset(spark.read.parquet(staging_path), extra=models.EXTRA_LAGS), out)
+    sinks.replace_table(features.training_dataset(sinks.read_table(spark, staging_path), extra=models.EXTRA_LAGS), out)
 
 
 def models_job(spark: SparkSession, training_path: str, nace_path: str, out: str,
                macro_path: str | None = None) -> DataFrame:
     """Unsegmented, per-segment and per-cluster boosted trees plus baselines; metrics table."""
-    t = spark.read.parquet(training_path).withColumn(
+    t = sinks.read_table(spark, training_path).withColumn(
         "nace_primary_division", F.substring(F.replace("nace_primary_code", F.lit("."), F.lit("")), 1, 2))
-    t = segments.with_sector(t, spark.read.parquet(nace_path)).drop("nace_primary_division")
-    train, test = models.splits(t, macro=spark.read.parquet(macro_path) if macro_path else None)
+    t = segments.with_sector(t, sinks.read_table(spark, nace_path)).drop("nace_primary_division")
+    train, test = models.splits(t, macro=sinks.read_table(spark, macro_path) if macro_path else None)
     best, _ = models.search(train, models.draw_params(10))
     parts = [models.evaluate(models.fit(train, models.gbt(best)), test, "gbt_all")]
     keys = ["sector", "company_segment"]
@@ -70,8 +71,8 @@ def models_job(spark: SparkSession, training_path: str, nace_path: str, out: str
     out_df = parts[0]
     for p in parts[1:]:
         out_df = out_df.unionByName(p)
-    sinks.write_table(out_df, out)
-    return spark.read.parquet(out)
+    sinks.replace_table(out_df, out)
+    return sinks.read_table(spark, out)
 
 
 def main(argv: list[str] | None = None) -> None:

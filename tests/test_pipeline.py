@@ -7,6 +7,7 @@ import pytest
 
 from kredo.plans import pipeline
 from kredo.plans.catalog import Inputs
+from kredo.sources import sinks
 
 
 def test_jobs_through_written_tables(spark, sf_dir):
@@ -14,11 +15,12 @@ def test_jobs_through_written_tables(spark, sf_dir):
     pipeline.write_fixture_tables(spark, sf_dir, f"{root}/tables")
     pipeline.staging_job(spark, f"{root}/tables", f"{root}/staging")
     pipeline.training_job(spark, f"{root}/staging", f"{root}/training")
-    years = sorted(x for x in os.listdir(f"{root}/staging") if x.startswith("accounting_year="))
+    staged = sinks.read_table(spark, f"{root}/staging")
+    version, = {f.split("/accounting_year=")[0] for f in staged.inputFiles()}
+    years = sorted(x for x in os.listdir(version.removeprefix("file:").replace("///", "/")) if x.startswith("accounting_year="))
     assert years == [f"accounting_year={y}" for y in range(2020, 2026)]
-    staged = spark.read.parquet(f"{root}/staging")
     assert staged.count() == Inputs(spark, sf_dir).staging().count()
-    training = spark.read.parquet(f"{root}/training")
+    training = sinks.read_table(spark, f"{root}/training")
     assert len(training.columns) == 63                 # 62 columns + the lagged model type
     want = Inputs(spark, sf_dir).training()
     assert training.drop("raw_model_type_y2").exceptAll(want).count() == 0
@@ -38,9 +40,9 @@ def test_dimension_ingest_and_compact_jobs(spark, capsys):
     with pytest.warns(UserWarning, match="dim_address: date columns not in the header: DateStrikingOff"):
         pipeline.main(["dimensions", "--csv", f"{root}/csv", "--out", f"{root}/tables"])
     assert "dim_enterprise: 2 rows" in capsys.readouterr().out
-    row = spark.read.parquet(f"{root}/tables/dim_code").first()
-    assert row["Code"] == 'a "b", c\\' and spark.read.parquet(f"{root}/tables/dim_code").count() == 2
-    assert spark.read.parquet(f"{root}/tables/dim_address").first()["DateStrikingOff"] is None
+    row = sinks.read_table(spark, f"{root}/tables/dim_code").first()
+    assert row["Code"] == 'a "b", c\\' and sinks.read_table(spark, f"{root}/tables/dim_code").count() == 2
+    assert sinks.read_table(spark, f"{root}/tables/dim_address").first()["DateStrikingOff"] is None
 
     rows = [filing(f"R{k}", str(k), "2021-12-31", rubrics=healthy()) for k in range(4)]
     rows[0]["EndDate"] = ""
@@ -73,5 +75,5 @@ def test_models_job(spark, sf_dir, monkeypatch):
     largest = models.top_groups
     monkeypatch.setattr(models, "top_groups", lambda df, keys: largest(df, keys, 1))
     pipeline.main(["models", "--training", f"{root}/training", "--nace", f"{root}/nace", "--out", f"{root}/metrics"])
-    names = {r["model"].split("_")[0] for r in spark.read.parquet(f"{root}/metrics").collect()}
+    names = {r["model"].split("_")[0] for r in sinks.read_table(spark, f"{root}/metrics").collect()}
     assert names == {"gbt", "logreg", "random"}
