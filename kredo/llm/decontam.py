@@ -4,12 +4,14 @@ Texts are read as lower-cased words of letters and digits and as shingles of fiv
 item length a window of that many shingles slides over each whole document.  A window can reach the
 similarity only if enough of its shingles occur in some item, so only such windows get a SimHash
 fingerprint.  Item fingerprints are indexed by blocks of bits: with b blocks, a fingerprint within
-the radius agrees in some block up to radius // b bits, so looking up all block values that near
-finds every item of that length within the radius.  What is found is verified by the exact weighted
+the radius agrees in some block up to radius // b bits.  Each item is entered once a block; a window
+looks up all values that near its own and so finds every item of that length within the radius.  What is found is verified by the exact weighted
 Jaccard similarity of the two shingle multisets.
 
-The items are a stated query set.  They reach the tasks in blocks of bounded bytes, one pass over
-the documents a block; nothing is shuffled.
+The items are a stated query set.  They reach the tasks in blocks whose index has a bounded number of
+bytes, one pass over the documents a block; nothing is shuffled.  A Python worker builds the index
+from the block's texts and keeps the last one.  With several blocks the results of each are written
+before the next is fetched, so the driver and a worker hold one block.
 
 Defined results: texts or items without a word match nothing; an item of fewer than five words is one
 shingle of all its words; a text shorter than an item is one window; repeated rows and repeated items
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import math
+import uuid
 from collections import defaultdict
 from dataclasses import dataclass
 from itertools import combinations
@@ -30,15 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kredo.llm import ngrams
-from kredo.llm.common import arrow_rows, id_and_text
+from kredo.llm.common import arrow_rows, id_and_text, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bits that the fingerprints of similar windows may differ in, and index blocks.  At the least
 #: similarity equal-sized windows share 8/9 of their shingles: about 10 of 64 bits differ, 24 are
 #: five standard deviations away.
 RADIUS, BLOCKS = 24, 8
-#: Bytes of item texts that are handed to the tasks at once.
-ITEM_BYTES = 16 << 20
+#: Bytes that the index of a block of items may have (``index_bytes`` bounds them before it is built).
+INDEX_BYTES = 128 << 20
 
 SCHEMA = "doc_id long, item_id long, start_word long, n_words long, distance int, similarity double"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start_word", pa.int64()),
@@ -81,38 +84,77 @@ def fingerprint_of(ones: np.ndarray, n) -> np.ndarray:
     return np.ascontiguousarray(packed).view(">u8").reshape(-1).astype(np.uint64)
 
 
+@functools.cache
+def near_masks(width: int, bits: int) -> np.ndarray:
+    """All values of ``width`` bits with at most ``bits`` set."""
+    return np.asarray([sum(1 << b for b in c) for k in range(bits + 1) for c in combinations(range(width), k)], np.uint64)
+
+
 class BlockIndex:
-    """Which of some fingerprints lie within ``radius`` bits of a query, by tables of block values."""
+    """Which of some fingerprints lie within ``radius`` bits of a query.
+
+    One sorted array holds (block, value) of every fingerprint, another its number: 6 bytes a block with
+    the default blocks.  The query enumerates the near values, not the index.
+    """
 
     def __init__(self, fingerprints: np.ndarray, radius: int = RADIUS, blocks: int = BLOCKS):
-        self.fingerprints, self.radius, self.blocks, self.width = fingerprints, radius, blocks, 64 // blocks
-        masks = [sum(1 << b for b in c) for k in range(radius // blocks + 1) for c in combinations(range(self.width), k)]
-        self.tables: list[dict[int, list[int]]] = []
-        for k in range(blocks):
-            table = defaultdict(list)
-            for i, fp in enumerate(fingerprints):
-                value = int(fp) >> (k * self.width) & ((1 << self.width) - 1)
-                for m in masks:
-                    table[value ^ m].append(i)
-            self.tables.append(dict(table))
+        self.fingerprints, self.radius = np.asarray(fingerprints, np.uint64), radius
+        width = 64 // blocks
+        self.masks = near_masks(width, radius // blocks)
+        self.shifts = np.arange(blocks, dtype=np.uint64) * np.uint64(width)
+        self.low, self.tags = np.uint64((1 << width) - 1), np.arange(blocks, dtype=np.uint64) << np.uint64(width)
+        keys = self.values(self.fingerprints[:, None]) | self.tags
+        order = np.argsort(keys, axis=None, kind="stable")
+        self.keys = keys.ravel()[order].astype(np.min_scalar_type((blocks << width) - 1))
+        self.numbers = (order // blocks).astype(np.int32)
+
+    def values(self, fingerprints):
+        return fingerprints >> self.shifts & self.low
+
+    @property
+    def nbytes(self) -> int:
+        return self.fingerprints.nbytes + self.keys.nbytes + self.numbers.nbytes
 
     def near(self, fp: int) -> list[tuple[int, int]]:
-        """(number, distance) of every fingerprint within the radius."""
-        seen = set()
-        for k, table in enumerate(self.tables):
-            seen.update(table.get(fp >> (k * self.width) & ((1 << self.width) - 1), ()))
-        found = ((i, (int(self.fingerprints[i]) ^ fp).bit_count()) for i in sorted(seen))
-        return [(i, d) for i, d in found if d <= self.radius]
+        """(number, distance) of every fingerprint within the radius, by number."""
+        fp = np.uint64(fp)
+        wanted = (self.values(fp)[:, None] ^ self.masks | self.tags[:, None]).ravel().astype(self.keys.dtype)
+        lo, hi = np.searchsorted(self.keys, wanted, "left"), np.searchsorted(self.keys, wanted, "right")
+        n = hi - lo
+        seen = np.zeros(self.fingerprints.size, bool)
+        seen[self.numbers[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]] = True
+        at = np.flatnonzero(seen)
+        distance = np.bitwise_count(self.fingerprints[at] ^ fp)
+        inside = distance <= self.radius
+        return list(zip(at[inside].tolist(), distance[inside].tolist()))
+
+
+def multiset(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted values and their counts."""
+    values, counts = np.unique(hashes, return_counts=True)
+    return values, counts.astype(np.int32)
 
 
-def multiset(hashes: np.ndarray) -> dict[int, int]:
-    values, counts = np.unique(hashes, return_counts=True)
-    return dict(zip(values.tolist(), counts.tolist()))
+def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    at = np.minimum(np.searchsorted(b[0], a[0]), b[0].size - 1)
+    both = int(np.minimum(a[1], b[1][at])[b[0][at] == a[0]].sum())
+    return both / (int(a[1].sum()) + int(b[1].sum()) - both)
 
 
-def weighted_jaccard(a: dict[int, int], b: dict[int, int]) -> float:
-    both = sum(min(n, b[x]) for x, n in a.items() if x in b)
-    return both / (sum(a.values()) + sum(b.values()) - both)
+class Multisets:
+    """The multisets of many items in three arrays: values, counts and where each item begins."""
+
+    def __init__(self, sets: list[tuple[np.ndarray, np.ndarray]]):
+        self.values, self.counts = np.concatenate([v for v, _ in sets]), np.concatenate([c for _, c in sets])
+        self.ends = np.cumsum([0, *(v.size for v, _ in sets)])
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        part = slice(self.ends[i], self.ends[i + 1])
+        return self.values[part], self.counts[part]
+
+    @property
+    def nbytes(self) -> int:
+        return self.values.nbytes + self.counts.nbytes + self.ends.nbytes
 
 
 @dataclass
@@ -121,7 +163,7 @@ class Length:
 
     size: int
     items: list
-    sets: list[dict[int, int]]
+    sets: Multisets
     index: BlockIndex
 
 
@@ -140,7 +182,7 @@ class Items:
         known = defaultdict(list)
         for (k, size), items in sorted(groups.items()):
             fps = fingerprint_of(np.stack([bit_rows(s).sum(axis=0, dtype=np.int64) for _, s in items]), size)
-            self.sizes[k].append(Length(size, [i for i, _ in items], [multiset(s) for _, s in items], BlockIndex(fps)))
+            self.sizes[k].append(Length(size, [i for i, _ in items], Multisets([multiset(s) for _, s in items]), BlockIndex(fps)))
             known[k] += [s for _, s in items]
         self.known = {k: np.unique(np.concatenate(s)) for k, s in known.items()}
         self.rough = {}
@@ -148,6 +190,12 @@ class Items:
             self.rough[k] = np.zeros(1 << 20, bool)
             self.rough[k][(values & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
+    @property
+    def nbytes(self) -> int:
+        """Of all arrays that grow with the items."""
+        return (sum(v.nbytes for v in self.known.values())
+                + sum(x.sets.nbytes + x.index.nbytes for lengths in self.sizes.values() for x in lengths))
+
     def hits(self, shingles: np.ndarray, k: int) -> np.ndarray:
         """Which shingles occur in some item."""
         out = self.rough[k][(shingles & np.uint64((1 << 20) - 1)).astype(np.int64)]
@@ -178,7 +226,7 @@ class Items:
     @staticmethod
     def verify(shingles, k: int, length: Length, size: int, starts: np.ndarray):
         best: dict[int, tuple] = {}
-        sets: dict[int, dict] = {}
+        sets: dict[int, tuple] = {}
         for group in np.split(starts, np.flatnonzero(np.diff(starts) > size) + 1):
             lo = int(group[0])
             ones = np.concatenate((np.zeros((1, 64), np.int64), np.cumsum(
@@ -194,45 +242,73 @@ class Items:
         yield from best.values()
 
 
+def index_bytes(text):
+    """At least the bytes of an item's entries in the index: a shingle a word, a word for every second character at most,
+    20 bytes a shingle (its value, count, and place among the known), and 64 bytes of blocks, number and offset."""
+    return 96 + 10 * F.octet_length(text)
+
+
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"):
-    """The items in lists of about ITEM_BYTES bytes of text."""
+    """Lists of items whose index has about INDEX_BYTES bytes or less.  Equal items share a block."""
     items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
     items = items.where(F.col("text").isNotNull())
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // ITEM_BYTES))
+    total = items.agg(F.sum(index_bytes("text"))).first()[0] or 0
+    n = max(1, -(-total // INDEX_BYTES))
     for k in range(n):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
-        yield sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        yield k + 1 == n, sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+
+
+_built: tuple = (None, None)
+
+
+def built(key: str, rows: list[tuple]) -> Items:
+    """The index of a block, built once a Python worker; the last one is kept."""
+    global _built
+    if _built[0] != key:
+        _built = (None, None)                   # the old one goes before the new one is built
+        _built = (key, Items(rows))
+    return _built[1]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, item_id and the best window of every item that a document holds."""
-    def find(items: Items):
+    def find(block: list[tuple]):
+        key = uuid.uuid4().hex
+
         def run(batches):
             def rows():
                 for batch in batches:
+                    items = built(key, block)
                     for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                         for match in items.matches(text.as_py()):
                             yield (doc_id, *match)
             yield from arrow_rows(rows(), _ARROW)
         return run
 
-    rows = id_and_text(docs, id_col, text_col)
-    parts = [rows.mapInArrow(find(Items(block)), SCHEMA) for block in item_blocks(benchmark)]
+    rows, parts = id_and_text(docs, id_col, text_col), []
+    for last, block in item_blocks(benchmark):
+        found = rows.mapInArrow(find(block), SCHEMA)
+        parts.append(found if last and not parts else written(found, "contaminated"))
     return functools.reduce(DataFrame.unionAll, parts)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns; nothing is shuffled."""
+    """The rows of ``docs`` that hold no item, with all their columns; nothing is shuffled.  With several blocks of
+    items the rows that are left are written after each block but the last."""
     at = docs.columns.index(text_col)
 
-    def without(items: Items):
+    def without(block: list[tuple]):
+        key = uuid.uuid4().hex
+
         def run(batches):
             for batch in batches:
+                items = built(key, block)
                 clean = [next(items.matches(t.as_py()), None) is None for t in batch.column(at)]
                 yield batch.filter(pa.array(clean, pa.bool_()))
         return run
 
-    for block in item_blocks(benchmark):
-        docs = docs.mapInArrow(without(Items(block)), docs.schema)
+    for last, block in item_blocks(benchmark):
+        docs = docs.mapInArrow(without(block), docs.schema)
+        docs = docs if last else written(docs, "decontaminated")
     return docs

@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from kredo.llm import decontam
 from tests.llm.tables import awkward, nothing
 
@@ -78,7 +80,22 @@ def test_index_returns_all_within_the_radius():
 
 
 def test_items_come_in_blocks_of_bounded_bytes(spark, monkeypatch):
-    monkeypatch.setattr(decontam, "ITEM_BYTES", 40)
     bench = items(spark, [(k, f"{ITEM} {k}") for k in range(6)])
+    docs = spark.createDataFrame([(k, f"before {ITEM} {k} after", "x") for k in range(6)] + [(9, "clean text", "x")],
+                                 "doc_id long, text string, extra string")
+    whole, kept = found(docs, bench), decontam.drop_contaminated(docs, bench).collect()
+    assert {(k, k) for k in range(6)} <= whole and [r["doc_id"] for r in kept] == [9]
+    monkeypatch.setattr(decontam, "INDEX_BYTES", 3000)
     blocks = list(decontam.item_blocks(bench))
-    assert len(blocks) > 1 and sorted(i for b in blocks for i, _ in b) == list(range(6))
+    assert len(blocks) > 1 and sorted(i for _, b in blocks for i, _ in b) == list(range(6))
+    assert [last for last, _ in blocks] == [False] * (len(blocks) - 1) + [True]
+    assert found(docs, bench) == whole
+    assert decontam.drop_contaminated(docs, bench).collect() == kept
+
+
+def test_index_bytes_are_bounded_before_it_is_built(spark):
+    rng = random.Random(4)
+    rows = [(k, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 90)))) for k in range(3000)]
+    rows += [(k, " ".join(f"word{rng.randrange(9999)}" for _ in range(rng.randint(1, 90)))) for k in range(3000, 6000)]
+    bound = items(spark, rows).agg(F.sum(decontam.index_bytes("text"))).first()[0]
+    assert decontam.Items(rows).nbytes <= bound
