@@ -5,7 +5,8 @@ item length a window of that many shingles slides over each whole document.  A w
 similarity only if enough of its shingles occur in some item, so only such windows get a SimHash
 fingerprint.  Item fingerprints are indexed by blocks of bits: with b blocks, a fingerprint within
 the radius agrees in some block up to radius // b bits.  Each item is entered once a block; a window
-looks up all values that near its own and so finds every item of that length within the radius.  What is found is verified by the exact weighted
+looks up all values that near its own and so finds every item of that length within the radius.  What
+is found is verified by the exact weighted
 Jaccard similarity of the two shingle multisets.
 
 The items are a stated query set.  They reach the tasks in blocks whose index has a bounded number of
@@ -93,8 +94,8 @@ def near_masks(width: int, bits: int) -> np.ndarray:
 class BlockIndex:
     """Which of some fingerprints lie within ``radius`` bits of a query.
 
-    One sorted array holds (block, value) of every fingerprint, another its number: 6 bytes a block with
-    the default blocks.  The query enumerates the near values, not the index.
+    One array holds the fingerprints' numbers sorted by (block, value), another where each value begins: with
+    the default blocks 32 bytes a fingerprint and 8 KiB in all.  The query enumerates the near values, not the index.
     """
 
     def __init__(self, fingerprints: np.ndarray, radius: int = RADIUS, blocks: int = BLOCKS):
@@ -103,30 +104,37 @@ class BlockIndex:
         self.masks = near_masks(width, radius // blocks)
         self.shifts = np.arange(blocks, dtype=np.uint64) * np.uint64(width)
         self.low, self.tags = np.uint64((1 << width) - 1), np.arange(blocks, dtype=np.uint64) << np.uint64(width)
-        keys = self.values(self.fingerprints[:, None]) | self.tags
-        order = np.argsort(keys, axis=None, kind="stable")
-        self.keys = keys.ravel()[order].astype(np.min_scalar_type((blocks << width) - 1))
-        self.numbers = (order // blocks).astype(np.int32)
+        keys = self.keys(self.fingerprints).ravel()
+        self.numbers = (np.argsort(keys, kind="stable") // blocks).astype(np.int32)
+        self.begins = np.zeros((blocks << width) + 1, np.int32)
+        np.cumsum(np.bincount(keys.astype(np.int64), minlength=blocks << width), out=self.begins[1:])
 
-    def values(self, fingerprints):
-        return fingerprints >> self.shifts & self.low
+    def keys(self, fingerprints: np.ndarray) -> np.ndarray:
+        """A row a fingerprint: its value in each block, with the block's number above it."""
+        return fingerprints[:, None] >> self.shifts & self.low | self.tags
 
     @property
     def nbytes(self) -> int:
-        return self.fingerprints.nbytes + self.keys.nbytes + self.numbers.nbytes
-
-    def near(self, fp: int) -> list[tuple[int, int]]:
-        """(number, distance) of every fingerprint within the radius, by number."""
-        fp = np.uint64(fp)
-        wanted = (self.values(fp)[:, None] ^ self.masks | self.tags[:, None]).ravel().astype(self.keys.dtype)
-        lo, hi = np.searchsorted(self.keys, wanted, "left"), np.searchsorted(self.keys, wanted, "right")
-        n = hi - lo
-        seen = np.zeros(self.fingerprints.size, bool)
-        seen[self.numbers[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]] = True
-        at = np.flatnonzero(seen)
-        distance = np.bitwise_count(self.fingerprints[at] ^ fp)
-        inside = distance <= self.radius
-        return list(zip(at[inside].tolist(), distance[inside].tolist()))
+        return self.fingerprints.nbytes + self.numbers.nbytes + self.begins.nbytes
+
+    def near(self, queries: np.ndarray):
+        """(query's number, number, distance) of all fingerprints within the radius, in this order."""
+        n = self.fingerprints.size
+        step = max(1, min(256, (1 << 20) // n))
+        for first in range(0, queries.size, step):
+            part = queries[first:first + step]
+            wanted = (self.keys(part)[:, :, None] ^ self.masks).reshape(part.size, -1).astype(np.int64)
+            begin = self.begins[wanted]
+            many = self.begins[wanted + 1] - begin
+            query, at = np.nonzero(many)
+            many, begin = many[query, at], begin[query, at]
+            seen = np.zeros((part.size, n), bool)
+            places = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum())
+            seen[np.repeat(query, many), self.numbers[places]] = True
+            query, number = np.nonzero(seen)
+            distance = np.bitwise_count(self.fingerprints[number] ^ part[query])
+            inside = distance <= self.radius
+            yield from zip((query[inside] + first).tolist(), number[inside].tolist(), distance[inside].tolist())
 
 
 def multiset(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,19 +240,20 @@ class Items:
             ones = np.concatenate((np.zeros((1, 64), np.int64), np.cumsum(
                 bit_rows(shingles[lo:int(group[-1]) + size]), axis=0, dtype=np.int64)))
             at = group - lo
-            for start, fp in zip(group.tolist(), fingerprint_of(ones[at + size] - ones[at], size).tolist()):
-                for i, distance in length.index.near(fp):
-                    if start not in sets:
-                        sets = {start: multiset(shingles[start:start + size])}
-                    s = weighted_jaccard(sets[start], length.sets[i])
-                    if s >= SIMILARITY and (i not in best or s > best[i][-1]):
-                        best[i] = (length.items[i], start, size + k - 1, distance, s)
+            for q, i, distance in length.index.near(fingerprint_of(ones[at + size] - ones[at], size)):
+                start = int(group[q])
+                if start not in sets:
+                    sets = {start: multiset(shingles[start:start + size])}
+                s = weighted_jaccard(sets[start], length.sets[i])
+                if s >= SIMILARITY and (i not in best or s > best[i][-1]):
+                    best[i] = (length.items[i], start, size + k - 1, distance, s)
         yield from best.values()
 
 
 def index_bytes(text):
     """At least the bytes of an item's entries in the index: a shingle a word, a word for every second character at most,
-    20 bytes a shingle (its value, count, and place among the known), and 64 bytes of blocks, number and offset."""
+    20 bytes a shingle (its value, count, and place among the known), and 48 bytes of fingerprint, blocks and offset.  What
+    is left pays for the 8 KiB of a length once it has many items."""
     return 96 + 10 * F.octet_length(text)
 
 

@@ -73,10 +73,11 @@ def test_index_returns_all_within_the_radius():
     fps = np.asarray([rng.getrandbits(64) for _ in range(200)], np.uint64)
     for radius, blocks in ((24, 8), (10, 8), (3, 4)):
         index = decontam.BlockIndex(fps, radius, blocks)
-        for _ in range(60):
-            q = int(fps[rng.randrange(200)]) ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, radius + 3)))
-            want = [(i, (int(f) ^ q).bit_count()) for i, f in enumerate(fps) if (int(f) ^ q).bit_count() <= radius]
-            assert index.near(q) == want
+        queries = [int(fps[rng.randrange(200)]) ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, radius + 3)))
+                   for _ in range(300)]
+        want = [(k, i, (int(f) ^ q).bit_count()) for k, q in enumerate(queries) for i, f in enumerate(fps)
+                if (int(f) ^ q).bit_count() <= radius]
+        assert list(index.near(np.asarray(queries, np.uint64))) == want
 
 
 def test_items_come_in_blocks_of_bounded_bytes(spark, monkeypatch):
