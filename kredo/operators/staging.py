@@ -216,6 +216,11 @@ def staging_with_key(filings: DataFrame, dim_enterprise: DataFrame, dim_address:
         acc = preferred_with_financials(filings)
     else:
         acc = accounts_with_financials(accounts.preferred_accounts(filings), fold=(mode == "fold"))
+    return with_dimensions(acc, dim_enterprise, dim_address, dim_activity)
+
+
+def with_dimensions(acc: DataFrame, dim_enterprise: DataFrame, dim_address: DataFrame, dim_activity: DataFrame) -> DataFrame:
+    """Staging rows (with the clean number) of preferred filings that carry their sums."""
     key = "clean_enterprise_number"
     ent = dimensions.clean_enterprise(dim_enterprise).select(key, "JuridicalSituation", "Status")
     act = dimensions.pivoted_activities(dim_activity).select(
