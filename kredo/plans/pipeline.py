@@ -6,11 +6,13 @@
     python -m kredo.plans.pipeline training --staging <shared>/staging --out <shared>/training
     python -m kredo.plans.pipeline models   --training <shared>/training --nace <shared>/tables/dim_nace_mapping --out <shared>/metrics
     python -m kredo.plans.pipeline ingest   --landing <shared>/landing --out <shared>/filings_stream
+    python -m kredo.plans.pipeline refresh  --stream <shared>/filings_stream --tables <shared>/tables --out <shared>/current
     python -m kredo.plans.pipeline compact  --stream <shared>/filings_stream --out <shared>/filings_bucketed
 
 Each job reads written tables and writes one table, so a lost executor costs
 at most a stage retry and a failed job restarts from the last written table.
-Tables are replaced whole (``sinks.replace_table``): read them with ``sinks.read_table``.
+Tables are replaced whole (``sinks.replace_table``): read them with ``sinks.read_table``.  ``refresh`` merges
+the batches that ``ingest`` has written since; read its tables with ``sinks.read_cells``.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kredo.functions import codes
-from kredo.operators import accounts, features, models, segments, staging
+from kredo.operators import accounts, features, incremental, models, segments, staging
 from kredo.session import ensure_checkpoint_dir
 from kredo.sources import fixtures, loaders, sinks
 
@@ -51,6 +53,24 @@ def training_job(spark: SparkSession, staging_path: str, out: str) -> None:
     sinks.replace_table(features.training_dataset(sinks.read_table(spark, staging_path), extra=models.EXTRA_LAGS), out)
 
 
+def refresh_job(spark: SparkSession, sink: str, tables: str, out: str, buckets: int = 64) -> list[int]:
+    """Ingested batches that the staging and training tables do not hold yet, oldest first; returns their numbers.
+
+    Batch numbers are collected (one a micro-batch), not filings.  The last batch taken in is taken in again: a run
+    that failed may have written its sums only.
+    """
+    landed = spark.read.parquet(sink)
+    numbers = sorted(r[0] for r in landed.select("batch").distinct().collect())
+    done = sorted(r[0] for r in spark.read.parquet(f"{out}/sums").select("batch").distinct().collect()) \
+        if sinks.read_cells(spark, f"{out}/staging") is not None else []
+    todo = [n for n in numbers if n not in done[:-1]]
+    dims = [sinks.read_table(spark, f"{tables}/{t}") for t in ("dim_enterprise", "dim_address", "dim_activity")]
+    for n in todo:
+        filings = landed.where((F.col("kind") == "filing") & (F.col("batch") == n)).drop("batch", "kind", "line")
+        incremental.refresh(spark, out, n, filings, *dims, buckets=buckets, extra=models.EXTRA_LAGS)
+    return todo
+
+
 def models_job(spark: SparkSession, training_path: str, nace_path: str, out: str,
                macro_path: str | None = None) -> DataFrame:
     """Unsegmented, per-segment and per-cluster boosted trees plus baselines; metrics table."""
@@ -58,7 +78,9 @@ def models_job(spark: SparkSession, training_path: str, nace_path: str, out: str
         "nace_primary_division", F.substring(F.replace("nace_primary_code", F.lit("."), F.lit("")), 1, 2))
     t = segments.with_sector(t, sinks.read_table(spark, nace_path)).drop("nace_primary_division")
     train, test = models.splits(t, macro=sinks.read_table(spark, macro_path) if macro_path else None)
-    best, _ = models.search(train, models.draw_params(10))
+    number, trials = models.search_tpe(train, trials=10)
+    found = trials.where(F.col("trial") == number).first()                  # one row
+    best = models.GbtParams(found["max_depth"], found["step_size"], found["subsample"], found["colsample"])
     parts = [models.evaluate(models.fit(train, models.gbt(best)), test, "gbt_all")]
     keys = ["sector", "company_segment"]
     parts.append(models.per_group_metrics(train, test, keys, models.top_groups(train, keys), best, "gbt_segment_"))
@@ -77,7 +99,7 @@ def models_job(spark: SparkSession, training_path: str, nace_path: str, out: str
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="kredo")
-    ap.add_argument("job", choices=["fixtures", "dimensions", "staging", "training", "models", "ingest", "compact"])
+    ap.add_argument("job", choices=["fixtures", "dimensions", "staging", "training", "models", "ingest", "compact", "refresh"])
     ap.add_argument("--landing")
     ap.add_argument("--csv")
     ap.add_argument("--stream")
@@ -101,6 +123,8 @@ def main(argv: list[str] | None = None) -> None:
         staging_job(spark, a.tables, a.out)
     elif a.job == "training":
         training_job(spark, a.staging, a.out)
+    elif a.job == "refresh":
+        print("batches:", *refresh_job(spark, f"{a.stream}/filings", a.tables, a.out, a.buckets))
     elif a.job == "compact":
         from kredo.streaming import ingest
         ingest.compact(spark, f"{a.stream}/filings", "filings", a.out, a.buckets)
