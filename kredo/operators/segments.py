@@ -194,3 +194,42 @@ def category_mix(df: DataFrame, cluster: str, category: str) -> DataFrame:
     g = df.groupBy(cluster, category).agg(F.count(F.lit(1)).alias("n"))
     return g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(cluster)))
 
+
+# ---------------------------------------------------------------- one step of Lloyd's iteration
+
+def standardised(rows: DataFrame, features: list[str]) -> DataFrame:
+    """Features less their mean, by their deviation; 0 where that is 0 or the value is missing (one aggregate, one row)."""
+    row = rows.agg(*[F.avg(c).alias(f"m_{c}") for c in features], *[F.stddev_pop(c).alias(f"s_{c}") for c in features]).first()
+    one = lambda c: F.coalesce((F.col(c) - row[f"m_{c}"]) / row[f"s_{c}"], F.lit(0.0)) if row[f"s_{c}"] else F.lit(0.0)
+    return rows.withColumns({c: one(c) for c in features})
+
+
+def lloyd_step(rows: DataFrame, cluster: str, features: list[str]) -> DataFrame:
+    """Rows with ``nearest``, the cluster whose mean is nearest (the smaller of equals), and its squared ``distance``.
+
+    The means of the given clusters are the centres: one aggregate, one row a cluster.  An assignment that the step
+    leaves as it is is a fixed point of k-means; rows without a cluster move no centre but get a nearest one.
+    Features must not be NULL.
+    """
+    means = rows.where(F.col(cluster).isNotNull()).groupBy(cluster).agg(*[F.avg(c).alias(c) for c in features]).collect()
+    means = sorted(means, key=lambda r: r[cluster])
+    if not means:
+        return rows.withColumns({"nearest": F.col(cluster), "distance": F.lit(None).cast("double")})
+    x = F.array(*features)
+    apart = F.transform(F.lit([[float(r[c]) for c in features] for r in means]), lambda m: F.aggregate(
+        F.zip_with(x, m, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, d: total + d))
+    least = F.array_min("_apart")
+    names = F.lit([r[cluster] for r in means])
+    kind = rows.schema[cluster].dataType
+    return (rows.withColumn("_apart", apart)
+                .withColumns({"nearest": F.element_at(names, F.array_position("_apart", least).cast("int")).cast(kind), "distance": least})
+                .drop("_apart"))
+
+
+def step_facts(assigned: DataFrame, cluster: str) -> DataFrame:
+    """A row a nearest cluster: members, their share of all rows, how many came from another one, and the logarithm of
+    1 and their squared distances.  Raw ratios show the collapse: one cluster holds nearly all rows."""
+    per = assigned.groupBy(F.col("nearest").alias("cluster")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum((~F.col("nearest").eqNullSafe(F.col(cluster))).cast("bigint")).alias("moved"),
+        F.round(F.log1p(F.sum("distance")), 6).alias("log_inertia"))
+    return per.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))

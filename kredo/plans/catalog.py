@@ -420,8 +420,8 @@ def q_sector_trend(spark, d):
 _WINSOR_FEATURES = ["roa_y2", "solvency_y2", "liquidity_custom_y2", "debt_to_equity_y2", "ccf_revenue_y2"]
 
 
-def _winsor_sql(body: str) -> str:
-    """``body`` over q(feature, n, p99): the interpolated p99 from the values' ranks."""
+def _winsor_sql(body: str, more: str = "") -> str:
+    """``body`` over q(feature, n, p99): the interpolated p99 from the values' ranks.  ``more``: further tables."""
     union = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM training WHERE {c} IS NOT NULL"
                                for c in _WINSOR_FEATURES)
     return W(body, extra=f"""
@@ -431,7 +431,7 @@ r AS (SELECT feature, x, row_number() OVER (PARTITION BY feature ORDER BY x) - 1
 p AS (SELECT DISTINCT feature, n, CAST(0.99 AS DOUBLE) * (n - 1) AS pos FROM r),
 q AS (SELECT p.feature, p.n, lo.x + (hi.x - lo.x) * (p.pos - floor(p.pos)) AS p99
       FROM p JOIN r lo ON lo.feature = p.feature AND lo.rk = CAST(floor(p.pos) AS BIGINT)
-             JOIN r hi ON hi.feature = p.feature AND hi.rk = CAST(ceil(p.pos) AS BIGINT))""")
+             JOIN r hi ON hi.feature = p.feature AND hi.rk = CAST(ceil(p.pos) AS BIGINT)){more}""")
 
 
 @register("winsorize_p99", _winsor_sql("SELECT feature, n, p99 FROM q"))
@@ -452,6 +452,37 @@ def q_winsorized_features(spark, d):
     return segments.winsorize(t, _WINSOR_FEATURES).select("enterprise_number", "target_year_y3", *_WINSOR_FEATURES)
 
 
+def _each_feature(form: str) -> str:
+    return ", ".join(f"{form.format(c=c, cap=_CAPS[c])} AS {c}" for c in _WINSOR_FEATURES)
+
+
+@register("kmeans_step", _winsor_sql("""
+SELECT variant, cluster, count(*) AS n, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY variant) AS share,
+       CAST(count(*) FILTER (was <> cluster) AS BIGINT) AS moved, round(ln(1 + sum(apart)), 6) AS log_inertia
+FROM near GROUP BY variant, cluster""", f""",
+{_LAB},
+w AS (SELECT 'raw' AS variant, enterprise_number AS e, target_year_y3 AS y, rule_cluster AS was, {_each_feature("COALESCE({c}, 0)")} FROM lab
+      UNION ALL SELECT 'capped', enterprise_number, target_year_y3, rule_cluster,
+                       {_each_feature("CASE WHEN {c} > {cap} THEN {cap} ELSE {c} END")} FROM lab),
+z AS (SELECT variant, e, y, was, {_each_feature(
+    "CASE WHEN variant = 'raw' THEN {c} ELSE COALESCE(({c} - avg({c}) OVER (PARTITION BY variant)) / "
+    "NULLIF(stddev_pop({c}) OVER (PARTITION BY variant), 0), 0) END")} FROM w),
+m AS (SELECT variant, was AS cluster, {_each_feature("avg({c})")} FROM z GROUP BY variant, was),
+near AS (SELECT z.variant, z.was, m.cluster, {" + ".join(f"(z.{c} - m.{c}) * (z.{c} - m.{c})" for c in _WINSOR_FEATURES)} AS apart
+         FROM z JOIN m ON z.variant = m.variant
+         QUALIFY row_number() OVER (PARTITION BY z.variant, z.e, z.y ORDER BY apart, m.cluster) = 1)"""))
+def q_kmeans_step(spark, d):
+    """One Lloyd step from the rule clusters, on raw ratios and on capped and standardised ones."""
+    i = Inputs(spark, d)
+    caps = {c: cap for c, (_, cap) in segments.exact_percentiles(i.training(), _WINSOR_FEATURES, 0.99).items()}
+    rows = i.labelled().select("rule_cluster", *[F.col(c).cast("double").alias(c) for c in _WINSOR_FEATURES]).checkpoint()
+    variants = {"raw": rows.fillna(0.0, _WINSOR_FEATURES),
+                "capped": segments.standardised(segments.capped(rows, caps), _WINSOR_FEATURES)}
+    parts = [segments.step_facts(segments.lloyd_step(df, "rule_cluster", _WINSOR_FEATURES), "rule_cluster").withColumn("variant", F.lit(v))
+             for v, df in variants.items()]
+    return parts[0].unionByName(parts[1])
+
+
 _PROFILE_FEATURES = ["roa_y2", "solvency_y2", "liquidity_custom_y2", "ccf_revenue_y2", "trend_delta_ccf_revenue"]
 # Reference: clusters with more than 5000 members of ~277k rows, here as a share of all rows.
 PROFILE_MIN_SHARE = 0.018
