@@ -163,7 +163,12 @@ def capped(df: DataFrame, caps: dict[str, float | None]) -> DataFrame:
 
 
 def winsorize(df: DataFrame, cols: list[str], q: float = 0.99) -> DataFrame:
-    """Cap each column at its exact upper q-quantile (the reference caps at p99)."""
+    """Cap each column at its exact upper q-quantile (the reference caps at p99).
+
+    The rows are written once: the quantiles and the capped rows both come from that copy, so select the columns first.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint()
     return capped(df, {c: v for c, (_, v) in exact_percentiles(df, cols, q).items()})
 
 

@@ -448,8 +448,8 @@ SELECT enterprise_number, target_year_y3,
 FROM training"""))
 def q_winsorized_features(spark, d):
     """The features capped at their p99 as values: NULL stays NULL."""
-    t = Inputs(spark, d).training()
-    return segments.winsorize(t, _WINSOR_FEATURES).select("enterprise_number", "target_year_y3", *_WINSOR_FEATURES)
+    t = Inputs(spark, d).training().select("enterprise_number", "target_year_y3", *_WINSOR_FEATURES)
+    return segments.winsorize(t, _WINSOR_FEATURES)
 
 
 def _each_feature(form: str) -> str:
