@@ -118,3 +118,19 @@ def test_read_filings_adds_a_unique_row_id(spark):
     again = loaders.read_filings(spark, root + "/f")
     key = lambda df: sorted((r[0], r[1]) for r in df.select("ReferenceNumber", "_filing_id").collect())
     assert key(f) == key(again)                  # the same id in every scan
+
+
+def test_ledger_of_several_years_is_one_pass(spark):
+    """The lines of all years are those of each year, without a branch of the plan a year."""
+    ids = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "EnterpriseNumber string")
+    committed = spark.createDataFrame([("a", 2021), ("a", 2021), (None, 2022), ("c", 2022), ("b", 2030), ("b", None)],
+                                      "EnterpriseNumber string, filing_year bigint")
+    got = loaders.ledger_rows(ids, committed, [2021, 2022])
+    each = loaders.ledger_rows(ids, committed, 2021).unionByName(loaders.ledger_rows(ids, committed, 2022))
+    want = {("a", 2021, True), ("b", 2021, False), ("a", 2022, False), ("b", 2022, False), (None, 2022, True), ("c", 2022, True)}
+    assert set(map(tuple, got.collect())) == set(map(tuple, each.collect())) == want and got.count() == len(want)
+    todo = loaders.pending(ids, committed, [2021, 2022])
+    assert sorted(map(tuple, todo.collect())) == [("a", 2022), ("b", 2021), ("b", 2022)]
+    for df in (got, todo):
+        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+        assert plan.count("Scan ") <= 2
