@@ -134,3 +134,19 @@ def test_ledger_of_several_years_is_one_pass(spark):
     for df in (got, todo):
         plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
         assert plan.count("Scan ") <= 2
+
+
+def test_landed_lines_take_a_fraction_of_their_text(spark, sf_dir):
+    """The queries of the ingest land compressed files of bounded length; what they land is read whole."""
+    from pathlib import Path
+    from kredo.plans import catalog
+    sink, ledger = catalog._ingested(spark, sf_dir)
+    landing = sink.removesuffix("/sink") + "/landing"
+    text = spark.read.text(landing).agg(F.sum(F.length("value"))).first()[0]
+    files = [p for p in Path(landing).iterdir() if not p.name.startswith((".", "_"))]
+    assert 4 * sum(p.stat().st_size for p in files) < text
+    per_file = spark.read.text(landing).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert per_file <= catalog.LANDED_LINES
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    assert ingest.read_rejects(spark, sink).count() == orders.where("o_orderkey % 13 = 0").count()
+    assert ingest.read_sink(spark, sink).count() == orders.count()
