@@ -45,3 +45,20 @@ def test_merge_of_nothing_and_of_a_hot_segment(spark):
     rows = [("x", "p", "1", 10 ** 12)] + [(f"s{i}", "p", "1", 1) for i in range(50)]
     got = merge_segments(spark.createDataFrame(rows, schema), PATH, 2)
     assert {(r["group_key"], r["group_n"]) for r in got.collect()} == {("=x/=p/=1", 10 ** 12), ("", 50)}
+
+
+def test_the_census_is_made_once(spark):
+    """The census is read once, though nodes and members both need it."""
+    from pyspark.sql import functions as F
+    from kredo.operators import segments
+    seen = spark.sparkContext.accumulator(0)
+    rows = spark.sparkContext.parallelize([("a", "x", 3), ("a", "y", 2), ("b", "x", 1)], 1)
+
+    def counted(part):
+        for r in part:
+            seen.add(1)
+            yield r
+
+    counts = spark.createDataFrame(rows.mapPartitions(counted), "p string, q string, n bigint")
+    got = segments.merge_segments(counts, ["p", "q"], 2).agg(F.sum("n")).first()[0]
+    assert got == 6 and seen.value == 3
