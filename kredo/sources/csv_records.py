@@ -16,6 +16,14 @@ from kredo.operators.ranges import running_total
 
 #: Characters of the longest record that is put together from lines.
 LONGEST = 64 << 20
+#: Pieces that a scan split (128 MB unless set otherwise) is sorted in, so that a task's sort keeps its size.
+PIECES = 4
+
+
+def _first_places(rows: DataFrame) -> DataFrame:
+    """(file, place) of the first row of each file.  Numbers by block first: the smallest of structs would be found by a sort."""
+    blocks = rows.groupBy("file", F.col("place.block").alias("block")).agg(F.min("place.row").alias("row"))
+    return blocks.groupBy("file").agg(F.min(F.struct("block", "row")).alias("place"))
 
 
 def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
@@ -51,10 +59,13 @@ def read_csv(spark: SparkSession, path: str, options: dict[str, str], longest: i
     A folder without rows gives no rows.
     """
     whole = spark.read.options(**options).csv(path)
-    counted = running_total(_lines(spark, path, options.get("encoding", "UTF-8")), ["file"], "place", "quotes", "upto")
-    heads = counted.groupBy("file").agg(F.min_by("line", "place").alias("head"))
+    lines = _lines(spark, path, options.get("encoding", "UTF-8"))
+    pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), PIECES * lines.rdd.getNumPartitions())
+    counted = running_total(lines, ["file"], "place", "quotes", "upto", pieces)
+    # One row a file, so broadcast: a join on the file would bring each file's lines to one task.
+    heads = counted.join(F.broadcast(_first_places(counted)), ["file", "place"]).select("file", F.col("line").alias("head"))
     heads = heads.select("file", F.col("head").endswith("\r").alias("crlf"), _ended("head").contains("\r").alias("odd"))
-    counted = counted.join(heads, "file")
+    counted = counted.join(F.broadcast(heads), "file")
     if not counted.where(F.col("odd") | (~F.col("crlf") & F.col("line").startswith("\r"))).isEmpty():
         warnings.warn(f"{path}: lines that end in a carriage return alone; read by one task a file", stacklevel=2)
         return whole
@@ -64,18 +75,18 @@ def read_csv(spark: SparkSession, path: str, options: dict[str, str], longest: i
     lines = lines.where(~F.col("begins") | (F.col("line") != ""))
     single = lines.where(F.col("begins") & F.col("ends")).select("file", "place", F.col("line").alias("record"))
     parts = lines.where(~(F.col("begins") & F.col("ends"))).withColumn("begin", F.col("begins").cast("int"))
-    numbered = running_total(parts, ["file"], "place", "begin", "number")
+    numbered = running_total(parts, ["file"], "place", "begin", "number", pieces)
     sizes = numbered.groupBy("file", "number").agg(F.sum(F.length("line") + 1).alias("size"))
     if (sizes.agg(F.max("size")).first()[0] or 0) > longest:
         warnings.warn(f"{path}: a record is longer than {longest} characters; read by one task a file", stacklevel=2)
         return whole
-    several = numbered.groupBy("file", "number").agg(
+    several = numbered.repartition(pieces, "file", "number").groupBy("file", "number").agg(
         F.min("place").alias("place"), F.array_sort(F.collect_list(F.struct("place", "line"))).alias("all"))
     records = single.unionByName(several.select("file", "place", F.array_join("all.line", "\n").alias("record")))
     if not records.where(~_strict(F.col("record"))).isEmpty():
         warnings.warn(f"{path}: quotes inside a plain field or never closed; read by one task a file", stacklevel=2)
         return whole
-    headers = records.groupBy("file").agg(F.min("place").alias("place"))
+    headers = F.broadcast(_first_places(records))
     schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in whole.columns)
     rows = records.join(headers, ["file", "place"], "left_anti").select(F.from_csv("record", schema, options).alias("_row"))
     return rows.select("_row.*")

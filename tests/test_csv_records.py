@@ -70,3 +70,24 @@ def test_one_file_is_many_tasks_and_a_folder_many_headers(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert got.count() == 3040
+
+
+def test_pieces_grow_with_the_file(spark, tmp_path, monkeypatch):
+    """Lines are sorted in more pieces where a file has more splits, and first rows are found without a sort of the lines."""
+    seen = []
+    plain = csv_records.running_total
+    monkeypatch.setattr(csv_records, "running_total", lambda *a, **k: (seen.append(a[5]), plain(*a, **k))[1])
+    path = _write(tmp_path / "x.csv", "a,b\n" + '1,"x\ny"\n' * 3000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        splits = csv_records._lines(spark, path, "ISO-8859-1").rdd.getNumPartitions()
+        got = _same(spark, path)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got.count() == 3000
+    assert splits > 10 and seen == [csv_records.PIECES * splits] * 2
+    lines = csv_records._lines(spark, path, "ISO-8859-1")
+    firsts = csv_records._first_places(lines)
+    plan = firsts._sc._jvm.PythonSQLUtils.explainString(firsts._jdf.queryExecution(), "simple")
+    assert "HashAggregate" in plan and "line" not in plan.split("HashAggregate")[0]
