@@ -114,3 +114,38 @@ def test_rubrics_are_read_by_one_scan_only(spark, sf_dir, no_aqe_no_broadcast):
     schemas = re.findall(r"ReadSchema: struct<(.*)>", plan)
     assert sum("Rubrics:" in s for s in schemas) == 1
     assert any("_n_rubrics" in s and ",Rubrics:" not in s for s in schemas)
+
+
+def _nodes(plan: str, name: str) -> list[str]:
+    return [ln for ln in plan.splitlines() if re.search(rf"\b{name}\b", ln)]
+
+
+def test_the_sums_are_not_sorted_for_the_choice_of_filings(spark, sf_dir, no_aqe_no_broadcast):
+    """The deduplication sorts the filings' own columns; the 70 sums meet the chosen ones by a hash of the narrow side."""
+    from kredo.operators import staging
+    plan = _plan(staging.preferred_with_financials(Inputs(spark, sf_dir).filings(), literal=False))
+    windows = [sec for sec in re.split(r"\n\(\d+\) ", plan) if sec.startswith("Window")]
+    assert windows and not any("revenue_n" in w for w in windows)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_fold_sorts_no_rubric_arrays(spark, sf_dir, no_aqe_no_broadcast):
+    from kredo.operators import staging
+    plan = _plan(staging.preferred_filings(Inputs(spark, sf_dir).filings()))
+    sorts = [sec for sec in re.split(r"\n\(\d+\) ", plan) if sec.startswith("Sort") or sec.startswith("Window")]
+    assert sorts and not any("Rubrics" in s for s in sorts)
+
+
+def test_preferred_filings_are_the_preferred_accounts(spark, sf_dir):
+    from kredo.operators import staging
+    f = Inputs(spark, sf_dir).filings()
+    cols = ["ReferenceNumber", "EnterpriseNumber", "accounting_year", "Rubrics"]
+    a, b = staging.preferred_filings(f).select(*cols), accounts.preferred_accounts(f).select(*cols)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_a_rubric_is_placed_once(spark, sf_dir):
+    """Period and code of a rubric are read in the filter and once for the place: not again for every code."""
+    from kredo.operators import financials
+    plan = _plan(financials.unnest_summed(Inputs(spark, sf_dir).filings(), ["_filing_id"]), "simple")
+    assert plan.count(".Code") <= 2 and plan.count(".Period") <= 3

@@ -65,3 +65,17 @@ def test_growth_uses_absolute_previous_value(spark):
 
 def test_failed_flag(spark):
     assert _one(spark, S.failed_flag, ["010", "051", "000", None]) == [1, 1, 0, 0]
+
+
+def test_safe_double_of_whole_numbers_is_that_of_the_pattern(spark):
+    """Whole numbers take the short way, all other texts the pattern: the same values and the same NULLs."""
+    from pyspark.sql import functions as F
+    from kredo.functions.scalars import NUMERIC_TEXT, finite_or_null, safe_double
+    texts = ["0", "7", "-12", "+5", "007", "-0", " 5", "5 ", "\t5", "5\x01", "\x7f5", "1.5", ".5", "5.", "1e3", "1d", "0x1p3", "", " ", "-", ":",
+             "9007199254740993", "9223372036854775807", "9223372036854775808", "-9223372036854775808", "1e400", "NaN", "Infinity", "n/a", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    slow = finite_or_null(F.when(F.col("t").rlike(NUMERIC_TEXT), F.trim("t").try_cast("double")))
+    rows = df.select("t", safe_double("t").alias("got"), slow.alias("want")).collect()
+    assert [(r.t, str(r.got)) for r in rows] == [(r.t, str(r.want)) for r in rows]
+    plan = df.select(safe_double("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "as bigint" in plan
