@@ -1,0 +1,14 @@
+"""Queries that are meant to do their whole job: all trees, all groups, all values."""
+
+from kredo.operators import boosting, models
+from kredo.plans import catalog
+
+
+def test_boost_metrics_grows_the_library_s_trees(monkeypatch):
+    seen = []
+    monkeypatch.setattr(catalog, "_model_data", lambda spark, d: ("train", "test"))
+    monkeypatch.setattr(models, "boost_rows", lambda train, test, group=None, p=None: seen.append(p) or ("rows", ["a"]))
+    monkeypatch.setattr(boosting, "fit", lambda rows, n, p: seen.append(p) or ("trees", "state"))
+    monkeypatch.setattr(models, "boost_metrics", lambda state: state)
+    assert catalog.q_boost_metrics(None, "") == "state"
+    assert seen == [boosting.Params()] * 2 and seen[0].trees == 100 and seen[0].depth == 5
