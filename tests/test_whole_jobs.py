@@ -12,3 +12,49 @@ def test_boost_metrics_grows_the_library_s_trees(monkeypatch):
     monkeypatch.setattr(models, "boost_metrics", lambda state: state)
     assert catalog.q_boost_metrics(None, "") == "state"
     assert seen == [boosting.Params()] * 2 and seen[0].trees == 100 and seen[0].depth == 5
+
+
+def windows(spark, groups):
+    """Model rows: (sector, size, rows, validation rows) of each group, with hashed features; ``nace_division`` has ``rows`` / 2 values."""
+    from functools import reduce
+    from pyspark.sql import functions as F
+    parts = []
+    for sector, size, n, valid in groups:
+        at = F.hash(F.lit(str(sector)), F.lit(size), "id")
+        df = spark.range(n).select("*", F.lit(sector).cast("string").alias("sector"), F.lit(size).alias("company_segment"),
+                                   (F.col("id") % max(1, n // 2)).cast("string").alias("nace_division"), F.lit("m02").alias("model_prefix_y2"),
+                                   F.pmod(at, F.lit(2)).cast("bigint").alias(models.LABEL), (F.col("id") < valid).alias(models.VALID),
+                                   F.lit(1.0).alias(models.WEIGHT))
+        parts.append(df.select("*", *[F.pmod(F.hash("id", F.lit(c)), F.lit(50)).cast("double").alias(c) for c in models.NUMERIC]))
+    return models.prepare(reduce(lambda a, b: a.unionByName(b), parts).drop("id"))
+
+
+def test_every_group_has_its_model(spark):
+    # five groups, one without a sector, one row alone, one of validation rows only, one without any
+    train = windows(spark, [("a", "SME", 40, 10), (None, "SME", 30, 8), ("b", "Micro", 1, 0), ("b", "SME", 6, 6), ("c", "Large", 12, 0)])
+    test = windows(spark, [("a", "SME", 9, 0), (None, "SME", 4, 0), ("b", "SME", 3, 0), ("new", "SME", 2, 0)])
+    got = models.every_group_metrics(train, test, ["sector", "company_segment"], models.GbtParams(2, 0.1, 0.8, 0.8, 2), "gbt_segment_")
+    assert {r["model"]: r["n"] for r in got.collect()} == {
+        "gbt_segment_a/SME": 9, "gbt_segment_null/SME": 4, "gbt_segment_c/Large": 0, "gbt_segment_b/SME": 3, "gbt_segment_b/Micro": 0}
+
+
+def test_model_comparison_leaves_no_group_out(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    groups = [("a", "SME", 40, 8), ("b", "SME", 30, 8), ("c", "SME", 20, 5), ("d", "SME", 10, 3), ("e", "SME", 9, 3)]
+    key = [F.lit(1).alias("enterprise_number"), F.lit(2023).alias("target_year_y3")]
+    train, test = (windows(spark, groups).select("*", F.lit(s).alias("split"), *key) for s in ("train", "eval"))
+    small = models.GbtParams(2, 0.1, 0.8, 0.8, 2)
+    monkeypatch.setattr(catalog, "_model_data", lambda spark, d: (train, test.drop(models.WEIGHT)))
+    monkeypatch.setattr(catalog, "_clusters", lambda a, b: a.unionByName(b, allowMissingColumns=True).withColumn(
+        "cluster", F.pmod(F.hash("sector"), F.lit(2))))
+    monkeypatch.setattr(models, "GbtParams", lambda: small)
+    monkeypatch.setattr(models, "forest", lambda: models.gbt(small))
+    got = {r["model"]: r["n"] for r in catalog.q_model_comparison(spark, "").collect()}
+    assert {m: n for m, n in got.items() if m.startswith("gbt_segment_")} == {f"gbt_segment_{s}/SME": n for s, _, n, _ in groups}
+
+
+def test_a_feature_of_many_values_is_kept_with_bins_for_them(spark):
+    rows = windows(spark, [("a", "SME", 400, 40)])                # 200 divisions
+    few = models.fit(rows, models.gbt(models.GbtParams(2, 0.1, 0.8, 0.8, 2)))
+    whole = models.fit(rows, models.gbt(models.GbtParams(2, 0.1, 0.8, 0.8, 2)), most=None)
+    assert "nace_division_idx" not in few.kredo_features and "nace_division_idx" in whole.kredo_features
