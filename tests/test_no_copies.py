@@ -47,7 +47,7 @@ def test_preferred_filings_are_those_of_the_window(stored):
     assert sorted(map(str, a)) == sorted(map(str, b)) and len(a) > 40
 
 
-@pytest.mark.parametrize("name", ["financials_base_literal", "staging_master_join", "staging_master_fold"])
+@pytest.mark.parametrize("name", ["rubrics_unnest", "financials_base_literal", "staging_master_join", "staging_master_fold"])
 def test_rubrics_are_not_exchanged(spark, sf_dir, name, no_aqe_no_broadcast):  # noqa: F811
     df = catalog.QUERIES[name](spark, sf_dir)
     found = _exchange_inputs(_plan(df))
