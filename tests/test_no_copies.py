@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helpers import filing, filings_df
 from kredo.operators import accounts, staging
 from kredo.plans import catalog
-from kredo.sources import fixtures as fx, schemas
+from kredo.sources import fixtures as fx, schemas, sinks
 from test_plans import _exchange_inputs, _plan, no_aqe_no_broadcast  # noqa: F401
 
 
@@ -52,3 +52,10 @@ def test_rubrics_are_not_exchanged(spark, sf_dir, name, no_aqe_no_broadcast):  #
     df = catalog.QUERIES[name](spark, sf_dir)
     found = _exchange_inputs(_plan(df))
     assert found and not [x for x in found if "Rubrics" in x]
+
+
+def test_the_staging_rows_of_a_replacement_are_made_once(spark, sf_dir, monkeypatch):
+    made = []
+    monkeypatch.setattr(sinks, "once", lambda df, once=sinks.once: made.append(1) or once(df))
+    got = catalog.q_staging_replaced(spark, sf_dir)
+    assert len(made) == 1 and got.count() == catalog.q_staging_master(spark, sf_dir).count()
