@@ -135,9 +135,13 @@ def blocks(anchors: DataFrame, count: int, positives: int = 0) -> DataFrame:
 
 
 def met(some: DataFrame, packed: DataFrame, parts: int) -> DataFrame:
-    """Every block beside every bucket, dealt by the part."""
+    """Every block beside every bucket, dealt by the part.
+
+    Neither side may go through the driver: Spark sees the size of the narrow, compressed rows that blocks are packed
+    from, not that of their copies for every part, and would broadcast them.
+    """
     copied = some.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return copied.join(packed, "part").select(
+    return copied.hint("merge").join(packed, "part").select(
         "block", "b_dim", "b_ids", "b_labels", "b_vectors", "windows", "n", "dim", "ids", "labels", "vectors", "lists")
 
 

@@ -93,3 +93,12 @@ def test_the_query_equals_its_sql(spark, sf_dir):
     got = QUERIES["op11_lemp_hard_negatives"](spark, sf_dir)
     assert got.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
     assert sorted(map(tuple, got.collect())) == sorted(want) and want
+
+
+def test_blocks_and_buckets_are_never_broadcast(spark):
+    rows = hard_negatives.usable(spark.range(60).selectExpr("id AS vec_id", "array(float(id % 7), float(id % 5)) AS embedding",
+                                                            "int(id % 3) AS label"))
+    packed = hard_negatives.buckets(rows, 3)
+    pairs = hard_negatives.met(hard_negatives.blocks(rows, 60), packed, 3)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
