@@ -59,3 +59,14 @@ def test_the_staging_rows_of_a_replacement_are_made_once(spark, sf_dir, monkeypa
     monkeypatch.setattr(sinks, "once", lambda df, once=sinks.once: made.append(1) or once(df))
     got = catalog.q_staging_replaced(spark, sf_dir)
     assert len(made) == 1 and got.count() == catalog.q_staging_master(spark, sf_dir).count()
+
+
+def test_the_sink_builds_no_dictionary_of_rubric_values(spark, stored):
+    import glob
+    import pyarrow.parquet as pq
+    path = tempfile.mkdtemp(prefix="kredo-test-sink-")
+    sinks.replace_partitions(stored.drop("_filing_id").withColumn("batch", F.lit(0)), path, ["batch", "filing_year"])
+    files = [pq.ParquetFile(f).metadata.row_group(0) for f in glob.glob(f"{path}/*/*/*.parquet")]
+    columns = [g.column(i) for g in files for i in range(g.num_columns) if g.column(i).path_in_schema.endswith("element.Value")]
+    assert columns and not any("DICTIONARY" in e for c in columns for e in c.encodings)
+    assert spark.read.parquet(path).count() == stored.count()
